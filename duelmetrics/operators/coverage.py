@@ -5,6 +5,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+_BITS = 63
+
 
 def coverage_gaps(
     entities: DataFrame,
@@ -15,23 +17,37 @@ def coverage_gaps(
 ) -> DataFrame:
     """(key, period) for every expected period without a landed row.
 
-    Landed rows shrink to a set of periods per key before the shuffle; the set
-    is filtered to the expected periods, so it never outgrows that list. The
-    gaps are then the difference of two short arrays: neither the product of
-    entities and periods nor an anti join over it is built.
+    Periods are numbered and the landed ones of a key are or-ed into bit masks
+    of fixed width, so entities and landed rows meet in one hash aggregation
+    with map-side partial results. Neither the product of entities and periods
+    nor a join is built, and a key's state does not grow with its rows.
     """
-    wanted = F.array(*[F.lit(p) for p in expected])
-    present = (
-        landed.filter(F.col(period).isin(*expected))
-        .groupBy(key)
-        .agg(F.collect_set(period).alias("_present"))
-    )
-    missing = F.when(F.col("_present").isNull(), wanted).otherwise(
-        F.array_except(wanted, F.col("_present"))
+    periods = list(dict.fromkeys(expected))
+    known = entities.select(
+        key, F.lit(True).alias("_entity"), F.lit(None).cast("int").alias("_number")
     )
-    return (
-        entities.select(key)
-        .distinct()
-        .join(present, key, "left")
-        .select(key, F.explode(missing).alias(period))
+    number = F.array_position(F.array(*[F.lit(p) for p in periods]), F.col(period)) - 1
+    seen = landed.filter(F.col(period).isin(*periods)).select(
+        key, F.lit(False).alias("_entity"), number.cast("int").alias("_number")
     )
+    one = F.lit(1).cast("bigint")
+    starts = range(0, len(periods), _BITS)
+    masks = [
+        F.bit_or(
+            F.when(
+                F.col("_number").between(start, start + _BITS - 1),
+                F.call_function("shiftleft", one, F.col("_number") - start),
+            )
+        ).alias(f"_mask{start}")
+        for start in starts
+    ]
+    per_key = known.unionAll(seen).groupBy(key).agg(F.bool_or("_entity").alias("_known"), *masks)
+    flags = [
+        F.when(
+            F.coalesce(F.col(f"_mask{i - i % _BITS}"), F.lit(0)).bitwiseAND(1 << i % _BITS) == 0,
+            F.lit(p),
+        )
+        for i, p in enumerate(periods)
+    ]
+    missing = F.explode(F.array_compact(F.array(*flags)))
+    return per_key.filter("_known").select(key, missing.alias(period))

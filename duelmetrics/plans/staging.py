@@ -96,7 +96,8 @@ def stage_games(
         "ingested_at",
         *[c for c in OPENING_TAGS if c in raw.columns],
     )
-    return latest_per_key(staged, key, ["ingested_at"], _GAME_TIES)
+    ties = _GAME_TIES + [c for c in OPENING_TAGS if c in raw.columns]
+    return latest_per_key(staged, key, ["ingested_at"], ties)
 
 
 def game_facts(raw: DataFrame, **options) -> DataFrame:

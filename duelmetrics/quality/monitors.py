@@ -55,16 +55,23 @@ def table_profile(df: DataFrame, entity: str, at: str) -> DataFrame:
 
 
 def daily_volume(df: DataFrame, keys: Sequence[str], at: str) -> DataFrame:
-    """Rows per key and day from a key's first to its last day, zeros included."""
+    """Rows per key and day from a key's first to its last day, zeros included.
+
+    Each day also fills the empty days up to the key's next one, so the rows are
+    read and counted once.
+    """
     counts = (
-        df.groupBy(*keys, utc_day(F.col(at)).alias("day")).agg(row_count().alias("n_rows"))
+        df.groupBy(*keys, utc_day(F.col(at)).alias("_day")).agg(row_count().alias("_n"))
     )
-    days = (
-        counts.groupBy(*keys)
-        .agg(F.min("day").alias("_from"), F.max("day").alias("_to"))
-        .select(*keys, F.explode(F.sequence("_from", "_to")).alias("day"))
+    following = F.lead("_day").over(Window.partitionBy(*keys).orderBy("_day"))
+    until = F.coalesce(F.date_sub(following, 1), F.col("_day"))
+    return (
+        counts.filter(F.col("_day").isNotNull())
+        .withColumn("_until", until)
+        .withColumn("day", F.explode(F.sequence("_day", "_until")))
+        .withColumn("n_rows", F.when(F.col("day") == F.col("_day"), F.col("_n")).otherwise(0))
+        .select(*keys, "day", "n_rows")
     )
-    return days.join(counts, [*keys, "day"], "left").na.fill(0, ["n_rows"])
 
 
 def volume_anomaly(

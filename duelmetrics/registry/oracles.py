@@ -61,12 +61,13 @@ _STAGED = r"""
         CASE WHEN lower(white_username) = lower(username)
              THEN lower(black_username) ELSE lower(white_username) END AS opponent_username,
         ingested_at
-    FROM (
-        SELECT * FROM {source}
-        QUALIFY row_number() OVER (
-            PARTITION BY {key} ORDER BY ingested_at DESC, username, end_time
-        ) = 1
-    )
+    FROM {source}
+    QUALIFY row_number() OVER (
+        PARTITION BY {key}
+        ORDER BY ingested_at DESC, lower(username), end_time, player_color,
+            player_result NULLS FIRST, player_rating NULLS FIRST,
+            opponent_rating NULLS FIRST, lower(time_class)
+    ) = 1
 )"""
 
 

@@ -69,12 +69,16 @@ def _raw_players(spark: SparkSession, sf: str) -> DataFrame:
     return shapes.raw_players(read(spark, sf, "events"))
 
 
+def _games(spark: SparkSession, sf: str) -> DataFrame:
+    return stage_games(_raw_games(spark, sf))
+
+
 def _facts(spark: SparkSession, sf: str) -> DataFrame:
     return game_facts(_raw_games(spark, sf))
 
 
 def _stats(spark: SparkSession, sf: str) -> DataFrame:
-    performance = player_performance(_facts(spark, sf))
+    performance = player_performance(_games(spark, sf))
     return marts.player_stats(stage_players(_raw_players(spark, sf)), performance)
 
 
@@ -83,7 +87,7 @@ def _openings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _progression(spark: SparkSession, sf: str) -> DataFrame:
-    return marts.rating_progression(_facts(spark, sf))
+    return marts.rating_progression(_games(spark, sf))
 
 
 # --- tables over games -------------------------------------------------------
@@ -106,7 +110,7 @@ def stg_players(spark, sf):
 
 @query
 def int_player_performance(spark, sf):
-    return player_performance(_facts(spark, sf))
+    return player_performance(_games(spark, sf))
 
 
 @query
@@ -126,7 +130,7 @@ def mart_elo_progression(spark, sf):
 
 @query
 def mart_elo_progression_as_written(spark, sf):
-    return marts.rating_progression(_facts(spark, sf), grain="as_written")
+    return marts.rating_progression(_games(spark, sf), grain="as_written")
 
 
 # --- dashboard frames --------------------------------------------------------
@@ -569,16 +573,16 @@ def clustered_slice(spark, sf):
 @query
 def dq_schema_tests(spark, sf):
     """Every declared test of the six tables."""
-    facts = _facts(spark, sf)
+    games = _games(spark, sf)
     players = stage_players(_raw_players(spark, sf))
-    performance = player_performance(facts)
+    performance = player_performance(games)
     built = {
-        "stg_games": facts,
+        "stg_games": games,
         "stg_players": players,
         "int_player_performance": performance,
         "mart_player_stats": marts.player_stats(players, performance),
-        "mart_opening_analysis": marts.opening_analysis(facts),
-        "mart_elo_progression": marts.rating_progression(facts),
+        "mart_opening_analysis": marts.opening_analysis(_facts(spark, sf)),
+        "mart_elo_progression": marts.rating_progression(games),
     }
     return one_load(
         *[
@@ -589,7 +593,7 @@ def dq_schema_tests(spark, sf):
 
 
 def _expectation_results(spark: SparkSession, sf: str) -> DataFrame:
-    built = {"mart_player_stats": _stats(spark, sf), "stg_games": _facts(spark, sf)}
+    built = {"mart_player_stats": _stats(spark, sf), "stg_games": _games(spark, sf)}
     return one_load(
         *[dq.run_suite(built[name], name, declared) for name, declared in expectations().items()]
     )
@@ -678,7 +682,7 @@ def volume_check(spark, sf):
 
 @query
 def table_profile(spark, sf):
-    return monitors.table_profile(_facts(spark, sf), "username", "ended_at")
+    return monitors.table_profile(_games(spark, sf), "username", "ended_at")
 
 
 @query

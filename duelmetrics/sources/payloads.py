@@ -21,29 +21,31 @@ def _listed(paths: Paths) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def read_payloads(spark: SparkSession, paths: Paths, schema: T.StructType) -> DataFrame:
+def read_payloads(
+    spark: SparkSession, paths: Paths, schema: T.StructType, root: str | None = None
+) -> DataFrame:
     """Payload lines with a declared schema; lines that are not JSON are dropped.
 
     The partition columns are part of the schema, so a numeric user name stays
-    text. See ``rejected_lines`` for what is dropped.
+    text. ``paths`` may name single partition folders if ``root`` names the
+    folder they lie in. See ``rejected_lines`` for what is dropped.
     """
-    return (
-        spark.read.schema(schema)
-        .option("mode", "DROPMALFORMED")
-        .json(_listed(paths))
-    )
+    reader = spark.read.schema(schema).option("mode", "DROPMALFORMED")
+    if root is not None:
+        reader = reader.option("basePath", root)
+    return reader.json(_listed(paths))
 
 
-def read_archives(spark: SparkSession, paths: Paths) -> DataFrame:
-    return read_payloads(spark, paths, ARCHIVE)
+def read_archives(spark: SparkSession, paths: Paths, root: str | None = None) -> DataFrame:
+    return read_payloads(spark, paths, ARCHIVE, root)
 
 
-def read_profiles(spark: SparkSession, paths: Paths) -> DataFrame:
-    return read_payloads(spark, paths, PROFILE)
+def read_profiles(spark: SparkSession, paths: Paths, root: str | None = None) -> DataFrame:
+    return read_payloads(spark, paths, PROFILE, root)
 
 
-def read_stats(spark: SparkSession, paths: Paths) -> DataFrame:
-    return read_payloads(spark, paths, STATS)
+def read_stats(spark: SparkSession, paths: Paths, root: str | None = None) -> DataFrame:
+    return read_payloads(spark, paths, STATS, root)
 
 
 def rejected_lines(spark: SparkSession, paths: Paths, schema: T.StructType) -> DataFrame:
