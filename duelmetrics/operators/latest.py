@@ -19,10 +19,14 @@ def latest_per_key(
     large part of the table therefore costs one row per map task, not one
     large partition. Name enough ``tiebreak`` columns to make the order total:
     a task that is run again must choose the same row.
+
+    The sort compares the hash of the key first. Keys such as addresses begin
+    alike, which would leave the sort's eight-byte prefix without effect.
     """
     order = [F.col(c).desc_nulls_last() for c in newest]
     order += [F.col(c).asc_nulls_first() for c in tiebreak]
-    position = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    same_key = Window.partitionBy(F.xxhash64(*keys), *keys)
+    position = F.row_number().over(same_key.orderBy(*order))
     return (
         df.withColumn("_position", position)
         .filter(F.col("_position") == 1)

@@ -37,10 +37,12 @@ def run_ingestion(
     root: str,
     ingested_at: str,
     more_than: int = fixed.MIN_RAW_GAMES,
+    cluster_by: Sequence[str] = tuple(GAME_CLUSTERING),
 ) -> None:
     """Landed payloads to raw tables: players, games, then the volume check.
 
-    A load without rows leaves the table of the load before it.
+    A load without rows leaves the table of the load before it. ``cluster_by``
+    costs one shuffle of the games; pass ``()`` to write them as they arrive.
     """
     for name, schema in RAW_TABLES.items():
         ensure_table(spark, table_path(root, name), schema)
@@ -53,7 +55,7 @@ def run_ingestion(
     games = payloads.flatten_archives(
         payloads.read_archives(spark, f"{landed}/archives"), ingested_at
     )
-    replace_table(games, table_path(root, "raw_games"), GAME_CLUSTERING, keep_if_empty=True)
+    replace_table(games, table_path(root, "raw_games"), cluster_by, keep_if_empty=True)
     raise_on_failure(volume_check(table(spark, root, "raw_games"), "raw_games", more_than))
 
 
@@ -64,14 +66,10 @@ def run_models(spark: SparkSession, root: str, grain: str = "day") -> None:
     place of the view that every mart would compute anew. The game text stays
     behind: the written table carries the tags taken from it.
     """
-    replace_table(
-        game_facts(table(spark, root, "raw_games")),
-        table_path(root, "game_facts"),
-        GAME_CLUSTERING,
-    )
-    replace_table(
-        stage_players(table(spark, root, "raw_players")), table_path(root, "stg_players")
-    )
+    facts = game_facts(table(spark, root, "raw_games"))
+    replace_table(facts, table_path(root, "game_facts"))
+    latest_players = stage_players(table(spark, root, "raw_players"))
+    replace_table(latest_players, table_path(root, "stg_players"))
     games = table(spark, root, "game_facts")
     replace_table(player_performance(games), table_path(root, "int_player_performance"))
     performance = table(spark, root, "int_player_performance")

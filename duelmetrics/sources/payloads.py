@@ -24,13 +24,14 @@ def _listed(paths: Paths) -> list[str]:
 def read_payloads(
     spark: SparkSession, paths: Paths, schema: T.StructType, root: str | None = None
 ) -> DataFrame:
-    """Payload lines with a declared schema; lines that are not JSON are dropped.
+    """Payload lines with a declared schema.
 
     The partition columns are part of the schema, so a numeric user name stays
     text. ``paths`` may name single partition folders if ``root`` names the
-    folder they lie in. See ``rejected_lines`` for what is dropped.
+    folder they lie in. A value of another type than declared reads as NULL and
+    a line that is not JSON as NULLs; ``rejected_lines`` lists both.
     """
-    reader = spark.read.schema(schema).option("mode", "DROPMALFORMED")
+    reader = spark.read.schema(schema).option("mode", "PERMISSIVE")
     if root is not None:
         reader = reader.option("basePath", root)
     return reader.json(_listed(paths))
@@ -41,7 +42,9 @@ def read_archives(spark: SparkSession, paths: Paths, root: str | None = None) ->
 
 
 def read_profiles(spark: SparkSession, paths: Paths, root: str | None = None) -> DataFrame:
-    return read_payloads(spark, paths, PROFILE, root)
+    """Profiles with any content; a player whose profile is empty is left out."""
+    content = [name for name in PROFILE.names if name != "username"]
+    return read_payloads(spark, paths, PROFILE, root).na.drop("all", subset=content)
 
 
 def read_stats(spark: SparkSession, paths: Paths, root: str | None = None) -> DataFrame:
@@ -49,7 +52,7 @@ def read_stats(spark: SparkSession, paths: Paths, root: str | None = None) -> Da
 
 
 def rejected_lines(spark: SparkSession, paths: Paths, schema: T.StructType) -> DataFrame:
-    """(path, line) for every line that ``schema`` cannot read."""
+    """(path, line) for every line that ``schema`` cannot read in full."""
     corrupt = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
     parsed = F.from_json("value", corrupt, {"columnNameOfCorruptRecord": "_corrupt"})
     lines = spark.read.format("text").load(_listed(paths))

@@ -1,4 +1,7 @@
-"""Flat newline-delimited JSON loads with a declared schema."""
+"""Flat newline-delimited JSON loads with a declared schema.
+
+Lines without any declared content are left out.
+"""
 
 from functools import reduce
 
@@ -9,11 +12,11 @@ from duelmetrics.sources.payloads import Paths, read_payloads
 
 
 def read_raw_games(spark: SparkSession, paths: Paths) -> DataFrame:
-    return read_payloads(spark, paths, RAW_GAMES)
+    return read_payloads(spark, paths, RAW_GAMES).na.drop("all")
 
 
 def read_raw_players(spark: SparkSession, paths: Paths) -> DataFrame:
-    return read_payloads(spark, paths, RAW_PLAYERS)
+    return read_payloads(spark, paths, RAW_PLAYERS).na.drop("all")
 
 
 def one_load(*parts: DataFrame) -> DataFrame:

@@ -62,6 +62,35 @@ def test_several_folders_are_one_load(spark, tmp_path):
     assert one_load(part, payloads.read_archives(spark, roots[1])).count() == 5
 
 
+def test_one_bad_value_costs_neither_the_game_nor_the_archive(spark, tmp_path):
+    bad = payload_game("g2", white={"username": "Ann", "rating": "none", "result": "win"})
+    late = payload_game("g3", end_time="soon")
+    folder = f"{tmp_path}/a/username=x/year=2025/month=01"
+    land(folder, {"games": [payload_game("g1"), bad, late, payload_game("g4")]})
+    archives = payloads.read_archives(spark, f"{tmp_path}/a")
+    flat = payloads.flatten_archives(archives, "now")
+    assert rows(flat, "game_url", "white_rating", "end_time") == [
+        ("g1", 1500, 1735689600),
+        ("g2", None, 1735689600),
+        ("g3", 1500, None),
+        ("g4", 1500, 1735689600),
+    ]
+    assert payloads.rejected_lines(spark, f"{tmp_path}/a", ARCHIVE).count() == 1
+
+
+def test_empty_and_broken_profiles_are_left_out(spark, tmp_path):
+    land(f"{tmp_path}/p/username=a", {})
+    land(f"{tmp_path}/p/username=b", '{"player_id": ')
+    land(f"{tmp_path}/p/username=c", {"name": "C"})
+    land(f"{tmp_path}/s/username=c", '{"chess_blitz": ', {"chess_blitz": {"last": {"rating": 9}}})
+    flat = payloads.flatten_players(
+        payloads.read_profiles(spark, f"{tmp_path}/p"),
+        payloads.read_stats(spark, f"{tmp_path}/s"),
+        "now",
+    )
+    assert rows(flat, "username", "name", "blitz_rating") == [("c", "C", 9)]
+
+
 def test_players(spark, tmp_path):
     profiles, stats = f"{tmp_path}/profiles", f"{tmp_path}/stats"
     land(
@@ -83,7 +112,7 @@ def test_players(spark, tmp_path):
 
 
 def test_raw_json_has_the_declared_types(spark, tmp_path):
-    land(f"{tmp_path}/raw", GAME, {"game_url": "only"})
+    land(f"{tmp_path}/raw", GAME, {"game_url": "only"}, "{broken")
     df = read_raw_games(spark, f"{tmp_path}/raw")
     assert df.schema == RAW_GAMES
     assert rows(df, "game_url", "end_time") == [("g1", 1735689600), ("only", None)]
