@@ -1,6 +1,7 @@
 """Jobs over one table root: ``raw/``, ``staging/`` and ``marts/``."""
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,6 +60,21 @@ def run_ingestion(
     raise_on_failure(volume_check(table(spark, root, "raw_games"), "raw_games", more_than))
 
 
+def _write_all(root: str, built: dict[str, tuple[DataFrame, Sequence[str]]]) -> None:
+    """Write tables that do not depend on each other at the same time.
+
+    One job alone rarely fills a cluster up to its last task.
+    """
+
+    def write(name: str) -> None:
+        df, order = built[name]
+        replace_table(df.sortWithinPartitions(*order) if order else df, table_path(root, name))
+
+    with ThreadPoolExecutor(len(built)) as pool:
+        for done in [pool.submit(write, name) for name in built]:
+            done.result()
+
+
 def run_models(spark: SparkSession, root: str, grain: str = "day") -> None:
     """Raw tables to marts, in the order of their dependencies.
 
@@ -66,24 +82,27 @@ def run_models(spark: SparkSession, root: str, grain: str = "day") -> None:
     place of the view that every mart would compute anew. The game text stays
     behind: the written table carries the tags taken from it.
     """
-    facts = game_facts(table(spark, root, "raw_games"))
-    replace_table(facts, table_path(root, "game_facts"))
-    latest_players = stage_players(table(spark, root, "raw_players"))
-    replace_table(latest_players, table_path(root, "stg_players"))
-    games = table(spark, root, "game_facts")
-    replace_table(player_performance(games), table_path(root, "int_player_performance"))
+    raw_games, raw_players = (table(spark, root, n) for n in RAW_TABLES)
+    _write_all(
+        root, {"game_facts": (game_facts(raw_games), []), "stg_players": (stage_players(raw_players), [])}
+    )
+    games, players = table(spark, root, "game_facts"), table(spark, root, "stg_players")
+    series = ["username", "time_class"]
+    _write_all(
+        root,
+        {
+            "int_player_performance": (player_performance(games), series),
+            "mart_opening_analysis": (marts.opening_analysis(games), series),
+            "mart_elo_progression": (
+                marts.rating_progression(games, grain),
+                [*series, "game_date"],
+            ),
+        },
+    )
     performance = table(spark, root, "int_player_performance")
-    players = table(spark, root, "stg_players")
-    built = {
-        "mart_player_stats": (marts.player_stats(players, performance), ["username"]),
-        "mart_opening_analysis": (marts.opening_analysis(games), GAME_CLUSTERING),
-        "mart_elo_progression": (
-            marts.rating_progression(games, grain),
-            [*GAME_CLUSTERING, "game_date"],
-        ),
-    }
-    for name, (df, order) in built.items():
-        replace_table(df.sortWithinPartitions(*order), table_path(root, name))
+    _write_all(
+        root, {"mart_player_stats": (marts.player_stats(players, performance), ["username"])}
+    )
 
 
 def register_views(spark: SparkSession, root: str) -> None:

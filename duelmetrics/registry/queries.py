@@ -77,6 +77,13 @@ def _facts(spark: SparkSession, sf: str) -> DataFrame:
     return game_facts(_raw_games(spark, sf))
 
 
+def _written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table, for several passes over it."""
+    path = scratch_dir(df.sparkSession, label)
+    tables.replace_table(df, path)
+    return tables.read_table(df.sparkSession, path)
+
+
 def _stats(spark: SparkSession, sf: str) -> DataFrame:
     performance = player_performance(_games(spark, sf))
     return marts.player_stats(stage_players(_raw_players(spark, sf)), performance)
@@ -573,7 +580,7 @@ def clustered_slice(spark, sf):
 @query
 def dq_schema_tests(spark, sf):
     """Every declared test of the six tables."""
-    games = _games(spark, sf)
+    games = _written(_facts(spark, sf), "facts")
     players = stage_players(_raw_players(spark, sf))
     performance = player_performance(games)
     built = {
@@ -581,7 +588,7 @@ def dq_schema_tests(spark, sf):
         "stg_players": players,
         "int_player_performance": performance,
         "mart_player_stats": marts.player_stats(players, performance),
-        "mart_opening_analysis": marts.opening_analysis(_facts(spark, sf)),
+        "mart_opening_analysis": marts.opening_analysis(games),
         "mart_elo_progression": marts.rating_progression(games),
     }
     return one_load(
@@ -593,7 +600,9 @@ def dq_schema_tests(spark, sf):
 
 
 def _expectation_results(spark: SparkSession, sf: str) -> DataFrame:
-    built = {"mart_player_stats": _stats(spark, sf), "stg_games": _games(spark, sf)}
+    games = _written(_games(spark, sf).drop("pgn"), "games")
+    stats = marts.player_stats(stage_players(_raw_players(spark, sf)), player_performance(games))
+    built = {"mart_player_stats": stats, "stg_games": games}
     return one_load(
         *[dq.run_suite(built[name], name, declared) for name, declared in expectations().items()]
     )

@@ -5,6 +5,7 @@ import pytest
 from helpers import GAME, plan_of, raw_games, rows
 from pyspark.sql import functions as F
 
+from duelmetrics import jobs
 from duelmetrics.plans import pipeline
 from duelmetrics.quality.checks import DataCheckFailed
 from duelmetrics.schemas import ARCHIVE, RAW_GAMES
@@ -244,3 +245,19 @@ def test_empty_load_keeps_raw_tables_and_low_volume_raises(spark, tmp_path, land
     loaded = pipeline.table(spark, root, "raw_games").select("ingested_at").distinct()
     assert rows(loaded) == [("2025-02-01T00:00:00",)]
     assert pipeline.table(spark, root, "raw_players").count() == 1
+
+
+def test_jobs(spark, tmp_path, landed):
+    root = f"{tmp_path}/root"
+    at = "2025-02-01T00:00:00"
+    jobs.main(
+        ["ingest", "--landed", landed, "--root", root, "--ingested-at", at, "--more-than", "29"],
+        spark,
+    )
+    jobs.main(["transform", "--root", root, "--as-of", at, "--players", "ann"], spark)
+    jobs.main(["validate", "--root", root], spark)
+    late = ["transform", "--root", root, "--as-of", "2025-02-04T00:00:00", "--players", "ann"]
+    with pytest.raises(DataCheckFailed, match="stale"):
+        jobs.main(late, spark)
+    with pytest.raises(DataCheckFailed):
+        jobs.main(["validate", "--root", root, "--fail"], spark)
