@@ -1,10 +1,11 @@
 """Jobs over one table root: ``raw/``, ``staging/`` and ``marts/``."""
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from duelmetrics import fixed_values as fixed
 from duelmetrics.plans import marts
@@ -13,13 +14,20 @@ from duelmetrics.plans.staging import game_facts, stage_games, stage_players
 from duelmetrics.quality.checks import raise_on_failure, run_suite, settled, summarize
 from duelmetrics.quality.declared import expectations, schema_tests
 from duelmetrics.quality.monitors import freshness, volume_check
-from duelmetrics.schemas import RAW_GAMES, RAW_PLAYERS
+from duelmetrics.schemas import ARCHIVE, PROFILE, RAW_GAMES, RAW_PLAYERS, STATS
 from duelmetrics.sources import payloads
 from duelmetrics.sources.raw_tables import one_load
-from duelmetrics.sources.tables import ensure_table, read_table, replace_table
+from duelmetrics.sources.tables import (
+    ensure_table,
+    path_exists,
+    read_table,
+    register_table,
+    replace_table,
+)
 
 RAW_TABLES = {"raw_games": RAW_GAMES, "raw_players": RAW_PLAYERS}
 GAME_CLUSTERING = ["username", "time_class"]
+STAGING = ["game_facts", "stg_players", "int_player_performance"]
 MARTS = ["mart_player_stats", "mart_opening_analysis", "mart_elo_progression"]
 
 
@@ -32,6 +40,11 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return read_table(spark, table_path(root, name), RAW_TABLES.get(name))
 
 
+def _landed(spark: SparkSession, read: Callable, path: str, schema: StructType) -> DataFrame:
+    """What landed at ``path``; a folder that was never written holds no rows."""
+    return read(spark, path) if path_exists(spark, path) else spark.createDataFrame([], schema)
+
+
 def run_ingestion(
     spark: SparkSession,
     landed: str,
@@ -47,15 +60,12 @@ def run_ingestion(
     """
     for name, schema in RAW_TABLES.items():
         ensure_table(spark, table_path(root, name), schema)
-    players = payloads.flatten_players(
-        payloads.read_profiles(spark, f"{landed}/profiles"),
-        payloads.read_stats(spark, f"{landed}/stats"),
-        ingested_at,
-    )
+    profiles = _landed(spark, payloads.read_profiles, f"{landed}/profiles", PROFILE)
+    stats = _landed(spark, payloads.read_stats, f"{landed}/stats", STATS)
+    players = payloads.flatten_players(profiles, stats, ingested_at)
     replace_table(players, table_path(root, "raw_players"), keep_if_empty=True)
-    games = payloads.flatten_archives(
-        payloads.read_archives(spark, f"{landed}/archives"), ingested_at
-    )
+    archives = _landed(spark, payloads.read_archives, f"{landed}/archives", ARCHIVE)
+    games = payloads.flatten_archives(archives, ingested_at)
     replace_table(games, table_path(root, "raw_games"), cluster_by, keep_if_empty=True)
     raise_on_failure(volume_check(table(spark, root, "raw_games"), "raw_games", more_than))
 
@@ -84,7 +94,11 @@ def run_models(spark: SparkSession, root: str, grain: str = "day") -> None:
     """
     raw_games, raw_players = (table(spark, root, n) for n in RAW_TABLES)
     _write_all(
-        root, {"game_facts": (game_facts(raw_games), []), "stg_players": (stage_players(raw_players), [])}
+        root,
+        {
+            "game_facts": (game_facts(raw_games), []),
+            "stg_players": (stage_players(raw_players), []),
+        },
     )
     games, players = table(spark, root, "game_facts"), table(spark, root, "stg_players")
     series = ["username", "time_class"]
@@ -120,6 +134,12 @@ def register_views(spark: SparkSession, root: str) -> None:
         df.createOrReplaceTempView(name)
 
 
+def register_tables(spark: SparkSession, root: str, database: str = "default") -> None:
+    """External catalog tables over the written tables, for other sessions."""
+    for name in [*RAW_TABLES, *STAGING, *MARTS]:
+        register_table(spark, f"{database}.{name}", table_path(root, name))
+
+
 def _checked(spark: SparkSession, root: str, name: str) -> DataFrame:
     """The written table that holds the checked columns."""
     return table(spark, root, "game_facts" if name == "stg_games" else name)

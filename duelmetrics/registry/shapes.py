@@ -97,12 +97,15 @@ def raw_players(events: DataFrame) -> DataFrame:
 
 
 def archives(games: DataFrame) -> DataFrame:
-    """Nested payloads, one per raw game; some empty, some without a side."""
+    """Nested payloads: every game, some twice in one payload, some without a side.
+
+    Further payloads have no games, either an empty array or none.
+    """
     side = {
         s: F.struct(*[F.col(f"{s}_{f}").alias(f) for f in ("username", "rating", "result")])
         for s in ("white", "black")
     }
-    no_side = F.col("end_time") % 13 == 0
+    third, no_side = F.col("end_time") % 3, F.col("end_time") % 13 == 0
     game = F.struct(
         F.col("game_url").alias("url"),
         "time_class",
@@ -113,9 +116,14 @@ def archives(games: DataFrame) -> DataFrame:
         F.when(~no_side, side["black"]).alias("black"),
         "end_time",
     )
-    third = F.col("end_time") % 3
+    one = F.array(game)
+    payloads = (
+        F.when(third == 0, F.array(one, F.filter(one, lambda g: F.lit(False))))
+        .when(third == 1, F.array(F.array(game, game)))
+        .otherwise(F.array(one, F.lit(None)))
+    )
     return games.select(
-        F.when(third == 0, F.array(game)).when(third == 1, F.array(game, game)).alias("games"),
+        F.explode(payloads).alias("games"),
         "username",
         F.lit("2024").alias("year"),
         F.lit("01").alias("month"),

@@ -151,6 +151,14 @@ def test_a_table_can_be_replaced_by_a_query_over_itself(spark, tmp_path):
     assert os.listdir(tmp_path) == ["t"]
 
 
+def test_a_replacement_that_broke_off_is_undone(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    tables.replace_table(raw_games(spark, {}), path)
+    os.rename(path, f"{path}.old-1")
+    tables.ensure_table(spark, path, RAW_GAMES)
+    assert tables.read_table(spark, path).count() == 1
+
+
 def test_repair(spark, tmp_path):
     path = f"{tmp_path}/t"
     twice = raw_games(
@@ -225,6 +233,14 @@ def test_pipeline(spark, tmp_path, landed):
     with pytest.raises(DataCheckFailed, match="accepted_values"):
         pipeline.run_checks(spark, root, players=["bob"], fail_on_error=True)
 
+    spark.sql(f"create database games_test location '{tmp_path}/db'")
+    try:
+        for _ in range(2):
+            pipeline.register_tables(spark, root, "games_test")
+        assert spark.table("games_test.mart_elo_progression").count() == 3
+        assert spark.table("games_test.raw_games").schema == RAW_GAMES
+    finally:
+        spark.sql("drop database games_test cascade")
     pipeline.register_views(spark, root)
     counted = spark.sql(
         "select s.username, count(*) n, max(m.total_games_all) t from stg_games s "
@@ -239,8 +255,6 @@ def test_empty_load_keeps_raw_tables_and_low_volume_raises(spark, tmp_path, land
         pipeline.run_ingestion(spark, landed, root, "2025-02-01T00:00:00")
     empty = f"{tmp_path}/empty"
     land(f"{empty}/archives/username=Ann/year=2025/month=02", {"games": []})
-    os.makedirs(f"{empty}/profiles")
-    os.makedirs(f"{empty}/stats")
     pipeline.run_ingestion(spark, empty, root, "2025-03-01T00:00:00", more_than=29)
     loaded = pipeline.table(spark, root, "raw_games").select("ingested_at").distinct()
     assert rows(loaded) == [("2025-02-01T00:00:00",)]
