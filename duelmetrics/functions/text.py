@@ -34,3 +34,12 @@ def signed_delta(delta: Column, unit: Column) -> Column:
 
 def whole_number(value: Column, unit: Column) -> Column:
     return F.format_string("%.0f%s", value, unit)
+
+
+def grouped_number(value: Column) -> Column:
+    """``12,345``."""
+    return F.format_number(value, 0)
+
+
+def one_decimal(value: Column, unit: str) -> Column:
+    return F.when(value.isNotNull(), F.format_string("%.1f%s", value, F.lit(unit)))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from duelmetrics import fixed_values as fixed
 from duelmetrics.functions.measures import row_count
-from duelmetrics.functions.text import format_label
+from duelmetrics.functions.text import format_label, grouped_number, one_decimal
 from duelmetrics.operators.compare import compare_entities
 from duelmetrics.operators.ranking import (
     argmax_row,
@@ -57,6 +57,17 @@ def kpi_row(stats: DataFrame) -> DataFrame:
     )
 
 
+def kpi_labels(stats: DataFrame) -> DataFrame:
+    """The numbers of ``kpi_row`` as they are shown."""
+    row = kpi_row(stats)
+    return row.select(
+        grouped_number(F.col("total_games")).alias("total_games"),
+        grouped_number(F.col("players_tracked")).alias("players_tracked"),
+        one_decimal(F.col("best_blitz_win_rate"), "%").alias("best_blitz_win_rate"),
+        grouped_number(F.col("highest_peak_rating")).alias("highest_peak_rating"),
+    )
+
+
 def best_blitz_player(stats: DataFrame) -> DataFrame:
     return argmax_row(stats, "blitz_win_rate_pct", **MOST_GAMES_FIRST)
 

@@ -43,30 +43,31 @@ raw_games AS (
 )"""
 
 _STAGED = r"""
+{name}_sided AS (
+    SELECT
+        * REPLACE (
+            lower(username) AS username, lower(time_class) AS time_class,
+            lower(white_username) AS white_username, lower(black_username) AS black_username,
+            lower(white_result) AS white_result, lower(black_result) AS black_result
+        ),
+        lower(white_username) = lower(username) AS on_white
+    FROM {source}
+),
 {name} AS (
     SELECT
-        game_url, pgn, lower(username) AS username, lower(time_class) AS time_class,
-        time_control, rated, lower(white_username) AS white_username, white_rating,
-        lower(white_result) AS white_result, lower(black_username) AS black_username,
-        black_rating, lower(black_result) AS black_result,
+        * EXCLUDE (end_time, on_white),
         make_timestamp(end_time * 1000000) AS ended_at,
-        CASE WHEN lower(white_username) = lower(username)
-             THEN 'white' ELSE 'black' END AS player_color,
-        CASE WHEN lower(white_username) = lower(username)
-             THEN lower(white_result) ELSE lower(black_result) END AS player_result,
-        CASE WHEN lower(white_username) = lower(username)
-             THEN white_rating ELSE black_rating END AS player_rating,
-        CASE WHEN lower(white_username) = lower(username)
-             THEN black_rating ELSE white_rating END AS opponent_rating,
-        CASE WHEN lower(white_username) = lower(username)
-             THEN lower(black_username) ELSE lower(white_username) END AS opponent_username,
-        ingested_at
-    FROM {source}
+        if(on_white, 'white', 'black') AS player_color,
+        if(on_white, white_result, black_result) AS player_result,
+        if(on_white, white_rating, black_rating) AS player_rating,
+        if(on_white, black_rating, white_rating) AS opponent_rating,
+        if(on_white, black_username, white_username) AS opponent_username
+    FROM {name}_sided
     QUALIFY row_number() OVER (
         PARTITION BY {key}
-        ORDER BY ingested_at DESC, lower(username), end_time, player_color,
+        ORDER BY ingested_at DESC, username, end_time, player_color,
             player_result NULLS FIRST, player_rating NULLS FIRST,
-            opponent_rating NULLS FIRST, lower(time_class)
+            opponent_rating NULLS FIRST, time_class
     ) = 1
 )"""
 
@@ -110,9 +111,7 @@ players AS (
         lower(username) AS username, player_id, upper(title) AS title, name AS full_name,
         upper(country) AS country_code, location, followers, is_streamer,
         rapid_rating, blitz_rating, bullet_rating,
-        greatest(
-            coalesce(rapid_rating, 0), coalesce(blitz_rating, 0), coalesce(bullet_rating, 0)
-        ) AS peak_rating,
+        coalesce(greatest(rapid_rating, blitz_rating, bullet_rating), 0) AS peak_rating,
         ingested_at
     FROM (
         SELECT * FROM {source}
@@ -121,22 +120,25 @@ players AS (
 )"""
 
 
-PERFORMANCE = r"""
+_RESULTS = """
+    CAST(count(*) AS BIGINT) AS total_games,
+    CAST(count(*) FILTER (player_result = 'win') AS BIGINT) AS {wins},
+    CAST(count(*) FILTER (player_result = 'loss') AS BIGINT) AS {losses},
+    CAST(count(*) FILTER (player_result = 'draw') AS BIGINT) AS {draws},
+    round(count(*) FILTER (player_result = 'win') / count(*) * 100, 2) AS win_rate_pct,
+    round(avg(player_rating), 0) AS avg_rating"""
+
+PERFORMANCE = f"""
 performance AS (
     SELECT
         username, time_class,
-        CAST(count(*) AS BIGINT) AS total_games,
-        CAST(count_if(player_result = 'win') AS BIGINT) AS total_wins,
-        CAST(count_if(player_result = 'loss') AS BIGINT) AS total_losses,
-        CAST(count_if(player_result = 'draw') AS BIGINT) AS total_draws,
-        round(count_if(player_result = 'win') / count(*) * 100, 2) AS win_rate_pct,
-        CAST(count_if(player_color = 'white') AS BIGINT) AS games_as_white,
-        CAST(count_if(player_color = 'black') AS BIGINT) AS games_as_black,
-        CAST(count_if(player_color = 'white' AND player_result = 'win') AS BIGINT)
+        {_RESULTS.format(wins="total_wins", losses="total_losses", draws="total_draws")},
+        CAST(sum(if(player_color = 'white', 1, 0)) AS BIGINT) AS games_as_white,
+        CAST(sum(if(player_color = 'black', 1, 0)) AS BIGINT) AS games_as_black,
+        CAST(sum(if(player_color = 'white' AND player_result = 'win', 1, 0)) AS BIGINT)
             AS wins_as_white,
-        CAST(count_if(player_color = 'black' AND player_result = 'win') AS BIGINT)
+        CAST(sum(if(player_color = 'black' AND player_result = 'win', 1, 0)) AS BIGINT)
             AS wins_as_black,
-        round(avg(player_rating), 0) AS avg_rating,
         max(player_rating) AS max_rating, min(player_rating) AS min_rating,
         round(avg(opponent_rating), 0) AS avg_opponent_rating,
         min(ended_at) AS first_game_at, max(ended_at) AS last_game_at
@@ -167,31 +169,21 @@ stats AS (
     {_FORMAT_JOINS}
 )"""
 
-OPENINGS = r"""
+OPENINGS = f"""
+tagged AS (
+    SELECT *,
+        regexp_extract(pgn, '\\[ECOUrl "https://www\\.chess\\.com/openings/([^"]+)"\\]', 1) AS slug,
+        regexp_extract(pgn, '\\[ECO "([^"]+)"\\]', 1) AS eco
+    FROM games
+),
 openings AS (
     SELECT
-        username, time_class, player_color, opening_slug, eco_code,
-        CAST(count(*) AS BIGINT) AS total_games,
-        CAST(count_if(player_result = 'win') AS BIGINT) AS wins,
-        CAST(count_if(player_result = 'loss') AS BIGINT) AS losses,
-        CAST(count_if(player_result = 'draw') AS BIGINT) AS draws,
-        round(count_if(player_result = 'win') / count(*) * 100, 2) AS win_rate_pct,
-        round(avg(player_rating), 0) AS avg_rating
-    FROM (
-        SELECT
-            * EXCLUDE (pgn),
-            coalesce(nullif(regexp_extract(
-                pgn, '\[ECOUrl "https://www\.chess\.com/openings/([^"]+)"\]', 1
-            ), ''), 'unknown') AS opening_slug,
-            coalesce(nullif(regexp_extract(pgn, '\[ECO "([^"]+)"\]', 1), ''), 'unknown')
-                AS eco_code
-        FROM games
-    )
-    GROUP BY ALL HAVING count(*) >= 3
+        username, time_class, player_color,
+        if(slug = '' OR slug IS NULL, 'unknown', slug) AS opening_slug,
+        if(eco = '' OR eco IS NULL, 'unknown', eco) AS eco_code,
+        {_RESULTS.format(wins="wins", losses="losses", draws="draws")}
+    FROM tagged GROUP BY 1, 2, 3, 4, 5 HAVING count(*) >= 3
 )"""
-OPENINGS = OPENINGS.replace(
-    "GROUP BY ALL", "GROUP BY username, time_class, player_color, opening_slug, eco_code"
-)
 
 DAILY = r"""
 per_game AS (
@@ -239,7 +231,7 @@ ALL_DAYS = (*GAMES, DAILY, PROGRESSION)
 
 ORACLES["stg_games"] = sql("SELECT * FROM games", *GAMES)
 ORACLES["stg_games_both_sides"] = sql(
-    "SELECT * FROM games", RAW_GAMES, staged(key="game_url, lower(username)")
+    "SELECT * FROM games", RAW_GAMES, staged(key="game_url, username")
 )
 ORACLES["stg_players"] = sql("SELECT * FROM players", RAW_PLAYERS, staged_players())
 ORACLES["int_player_performance"] = sql("SELECT * FROM performance", *GAMES, PERFORMANCE)
@@ -266,6 +258,17 @@ FROM
 """,
     *ALL_STATS,
 )
+ORACLES["kpi_labels"] = sql(
+    """
+SELECT
+    format('{:,}', CAST(sum(total_games_all) AS BIGINT)) AS total_games,
+    format('{:,}', count(*)) AS players_tracked,
+    printf('%.1f', max(blitz_win_rate_pct)) || '%' AS best_blitz_win_rate,
+    format('{:,}', max(peak_rating)) AS highest_peak_rating
+FROM stats
+""",
+    *ALL_STATS,
+)
 ORACLES["best_blitz_player"] = sql(
     """
 SELECT username, blitz_win_rate_pct FROM stats WHERE blitz_win_rate_pct IS NOT NULL

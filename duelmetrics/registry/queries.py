@@ -148,6 +148,11 @@ def kpi_row(spark, sf):
     return frames.kpi_row(_stats(spark, sf))
 
 
+@query
+def kpi_labels(spark, sf):
+    return frames.kpi_labels(_stats(spark, sf))
+
+
 @query
 def best_blitz_player(spark, sf):
     return frames.best_blitz_player(_stats(spark, sf)).select("username", "blitz_win_rate_pct")

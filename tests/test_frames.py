@@ -29,6 +29,11 @@ def test_kpi_row(stats):
     assert rows(frames.best_blitz_player(stats), "username") == [("bob",)]
 
 
+def test_kpi_labels(stats):
+    many = stats.withColumn("total_games_all", stats.total_games_all * 1000)
+    assert rows(frames.kpi_labels(many)) == [("40,000", "3", "50.0%", "2,800")]
+
+
 def test_kpi_row_of_players_without_blitz(stats):
     (row,) = frames.kpi_row(stats.filter("username = 'cid'")).collect()
     assert (row.best_blitz_win_rate, row.best_blitz_player) == (None, None)

@@ -187,6 +187,7 @@ def test_clustering_splits_a_hot_key_and_sorts_files(spark, tmp_path):
         tables.replace_table(df, path, ["k"])
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan_of(tables.clustered(df, ["k"]))
     stored = tables.read_table(spark, path).select("k", F.input_file_name().alias("file"))
     hot = stored.filter("k = 'hot'").select("file").distinct().count()
     assert stored.count() == 300000 and hot > 1
