@@ -112,7 +112,8 @@ def stage_players(raw: DataFrame) -> DataFrame:
     that differ in case stay separate rows.
     """
     ratings = ["rapid_rating", "blitz_rating", "bullet_rating"]
-    latest = latest_per_key(raw, ["username"], ["ingested_at"], ["player_id", *ratings])
+    others = [c for c in raw.columns if c not in ("username", "ingested_at")]
+    latest = latest_per_key(raw, ["username"], ["ingested_at"], others)
     return latest.select(
         F.lower("username").alias("username"),
         "player_id",

@@ -348,6 +348,9 @@ FROM ({_METRICS}) WHERE value_1 IS NOT NULL AND value_2 IS NOT NULL
 """,
     *ALL_STATS,
 )
+ORACLES["openings_in_order"] = sql(
+    "SELECT * FROM openings ORDER BY total_games DESC", *ALL_OPENINGS
+)
 ORACLES["options_username"] = sql("SELECT DISTINCT username FROM progression", *ALL_DAYS)
 ORACLES["options_time_class"] = sql("SELECT DISTINCT time_class FROM progression", *ALL_DAYS)
 ORACLES["options_opening_username"] = sql("SELECT DISTINCT username FROM openings", *ALL_OPENINGS)
@@ -677,7 +680,9 @@ def schema_tests(games: str = "games") -> str:
             *"username time_class total_games win_rate_pct avg_rating max_rating".split(),
         )
         + not_null(
-            "mart_player_stats", "stats", *"username peak_rating total_games_all total_wins_all".split()
+            "mart_player_stats",
+            "stats",
+            *"username peak_rating total_games_all total_wins_all".split(),
         )
         + [unique("mart_player_stats", "stats", "username")]
         + not_null(

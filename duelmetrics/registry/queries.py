@@ -39,6 +39,8 @@ CHOSEN = ["player0", "player1", "player2"]
 AS_OF = "2024-02-01T00:00:00"
 BATCH = "2024-01-31T06:00:00"
 DAYS = [date(2024, 1, 1) + timedelta(days=i) for i in range(31)]
+HOST = r"^https?://(?:www\.|m\.|blog\.)?([^/?#]+)"
+CAMPAIGN = r"[?&]utm_source=([^&#]+)"
 LINEITEM_TIES = [
     "l_partkey",
     "l_suppkey",
@@ -193,6 +195,11 @@ def compare_two(spark, sf):
     return frames.compare_players(_stats(spark, sf), "player1", "player2")
 
 
+@query
+def openings_in_order(spark, sf):
+    return frames.openings_in_order(_openings(spark, sf))
+
+
 @query
 def options_username(spark, sf):
     return frames.options(_progression(spark, sf), "username")
@@ -340,10 +347,8 @@ def url_tag_stats(spark, sf):
     return (
         read(spark, sf, "pages")
         .select(
-            F.coalesce(tag_value("url", r"^https?://(?:www\.|m\.|blog\.)?([^/?#]+)"), unknown).alias(
-                "host"
-            ),
-            F.coalesce(tag_value("url", r"[?&]utm_source=([^&#]+)"), unknown).alias("campaign"),
+            F.coalesce(tag_value("url", HOST), unknown).alias("host"),
+            F.coalesce(tag_value("url", CAMPAIGN), unknown).alias("campaign"),
             F.length("url").alias("url_length"),
         )
         .groupBy("host", "campaign")
@@ -625,9 +630,7 @@ def dq_summary(spark, sf):
 
 @query
 def dq_not_null(spark, sf):
-    pages = read(spark, sf, "pages").withColumn(
-        "campaign", tag_value("url", r"[?&]utm_source=([^&#]+)")
-    )
+    pages = read(spark, sf, "pages").withColumn("campaign", tag_value("url", CAMPAIGN))
     return dq.run_suite(pages, "pages", [dq.not_null(c) for c in ("page_id", "url", "campaign")])
 
 

@@ -84,10 +84,12 @@ def test_share_of_total_keeps_rows_in_place(spark):
 
 
 def test_pivot_and_long_form(spark):
-    df = spark.createDataFrame([("a", "x", 1), ("a", "y", 2), ("b", "z", 3)], "k string, c string, n int")
+    cells = [("a", "x", 1), ("a", "y", 2), ("b", "z", 3)]
+    df = spark.createDataFrame(cells, "k string, c string, n int")
     wide = pivot_metrics(df, "k", "c", ["x", "y"], {"n": "n"})
     assert rows(wide) == [("a", 1, 2)]
-    long = long_form(wide.withColumn("none", F.lit(None).cast("int")), ["k"], ["x_n", "none"], "m", "v")
+    wider = wide.withColumn("none", F.lit(None).cast("int"))
+    long = long_form(wider, ["k"], ["x_n", "none"], "m", "v")
     assert rows(long) == [("a", "x_n", 1)]
 
 

@@ -105,7 +105,8 @@ def test_volume_limits(spark):
 
 def test_missing_day_is_an_anomaly(spark):
     days = [d for d in range(1, 15) for _ in range(100 + d % 3) if d != 12]
-    df = spark.createDataFrame([("a", f"2025-01-{d:02d} 10:00:00") for d in days], "k string, t string")
+    seen = [("a", f"2025-01-{d:02d} 10:00:00") for d in days]
+    df = spark.createDataFrame(seen, "k string, t string")
     df = df.withColumn("at", df.t.cast("timestamp_ntz"))
     found = monitors.volume_anomaly(df, ["k"], "at").collect()
     assert len(found) == 14
@@ -113,7 +114,8 @@ def test_missing_day_is_an_anomaly(spark):
 
 
 def test_schema_change(spark):
-    before = spark.createDataFrame([(i, "x", i, i) for i in range(100)], "a int, b string, c int, d int")
+    data = [(i, "x", i, i) for i in range(100)]
+    before = spark.createDataFrame(data, "a int, b string, c int, d int")
     after = before.selectExpr("a", "cast(c as bigint) c", "if(d < 50, d, null) d", "1 as e")
     found = monitors.schema_change(before, after)
     assert rows(found, "column_name", "change") == [

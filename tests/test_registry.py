@@ -5,7 +5,7 @@ import pytest
 from helpers import plan_of
 
 from __spark_entry__ import entry, oracle_sql, queries
-from compare_oracle import TABLES, normalized
+from compare_oracle import TABLES, normalized, odd_types
 
 SF = "/root/testdata/sf0.001"
 
@@ -34,6 +34,7 @@ def test_query_equals_its_sql(spark, con, name):
     got = normalized(df.columns, [tuple(r) for r in df.collect()])
     cursor = con.execute(oracle_sql()[name])
     columns = [d[0] for d in cursor.description]
+    assert not odd_types(df, cursor.description)
     assert got == normalized(columns, cursor.fetchall())
     plan = plan_of(df)
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
