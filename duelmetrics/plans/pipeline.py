@@ -51,12 +51,14 @@ def run_ingestion(
     root: str,
     ingested_at: str,
     more_than: int = fixed.MIN_RAW_GAMES,
-    cluster_by: Sequence[str] = tuple(GAME_CLUSTERING),
+    gather: bool = False,
 ) -> None:
     """Landed payloads to raw tables: players, games, then the volume check.
 
-    A load without rows leaves the table of the load before it. ``cluster_by``
-    costs one shuffle of the games; pass ``()`` to write them as they arrive.
+    A load without rows leaves the table of the load before it. A landed file
+    holds the games of one player, so sorting each written file clusters the
+    games without moving their text between tasks; ``gather`` also shuffles them
+    so that a player's games share files.
     """
     for name, schema in RAW_TABLES.items():
         ensure_table(spark, table_path(root, name), schema)
@@ -66,7 +68,8 @@ def run_ingestion(
     replace_table(players, table_path(root, "raw_players"), keep_if_empty=True)
     archives = _landed(spark, payloads.read_archives, f"{landed}/archives", ARCHIVE)
     games = payloads.flatten_archives(archives, ingested_at)
-    replace_table(games, table_path(root, "raw_games"), cluster_by, keep_if_empty=True)
+    raw_path = table_path(root, "raw_games")
+    replace_table(games, raw_path, GAME_CLUSTERING, keep_if_empty=True, gather=gather)
     raise_on_failure(volume_check(table(spark, root, "raw_games"), "raw_games", more_than))
 
 
@@ -78,7 +81,7 @@ def _write_all(root: str, built: dict[str, tuple[DataFrame, Sequence[str]]]) ->
 
     def write(name: str) -> None:
         df, order = built[name]
-        replace_table(df.sortWithinPartitions(*order) if order else df, table_path(root, name))
+        replace_table(df, table_path(root, name), order, gather=False)
 
     with ThreadPoolExecutor(len(built)) as pool:
         for done in [pool.submit(write, name) for name in built]:

@@ -195,6 +195,18 @@ def test_clustering_splits_a_hot_key_and_sorts_files(spark, tmp_path):
     assert "EqualTo(k,hot)" in chosen
 
 
+def test_files_can_be_sorted_without_a_shuffle(spark, tmp_path):
+    df = spark.range(0, 1000, 1, 4).select((F.col("id") * 7 % 10).alias("k"), "id")
+    assert "Exchange" not in plan_of(tables.clustered(df, ["k"], gather=False))
+    path = f"{tmp_path}/t"
+    tables.replace_table(df, path, ["k"], gather=False)
+    files = [f"{path}/{f}" for f in os.listdir(path) if f.endswith(".parquet")]
+    assert len(files) == 4
+    for file in files:
+        keys = [r.k for r in spark.read.parquet(file).collect()]
+        assert keys == sorted(keys)
+
+
 def test_scratch_dir_follows_the_session(spark):
     first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert first != second
