@@ -4,8 +4,10 @@ import duckdb
 import pytest
 from helpers import plan_of
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from compare_oracle import TABLES, normalized, odd_types
+from duelmetrics.registry.oracles import ORACLES
+from duelmetrics.registry.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -21,18 +23,18 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):
     assert entry(spark).count() == 7
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_its_sql(spark, con, name):
-    df = queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     got = normalized(df.columns, [tuple(r) for r in df.collect()])
-    cursor = con.execute(oracle_sql()[name])
+    cursor = con.execute(ORACLES[name])
     columns = [d[0] for d in cursor.description]
     assert not odd_types(df, cursor.description)
     assert got == normalized(columns, cursor.fetchall())
