@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from duelmetrics.llm import exact_dedup, mixing
+from duelmetrics.llm import decontaminate, exact_dedup, mixing, near_dedup
 from duelmetrics.llm.common import table
 
 
@@ -12,12 +12,22 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_classes(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_counts(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_decontamination": op3_decontamination,
+    "op4_near_dedup": op4_near_dedup,
     "op7_mixing": op7_mixing,
 }
 
