@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from duelmetrics.llm import decontaminate, exact_dedup, mixing, near_dedup
+from duelmetrics.llm import decontaminate, exact_dedup, language_id, mixing, near_dedup, warc
 from duelmetrics.llm.common import table
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.languages(table(spark, sf_dir, "documents"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"), keep="largest")
 
@@ -24,11 +28,17 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_counts(table(spark, sf_dir, "documents"))
 
 
+def op8_warc_revisit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_decontamination": op3_decontamination,
     "op4_near_dedup": op4_near_dedup,
     "op7_mixing": op7_mixing,
+    "op8_warc_revisit": op8_warc_revisit,
 }
 
 ORACLES = {
