@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from duelmetrics.llm import decontaminate, exact_dedup, language_id, mixing, near_dedup, warc
+from duelmetrics.llm import decontaminate, exact_dedup, language_id, license_scan, mixing, near_dedup, pii, secrets, warc
 from duelmetrics.llm.common import table
 
 
@@ -24,6 +24,14 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_classes(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.licences(table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_counts(table(spark, sf_dir, "documents"))
 
@@ -32,13 +40,20 @@ def op8_warc_revisit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, sf_dir, "pages"))
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secrets(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_decontamination": op3_decontamination,
     "op4_near_dedup": op4_near_dedup,
+    "op5_personal_data": op5_personal_data,
+    "op6_license_scan": op6_license_scan,
     "op7_mixing": op7_mixing,
     "op8_warc_revisit": op8_warc_revisit,
+    "op10_secrets": op10_secrets,
 }
 
 ORACLES = {
@@ -51,6 +66,7 @@ ORACLES = {
         FROM documents
         WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op6_license_scan": license_scan.oracle_sql(),
     "op7_mixing": """
         WITH sized AS (
             SELECT doc_id, source,
