@@ -191,44 +191,60 @@ class ItemIndex:
         }
 
 
-def _find(index, words: int, schema_names):
+def _search(known: ItemIndex, texts) -> Iterator[tuple[int, int, list]]:
+    """(row, item, places) for each text of a batch and item that it holds."""
+    at = 0
+    while at < len(texts):
+        begin, some, total = at, [], 0
+        while at < len(texts) and total < 8 * STRETCH:
+            hashes = word_hashes(normal_bytes(texts[at].as_py()))
+            enough = len(hashes) >= known.words
+            some.append(shingle_hashes(hashes, known.words) if enough else hashes[:0])
+            total += len(some[-1])
+            at += 1
+        for k, aligned in sorted(known.aligned(some).items()):
+            for item, places in sorted(known.matches(some[k], aligned).items()):
+                yield begin + k, item, places
+
+
+def _find(index, names: list[str]):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: ItemIndex = index.value
         for batch in batches:
             rows = []
-            texts = batch.column("text")
-            at = 0
-            while at < batch.num_rows:
-                begin, some, total = at, [], 0
-                while at < batch.num_rows and total < 8 * STRETCH:
-                    hashes = word_hashes(normal_bytes(texts[at].as_py()))
-                    some.append(shingle_hashes(hashes, words) if len(hashes) >= words else hashes[:0])
-                    total += len(some[-1])
-                    at += 1
-                for k, aligned in sorted(known.aligned(some).items()):
-                    for item, places in sorted(known.matches(some[k], aligned).items()):
-                        score, first, count = max((p[2], -p[0], p[1]) for p in places)
-                        rows.append(
-                            (begin + k, known.items[item][0], score, -first, -first + count + words - 1, places)
-                        )
+            for k, item, places in _search(known, batch.column("text")):
+                score, first, count = max((p[2], -p[0], p[1]) for p in places)
+                end = -first + count + known.words - 1
+                rows.append((k, known.items[item][0], score, -first, end, [p[0] for p in places]))
             if not rows:
                 continue
-            take = pa.array([r[0] for r in rows], pa.int64())
+            k, items, scores, firsts, ends, starts = map(list, zip(*rows))
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("row").take(take),
-                    pa.array([r[1] for r in rows]),
-                    pa.array([r[2] for r in rows], pa.float64()),
-                    pa.array([r[3] for r in rows], pa.int64()),
-                    pa.array([r[4] for r in rows], pa.int64()),
-                    pa.array([[p[0] for p in r[5]] for r in rows], pa.list_(pa.int64())),
+                    batch.column("row").take(pa.array(k)),
+                    pa.array(items),
+                    pa.array(scores, pa.float64()),
+                    pa.array(firsts, pa.int64()),
+                    pa.array(ends, pa.int64()),
+                    pa.array(starts, pa.list_(pa.int64())),
                 ],
-                names=schema_names,
+                names=names,
             )
 
     return find
 
 
+def _clean(index):
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            stays = np.ones(batch.num_rows, dtype=bool)
+            for k, _, _ in _search(index.value, batch.column("row").field("text")):
+                stays[k] = False
+            yield batch.filter(pa.array(stays))
+
+    return clean
+
+
 def _slices(benchmark: DataFrame, slice_words: int) -> list[DataFrame]:
     """The items in slices of a bounded number of words (one longer item is a slice of its own size)."""
     items = benchmark.select("item_id", text_or_empty().alias("text"))
@@ -240,6 +256,14 @@ def _slices(benchmark: DataFrame, slice_words: int) -> list[DataFrame]:
     return [items.filter(part == k) for k in range(count)]
 
 
+def _indexes(benchmark: DataFrame, radius: int, words: int, similarity: float, slice_words: int):
+    """A broadcast index of each slice; a slice has a bounded number of words, whatever the benchmark's size."""
+    context = benchmark.sparkSession.sparkContext
+    for part in _slices(benchmark, slice_words):
+        items = sorted((r.item_id, r.text) for r in part.filter("item_id is not null").collect())
+        yield context.broadcast(ItemIndex(items, radius, words, similarity))
+
+
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -255,10 +279,9 @@ def find_leaks(
     and last word (exclusive) of its best place, and starts, the first words of all its places.
     Similarity is the weighted Jaccard of five-word shingles (lower case, punctuation apart) between
     the item and as many words of the document. Items and documents of fewer than five words have no
-    shingle and match nothing; null is empty. Repeated rows and repeated items give repeated results;
-    equal places are resolved to the first. The whole text of every document is searched.
+    shingle and match nothing; null is empty, items without item_id are left out. Repeated rows and
+    repeated items give repeated results; of equal places the first is the best. The whole text of every document is searched.
     """
-    spark = docs.sparkSession
     key = key or ["doc_id"]
     rows = docs.select(F.struct(*[F.col(c) for c in key]).alias("row"), text_or_empty().alias("text"))
     id_type = benchmark.schema["item_id"].dataType
@@ -273,10 +296,8 @@ def find_leaks(
         ]
     )
     result = None
-    for part in _slices(benchmark, slice_words):
-        # a slice has a bounded number of words, whatever the size of the benchmark
-        index = ItemIndex([(r.item_id, r.text) for r in part.collect()], radius, words, similarity)
-        found = rows.mapInArrow(_find(spark.sparkContext.broadcast(index), words, schema.names), schema)
+    for index in _indexes(benchmark, radius, words, similarity, slice_words):
+        found = rows.mapInArrow(_find(index, schema.names), schema)
         result = found if result is None else result.union(found)
     return result
 
@@ -296,23 +317,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs, all columns, that hold no benchmark item.
-
-    Documents are told apart by doc_id and a digest of their text, so rows that share an id are judged
-    each by its own text.
-    """
-    hashed = docs.select(
-        F.struct(*[F.col(c) for c in docs.columns]).alias("row"),
-        F.col("doc_id"),
-        F.xxhash64(text_or_empty()).alias("text_hash"),
-        F.col("text"),
-    )
-    found = find_leaks(hashed, benchmark, key=["doc_id", "text_hash"]).select(
-        F.col("row.doc_id").alias("bad_id"), F.col("row.text_hash").alias("bad_hash")
-    )
-    return hashed.join(
-        found.distinct(),
-        (F.col("text_hash") == F.col("bad_hash")) & F.col("doc_id").eqNullSafe(F.col("bad_id")),
-        "left_anti",
-    ).select("row.*")
+def drop_leaks(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    radius: int = RADIUS,
+    words: int = WORDS,
+    similarity: float = SIMILARITY,
+    slice_words: int = SLICE_WORDS,
+) -> DataFrame:
+    """The rows of docs, all columns, that hold no benchmark item; each row is judged by its own text."""
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"))
+    for index in _indexes(benchmark, radius, words, similarity, slice_words):
+        rows = rows.mapInArrow(_clean(index), rows.schema)
+    return rows.select("row.*")

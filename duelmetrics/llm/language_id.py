@@ -16,6 +16,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from duelmetrics.llm.common import cut, text_or_empty
 
@@ -257,37 +258,29 @@ def train(
     return Model(labels, weights.astype(np.float32), idf.astype(np.float32), temperature)
 
 
-def _predict(shared):
+def _predict(shared, text_column: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
         for batch in batches:
-            found = [model.predict(t.as_py()) for t in batch.column("text")]
+            row = batch.column("row")
+            found = [model.predict(t.as_py()) for t in row.field(text_column)]
             yield pa.RecordBatch.from_arrays(
-                [
-                    *batch.drop_columns(["text"]).columns,
-                    pa.array([f[0] for f in found], pa.string()),
-                    pa.array([f[1] for f in found], pa.float64()),
-                ],
-                names=[*batch.drop_columns(["text"]).schema.names, "lang_pred", "score"],
+                [row, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
+                names=["row", "lang_pred", "score"],
             )
 
     return run
 
 
-def predict(df: DataFrame, model: Model, text_column: str = "text", carry: list[str] | None = None) -> DataFrame:
-    """The struct `row` of the `carry` columns (default: all), lang_pred and score of each row.
+def predict(df: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
+    """The struct `row` of all columns of df, lang_pred and score of each row.
 
     lang_pred is a learned label; `und` with score 0 if the text is null or has no letter, or nothing was
     learned. score is the calibrated probability of the label. Equal scores go to the first label in
     code-point order. Texts are read whole.
     """
-    from pyspark.sql import types as T
-
     shared = df.sparkSession.sparkContext.broadcast(model)  # 2**FEATURE_BITS x labels numbers
-    rows = df.select(
-        F.struct(*[F.col(c) for c in (carry or df.columns)]).alias("row"),
-        F.col(text_column).cast("string").alias("text"),
-    )
+    rows = df.select(F.struct(*[F.col(c) for c in df.columns]).alias("row"))
     schema = T.StructType(
         [
             rows.schema["row"],
@@ -295,7 +288,7 @@ def predict(df: DataFrame, model: Model, text_column: str = "text", carry: list[
             T.StructField("score", T.DoubleType()),
         ]
     )
-    return rows.mapInArrow(_predict(shared), schema)
+    return rows.mapInArrow(_predict(shared, text_column), schema)
 
 
 def held_out(id_column: str = "doc_id") -> Column:
@@ -307,9 +300,7 @@ def held_out(id_column: str = "doc_id") -> Column:
 def languages(df: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score. Rows without doc_id aren't learned from."""
     model = train(df.filter(~held_out() & F.col("doc_id").isNotNull()))
-    found = predict(
-        df.select("doc_id", held_out().alias("held_out"), "text"), model, carry=["doc_id", "held_out"]
-    )
+    found = predict(df.select("doc_id", held_out().alias("held_out"), "text"), model)
     return found.select("row.doc_id", "row.held_out", "lang_pred", "score")
 
 
@@ -320,9 +311,12 @@ LEAST_SCORE = 0.4
 def keep_known(df: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
     """The rows of df, all columns, whose language is one of the learned ones with enough probability.
 
-    With two labels or more; where fewer were learned, every text with a letter stays.
+    Texts without a letter go, null and empty ones among them. Where nothing could be learned, all others
+    stay.
     """
     model = train(df.filter(~held_out() & F.col("doc_id").isNotNull()))
+    if not model.labels:
+        return df.filter(text_or_empty().rlike(r"\p{L}"))
     found = predict(df, model)
     known = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)
     return found.filter(known).select("row.*")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from duelmetrics.llm import decontaminate, exact_dedup, language_id, license_scan, mixing, near_dedup, pii, secrets, warc
+from duelmetrics.llm import chat, decontaminate, exact_dedup, language_id, license_scan, mixing, near_dedup, pii, secrets, warc
 from duelmetrics.llm.common import table
 
 
@@ -40,6 +40,10 @@ def op8_warc_revisit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, sf_dir, "pages"))
 
 
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.formatted_digests(table(spark, sf_dir, "conversations"))
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets(table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ QUERIES = {
     "op6_license_scan": op6_license_scan,
     "op7_mixing": op7_mixing,
     "op8_warc_revisit": op8_warc_revisit,
+    "op9_chat_format": op9_chat_format,
     "op10_secrets": op10_secrets,
 }
 
