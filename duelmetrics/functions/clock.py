@@ -27,8 +27,21 @@ def utc_day(instant: Column) -> Column:
 
 
 def utc_from_iso(text: Column) -> Column:
-    """ISO-8601 text without zone to ``timestamp_ntz``; NULL if malformed."""
-    return text.try_cast("timestamp_ntz")
+    """ISO-8601 text to UTC ``timestamp_ntz``; NULL if malformed.
+
+    Text without a zone is taken for UTC, ``Z`` and offsets are converted.
+    """
+    offset = F.regexp_extract(text, r"([+-])(\d{2}):?(\d{2})$", 0)
+    with_time = text.contains("T") | text.contains(":")
+    zoned = with_time & (offset != "")
+    part = lambda k: F.regexp_extract(offset, r"([+-])(\d{2}):?(\d{2})", k)
+    minutes = part(2).try_cast("int") * 60 + part(3).try_cast("int")
+    minutes = F.when(part(1) == "-", -minutes).otherwise(minutes)
+    bare = F.when(zoned, F.regexp_replace(text, r"[+-]\d{2}:?\d{2}$", "")).otherwise(
+        F.regexp_replace(text, "[Zz]$", "")
+    )
+    at = bare.try_cast("timestamp_ntz")
+    return F.when(zoned, F.timestamp_add("MINUTE", -minutes, at)).otherwise(at)
 
 
 def iso_from_utc(instant: Column) -> Column:

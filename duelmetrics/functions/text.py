@@ -27,13 +27,46 @@ def leader_arrow(first: Column, second: Column) -> Column:
     return F.when(first > second, "←").when(second > first, "→").otherwise("=")
 
 
+def _tenths(size: Column) -> Column:
+    """Tenths of a number >= 0, rounded to the nearest and at a tie to the even one.
+
+    The binary value decides, not its shortest decimal form: 12.45 lies below
+    the middle. Whole part and fraction separate exactly. Twenty times the
+    fraction is the sum of 16 and 4 times it, both exact, and the error of that
+    sum follows from its parts.
+    """
+    whole = F.floor(size)
+    fraction = size - whole
+    larger, smaller = fraction * 16, fraction * 4
+    total = larger + smaller
+    taken = total - larger
+    error = (larger - (total - taken)) + (smaller - taken)
+    down = F.floor(total / 2)
+    past_middle = (total - (down * 2 + 1)) + error
+    up = (past_middle > 0) | ((past_middle == 0) & (down % 2 == 1))
+    return whole * 10 + down + up.cast("bigint")
+
+
+def _one_decimal(value: Column) -> Column:
+    """``3.5``, ``-2.0``; numbers too large for a tenth, NaN and infinity as they print."""
+    tenths = _tenths(F.abs(value))
+    text = F.concat(
+        F.when((value < 0) | (value.cast("string") == "-0.0"), "-").otherwise(""),
+        F.floor(tenths / 10).cast("string"),
+        F.lit("."),
+        (tenths % 10).cast("string"),
+    )
+    return F.when(F.abs(value) < 1e15, text).otherwise(F.format_string("%.1f", value))
+
+
 def signed_delta(delta: Column, unit: Column) -> Column:
     """``+3.5%`` / ``-2.0``; NULL when the values are equal."""
-    return F.when(delta != 0, F.format_string("%+.1f%s", delta, unit))
+    plus = F.when(delta > 0, "+").otherwise("")
+    return F.when(delta != 0, F.concat(plus, _one_decimal(delta), unit))
 
 
 def whole_number(value: Column, unit: Column) -> Column:
-    return F.format_string("%.0f%s", value, unit)
+    return F.format_string("%.0f%s", F.rint(value), unit)
 
 
 def grouped_number(value: Column) -> Column:
@@ -42,4 +75,4 @@ def grouped_number(value: Column) -> Column:
 
 
 def one_decimal(value: Column, unit: str) -> Column:
-    return F.when(value.isNotNull(), F.format_string("%.1f%s", value, F.lit(unit)))
+    return F.when(value.isNotNull(), F.concat(_one_decimal(value.cast("double")), F.lit(unit)))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duelmetrics.functions.text import leader_arrow, signed_delta, whole_number
+from duelmetrics.operators.ranking import rank_struct
 
 
 def compare_entities(
@@ -25,10 +26,7 @@ def compare_entities(
     """
     columns = [column for _, column, _ in metrics]
     cells = F.struct(*[F.col(c).cast("double").alias(c) for c in columns])
-    rank = F.struct(
-        *[F.negate(F.col(c)).alias(f"_down{i}") for i, c in enumerate(down)],
-        *[F.col(c).alias(f"_up{i}") for i, c in enumerate(columns)],
-    )
+    rank = rank_struct(down, columns)
     pair = df.filter(F.col(key).isin(first, second)).agg(
         F.min_by(cells, F.when(F.col(key) == first, rank)).alias("a"),
         F.min_by(cells, F.when(F.col(key) == second, rank)).alias("b"),

@@ -9,7 +9,7 @@ _BITS = 63
 
 
 def coverage_gaps(
-    entities: DataFrame,
+    entities: DataFrame | None,
     landed: DataFrame,
     key: str,
     period: str,
@@ -19,17 +19,23 @@ def coverage_gaps(
 
     Periods are numbered and the landed ones of a key are or-ed into bit masks
     of fixed width, so entities and landed rows meet in one hash aggregation
-    with map-side partial results. Neither the product of entities and periods
+    with map-side partial results. With ``entities`` None the landed rows name
+    them, and are scanned once. Neither the product of entities and periods
     nor a join is built, and a key's state does not grow with its rows.
     """
     periods = list(dict.fromkeys(expected))
-    known = entities.select(
-        key, F.lit(True).alias("_entity"), F.lit(None).cast("int").alias("_number")
-    )
     number = F.array_position(F.array(*[F.lit(p) for p in periods]), F.col(period)) - 1
-    seen = landed.filter(F.col(period).isin(*periods)).select(
-        key, F.lit(False).alias("_entity"), number.cast("int").alias("_number")
-    )
+    number = F.when(number >= 0, number.cast("int"))
+    if entities is None:
+        rows = landed.select(key, F.lit(True).alias("_entity"), number.alias("_number"))
+    else:
+        known = entities.select(
+            key, F.lit(True).alias("_entity"), F.lit(None).cast("int").alias("_number")
+        )
+        seen = landed.filter(F.col(period).isin(*periods)).select(
+            key, F.lit(False).alias("_entity"), number.alias("_number")
+        )
+        rows = known.unionAll(seen)
     one = F.lit(1).cast("bigint")
     starts = range(0, len(periods), _BITS)
     masks = [
@@ -41,7 +47,7 @@ def coverage_gaps(
         ).alias(f"_mask{start}")
         for start in starts
     ]
-    per_key = known.unionAll(seen).groupBy(key).agg(F.bool_or("_entity").alias("_known"), *masks)
+    per_key = rows.groupBy(key).agg(F.bool_or("_entity").alias("_known"), *masks)
     flags = [
         F.when(
             F.coalesce(F.col(f"_mask{i - i % _BITS}"), F.lit(0)).bitwiseAND(1 << i % _BITS) == 0,

@@ -15,8 +15,8 @@ from duelmetrics.operators.compare import compare_entities
 from duelmetrics.operators.ranking import (
     argmax_row,
     argmax_value,
-    distinct_options,
     first_appearances,
+    options_in_order,
     ordered,
     top_rows,
 )
@@ -131,8 +131,19 @@ def compare_players(stats: DataFrame, first: str, second: str) -> DataFrame:
     )
 
 
-def options(table: DataFrame, column: str) -> DataFrame:
-    return distinct_options(table, column)
+def progression_options(progression: DataFrame, column: str) -> DataFrame:
+    """Choices of the rating page in table order, numbered by ``position``."""
+    return options_in_order(progression, column, **BY_DAY)
+
+
+def opening_options(openings: DataFrame, column: str) -> DataFrame:
+    """Choices of the openings page in table order."""
+    return options_in_order(openings, column, **MOST_PLAYED_FIRST)
+
+
+def player_options(stats: DataFrame) -> DataFrame:
+    """Choices of the comparison: players, most games first."""
+    return options_in_order(stats, "username", **MOST_GAMES_FIRST)
 
 
 def default_players(progression: DataFrame, n: int = 3) -> DataFrame:

@@ -13,8 +13,9 @@ from duelmetrics.operators.perspective import perspective
 
 OPENING_TAGS = {"opening_slug": fixed.OPENING_SLUG_TAG, "eco_code": fixed.ECO_CODE_TAG}
 
-# After the load time: columns that every consumer reads anyway, so the order
-# is total without dragging wide columns into the shuffle.
+# After the load time: columns that every consumer reads anyway. Rows that agree
+# in them are told apart by a hash of all other columns, taken before the shuffle,
+# so the order is total without dragging wide columns along.
 _GAME_TIES = [
     "username",
     "ended_at",
@@ -42,6 +43,7 @@ def stage_games(
     raw: DataFrame,
     key: Sequence[str] = ("game_url",),
     result_map: Mapping[str, str] | None = None,
+    text_ties: bool = False,
 ) -> DataFrame:
     """Latest row per game, seen from the tracked player.
 
@@ -53,6 +55,9 @@ def stage_games(
     Every row is shaped before it is shuffled for the de-duplication. Columns
     the consumer does not read are pruned below the shuffle, among them the game
     text, whose tags (if ``raw`` carries them) are taken out before.
+
+    Two rows may agree in all but the text. To readers of the other columns they
+    are the same; ``text_ties`` lets the text decide too, which reads it.
     """
     lowered = raw.withColumns(
         {
@@ -74,7 +79,9 @@ def stage_games(
         side="player_color",
         labels=("white", "black"),
     )
-    staged = sided.select(
+    rest = [c for c in raw.columns if c not in OPENING_TAGS and (text_ties or c != "pgn")]
+    staged = sided.withColumn("_rest", F.xxhash64(*rest)).select(
+        "_rest",
         "game_url",
         "pgn",
         "username",
@@ -96,8 +103,8 @@ def stage_games(
         "ingested_at",
         *[c for c in OPENING_TAGS if c in raw.columns],
     )
-    ties = _GAME_TIES + [c for c in OPENING_TAGS if c in raw.columns]
-    return latest_per_key(staged, key, ["ingested_at"], ties)
+    ties = [*_GAME_TIES, *[c for c in OPENING_TAGS if c in raw.columns], "_rest"]
+    return latest_per_key(staged, key, ["ingested_at"], ties).drop("_rest")
 
 
 def game_facts(raw: DataFrame, **options) -> DataFrame:

@@ -100,43 +100,46 @@ def _fused(df: DataFrame, suite: str, checks: Sequence[Check]) -> DataFrame:
 
 
 def _per_value(df: DataFrame, check: Check) -> DataFrame:
-    """(value, n) without NULLs; partial counts precede the shuffle."""
-    value = F.col(check.column)
-    return (
-        df.filter(value.isNotNull())
-        .groupBy(value.alias("_value"))
-        .agg(row_count().alias("_n"))
-    )
+    """(value, n), NULL among the values; partial counts precede the shuffle."""
+    return df.groupBy(F.col(check.column).alias("_value")).agg(row_count().alias("_n"))
 
 
-def _grouped(df: DataFrame, suite: str, check: Check) -> DataFrame:
-    """A check over the values of a column.
+def _grouped(df: DataFrame, suite: str, checks: Sequence[Check]) -> DataFrame:
+    """All checks over the values of one column, from one aggregation per value.
 
     ``unique`` counts values that occur more than once, ``relationships`` counts
     rows without a parent. Values are grouped first, so a value that many rows
-    share is one row in the shuffle and in the join.
+    share is one row in the shuffle and in the joins.
     """
-    values = _per_value(df, check)
-    if check.kind == "unique":
-        broken = F.count_if(F.col("_n") > 1)
-    else:
-        parents = check.parent.select(F.col(check.parent_key).alias("_value"))
-        known = parents.distinct().withColumn("_known", F.lit(True))
-        values = values.join(known, "_value", "left")
-        broken = F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("_n"))), F.lit(0))
+    values = _per_value(df, checks[0])
+    broken = []
+    for i, check in enumerate(checks):
+        if check.kind == "unique":
+            broken.append(F.count_if(F.col("_value").isNotNull() & (F.col("_n") > 1)))
+            continue
+        known = f"_known{i}"
+        parents = check.parent.select(F.col(check.parent_key).alias("_value")).distinct()
+        values = values.join(parents.withColumn(known, F.lit(True)), "_value", "left")
+        orphan = F.col("_value").isNotNull() & F.col(known).isNull()
+        broken.append(F.coalesce(F.sum(F.when(orphan, F.col("_n"))), F.lit(0)))
     counts = values.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("_rows"), broken.alias("_failures")
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("_rows"),
+        *[b.alias(f"_{i}") for i, b in enumerate(broken)],
     )
-    result = _result(suite, check, F.col("_rows"), F.col("_failures"))
-    return counts.select(F.inline(F.array(result)))
+    results = [_result(suite, c, F.col("_rows"), F.col(f"_{i}")) for i, c in enumerate(checks)]
+    return counts.select(F.inline(F.array(*results)))
 
 
 def run_suite(df: DataFrame, suite: str, checks: Sequence[Check]) -> DataFrame:
-    """One result row per check."""
+    """One result row per check; ``rows_checked`` counts all rows of the table."""
     per_value = ("unique", "relationships")
     fused = [c for c in checks if c.kind not in per_value]
     parts = [_fused(df, suite, fused)] if fused else []
-    parts += [_grouped(df, suite, c) for c in checks if c.kind in per_value]
+    columns = dict.fromkeys(c.column for c in checks if c.kind in per_value)
+    parts += [
+        _grouped(df, suite, [c for c in checks if c.kind in per_value and c.column == column])
+        for column in columns
+    ]
     return reduce(DataFrame.unionByName, parts)
 
 

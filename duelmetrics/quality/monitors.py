@@ -20,7 +20,7 @@ def freshness(
 ) -> DataFrame:
     """Age of the newest row at ``as_of`` and what follows from it.
 
-    ``loaded_at`` holds ISO text in UTC. An age equal to a limit is still within
+    ``loaded_at`` holds ISO text; without an offset it is UTC. An age equal to a limit is still within
     it. A table without a readable load time is an error.
     """
     seconds = F.timestamp_diff("SECOND", F.col("loaded_until"), utc_from_iso(F.lit(as_of)))
@@ -55,23 +55,26 @@ def table_profile(df: DataFrame, entity: str, at: str) -> DataFrame:
 
 
 def daily_volume(df: DataFrame, keys: Sequence[str], at: str) -> DataFrame:
-    """Rows per key and day from a key's first to its last day, zeros included.
+    """Rows per key and day; a gap is one row, its first day, with no rows.
 
-    Each day also fills the empty days up to the key's next one, so the rows are
-    read and counted once.
+    ``days`` is the number of days a row stands for: 1, or the length of a gap.
+    There are at most two rows per counted day, however long a gap is.
     """
     counts = (
-        df.groupBy(*keys, utc_day(F.col(at)).alias("_day")).agg(row_count().alias("_n"))
+        df.groupBy(*keys, utc_day(F.col(at)).alias("day"))
+        .agg(row_count().alias("n_rows"))
+        .filter(F.col("day").isNotNull())
     )
-    following = F.lead("_day").over(Window.partitionBy(*keys).orderBy("_day"))
-    until = F.coalesce(F.date_sub(following, 1), F.col("_day"))
-    return (
-        counts.filter(F.col("_day").isNotNull())
-        .withColumn("_until", until)
-        .withColumn("day", F.explode(F.sequence("_day", "_until")))
-        .withColumn("n_rows", F.when(F.col("day") == F.col("_day"), F.col("_n")).otherwise(0))
-        .select(*keys, "day", "n_rows")
+    following = F.lead("day").over(Window.partitionBy(*keys).orderBy("day"))
+    gap = F.datediff("_following", "day") - 1
+    own = F.struct(F.col("day"), F.col("n_rows"), F.lit(1).alias("days"))
+    empty = F.struct(
+        F.date_add("day", 1).alias("day"),
+        F.lit(0).cast("bigint").alias("n_rows"),
+        gap.alias("days"),
     )
+    both = F.when(gap > 0, F.array(own, empty)).otherwise(F.array(own))
+    return counts.withColumn("_following", following).select(*keys, F.inline(both))
 
 
 def volume_anomaly(
@@ -83,24 +86,39 @@ def volume_anomaly(
 ) -> DataFrame:
     """Days whose volume is far from the mean of the ``trailing`` days before.
 
-    Judged once that many days are there; with a constant history any change is
-    an anomaly. The window runs over the daily counts, one row per key and day.
+    Days without rows count as zero; of a gap the first day is judged. A day is
+    judged once that many days are there; with a constant history any change is
+    an anomaly. The exact mean and deviation decide, rounded ones are shown. The
+    window runs over the daily counts and sums them and their squares, so days
+    without rows need no row.
     """
-    before = Window.partitionBy(*keys).orderBy("day").rowsBetween(-trailing, -1)
-    mean, spread = F.avg("n_rows").over(before), F.stddev_samp("n_rows").over(before)
-    judged = daily_volume(df, keys, at).withColumns(
+    number = F.datediff("day", F.lit("1970-01-01").cast("date"))
+    own = Window.partitionBy(*keys)
+    before = own.orderBy("_number").rangeBetween(-trailing, -1)
+    total = F.coalesce(F.sum("n_rows").over(before), F.lit(0))
+    squares = F.coalesce(F.sum(F.col("n_rows") * F.col("n_rows")).over(before), F.lit(0))
+    summed = daily_volume(df, keys, at).withColumn("_number", number).withColumns(
         {
-            "trailing_mean": F.round(mean, 4),
-            "trailing_stddev": F.round(spread, 4),
-            "_days": F.count("n_rows").over(before),
+            "_sum": total,
+            "_squares": squares,
+            "_age": F.col("_number") - F.min("_number").over(own),
         }
     )
-    far = F.abs(F.col("n_rows") - F.col("trailing_mean")) > deviations * F.col(
-        "trailing_stddev"
+    # whole numbers until the last division and root, so nothing cancels
+    mean = F.col("_sum") / trailing
+    spread = F.col("_squares") * trailing - F.col("_sum") * F.col("_sum")
+    deviation = F.sqrt(spread / (trailing * (trailing - 1)))
+    far = F.abs(F.col("n_rows") - mean) > deviations * deviation
+    known = F.col("_age") >= trailing
+    return summed.select(
+        *keys,
+        "day",
+        "n_rows",
+        "days",
+        F.when(known, F.round(mean, 4)).alias("trailing_mean"),
+        F.when(known, F.round(deviation, 4)).alias("trailing_stddev"),
+        (known & far).alias("is_anomaly"),
     )
-    return judged.withColumn(
-        "is_anomaly", (F.col("_days") == trailing) & F.coalesce(far, F.lit(False))
-    ).drop("_days")
 
 
 def _column_profile(df: DataFrame, label: str) -> DataFrame:

@@ -351,9 +351,26 @@ FROM ({_METRICS}) WHERE value_1 IS NOT NULL AND value_2 IS NOT NULL
 ORACLES["openings_in_order"] = sql(
     "SELECT * FROM openings ORDER BY total_games DESC", *ALL_OPENINGS
 )
-ORACLES["options_username"] = sql("SELECT DISTINCT username FROM progression", *ALL_DAYS)
-ORACLES["options_time_class"] = sql("SELECT DISTINCT time_class FROM progression", *ALL_DAYS)
-ORACLES["options_opening_username"] = sql("SELECT DISTINCT username FROM openings", *ALL_OPENINGS)
+_OPTIONS = """
+SELECT {column}, row_number() OVER (ORDER BY first_row) AS position
+FROM (
+    SELECT {column}, min(n) AS first_row
+    FROM (SELECT *, row_number() OVER (ORDER BY {order}) AS n FROM {table}) GROUP BY {column}
+)"""
+_BY_DAY = "username, time_class, game_date"
+_MOST_PLAYED = "total_games DESC, username, time_class, player_color, opening_slug, eco_code"
+for _name, _column in (("options_username", "username"), ("options_time_class", "time_class")):
+    ORACLES[_name] = sql(
+        _OPTIONS.format(column=_column, order=_BY_DAY, table="progression"), *ALL_DAYS
+    )
+for _column in ("username", "time_class"):
+    ORACLES[f"options_opening_{_column}"] = sql(
+        _OPTIONS.format(column=_column, order=_MOST_PLAYED, table="openings"), *ALL_OPENINGS
+    )
+ORACLES["options_player"] = sql(
+    _OPTIONS.format(column="username", order="total_games_all DESC, username", table="stats"),
+    *ALL_STATS,
+)
 ORACLES["default_players"] = sql(
     "SELECT DISTINCT username FROM progression ORDER BY username LIMIT 3", *ALL_DAYS
 )
@@ -564,6 +581,33 @@ loaded_players AS (
     FROM raw_players WHERE ingested_at = '2024-01-31T06:00:00'
 )"""
 ORACLES["player_payload_join"] = sql("SELECT * FROM loaded_players", RAW_PLAYERS, LOADED_PLAYERS)
+ORACLES["player_payload_latest"] = sql(
+    """
+SELECT * REPLACE (
+    'A' || name AS name, rapid_rating - 200 AS rapid_rating, blitz_rating - 200 AS blitz_rating)
+FROM loaded_players
+""",
+    RAW_PLAYERS,
+    LOADED_PLAYERS,
+)
+ORACLES["ranking_null_ties"] = """
+SELECT unnest(['argmax_row', 'argmax_value', 'top_rows', 'first_appearances']) AS form, o_orderkey
+FROM (
+    SELECT o_orderkey FROM orders
+    ORDER BY floor(o_totalprice / 100000) DESC,
+        CASE WHEN o_custkey % 3 <> 0 THEN o_custkey END DESC NULLS LAST, o_orderkey LIMIT 1
+)
+"""
+ORACLES["text_ties"] = """
+SELECT o_orderkey, printf('%.1f%%', value) AS one_decimal,
+    CASE WHEN value - 62.25 <> 0 THEN printf('%+.1f%%', value - 62.25) END AS delta,
+    printf('%.0f%%', value) AS whole
+FROM (
+    SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN (o_orderkey % 4001) / 20::DOUBLE
+        ELSE (o_orderkey % 997) / 8::DOUBLE - 50::DOUBLE END AS value
+    FROM orders
+)
+"""
 ORACLES["bag_union"] = """
 SELECT c_custkey, c_mktsegment FROM customer
 UNION ALL
@@ -573,14 +617,25 @@ ORACLES["overwrite_guard"] = (
     "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F'"
 )
 ORACLES["repair_in_place"] = _LATEST_LINES
+_ALL_TIES = """username, time_class, time_control, rated, pgn, white_username, white_rating,
+    white_result, black_username, black_rating, black_result, end_time"""
 ORACLES["repair_raw_games"] = sql(
-    """
-SELECT DISTINCT * FROM raw_games
-QUALIFY row_number() OVER (
-    PARTITION BY game_url ORDER BY ingested_at DESC, username, end_time) = 1
+    f"""
+SELECT * FROM (
+    SELECT * FROM raw_games
+    UNION ALL
+    SELECT * REPLACE (pgn || ' *' AS pgn) FROM raw_games WHERE end_time % 5 = 0
+)
+QUALIFY row_number() OVER (PARTITION BY game_url ORDER BY ingested_at DESC, {_ALL_TIES}) = 1
 """,
     RAW_GAMES,
 )
+ORACLES["repair_raw_players"] = sql(
+    """
+SELECT * REPLACE ('A' || name AS name) FROM raw_players WHERE ingested_at = '2024-01-31T06:00:00'
+""",
+    RAW_PLAYERS,
+)
 ORACLES["clustered_slice"] = sql(
     """
 SELECT game_url, white_rating, end_time FROM raw_games
@@ -620,8 +675,11 @@ def unique(suite: str, table: str, column: str) -> str:
     return f"""
 SELECT '{suite}' AS suite, 'unique' AS check_name, '{column}' AS column_name,
     CAST(coalesce(sum(n), 0) AS BIGINT) AS rows_checked,
-    CAST(count_if(n > 1) AS BIGINT) AS failures, count_if(n > 1) = 0 AS success
-FROM (SELECT {column}, count(*) AS n FROM {table} WHERE {column} IS NOT NULL GROUP BY 1)"""
+    CAST(count_if(repeated) AS BIGINT) AS failures, count_if(repeated) = 0 AS success
+FROM (
+    SELECT count(*) AS n, count(*) > 1 AND {column} IS NOT NULL AS repeated
+    FROM {table} GROUP BY {column}
+)"""
 
 
 def row_count(suite: str, table: str, kind: str, broken: str) -> str:
@@ -637,10 +695,10 @@ def relationship(suite: str, table: str, column: str, parent: str, key: str) ->
     return column_check(
         suite,
         f"(SELECT c.*, p.{key} AS found FROM {table} c LEFT JOIN {parent} p "
-        f"ON c.{column} = p.{key} WHERE c.{column} IS NOT NULL)",
+        f"ON c.{column} = p.{key})",
         "relationships",
         column,
-        "found IS NULL",
+        f"found IS NULL AND {column} IS NOT NULL",
     )
 
 
@@ -780,6 +838,14 @@ FROM (
 """,
     RAW_GAMES,
 )
+ORACLES["freshness_offsets"] = sql(
+    """
+SELECT username, max(make_timestamp(end_time * 1000000)) AS loaded_until,
+    CAST(count(*) AS BIGINT) AS readable
+FROM raw_games GROUP BY username
+""",
+    RAW_GAMES,
+)
 ORACLES["volume_check"] = sql(
     row_count("raw_games", "raw_games", "row_count_above", "count(*) <= 1000"), RAW_GAMES
 )
@@ -809,36 +875,65 @@ volume AS (
 ),
 judged AS (
     SELECT *,
-        round(avg(n_rows) OVER before, 4) AS trailing_mean,
-        round(stddev_samp(n_rows) OVER before, 4) AS trailing_stddev,
-        count(n_rows) OVER before AS n_days
+        avg(n_rows) OVER before AS mean, stddev_samp(n_rows) OVER before AS spread,
+        count(n_rows) OVER before = 7 AS known,
+        lag(n_rows, 1, 1) OVER every_day AS n_before,
+        row_number() OVER every_day AS nth,
+        min(CASE WHEN n_rows > 0 THEN day END) OVER (
+            PARTITION BY event_type ORDER BY day ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING
+        ) AS next_day
     FROM volume
-    WINDOW before AS (
+    WINDOW every_day AS (PARTITION BY event_type ORDER BY day), before AS (
         PARTITION BY event_type ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)
 )
-SELECT * EXCLUDE (n_days),
-    n_days = 7 AND coalesce(abs(n_rows - trailing_mean) > 1.5 * trailing_stddev, false)
-        AS is_anomaly
-FROM judged
+SELECT event_type, day, CAST(n_rows AS BIGINT) AS n_rows,
+    CAST(CASE WHEN n_rows > 0 THEN 1 ELSE next_day - day END AS INTEGER) AS days,
+    CASE WHEN known THEN round(mean, 4) END AS trailing_mean,
+    CASE WHEN known THEN round(spread, 4) END AS trailing_stddev,
+    known AND abs(n_rows - mean) > 1.5 * spread AS is_anomaly
+FROM judged WHERE n_rows > 0 OR n_before > 0
 """
 ORACLES["schema_change"] = """
-SELECT * FROM (VALUES
-    ('c_name', 'removed', 'string', NULL),
-    ('c_nationkey', 'retyped', 'int', 'bigint'),
-    ('c_acctbal', 'drifted', 'double', 'double'),
-    ('batch', 'added', NULL, 'string')
-) AS c(column_name, change, type_before, type_after)
-JOIN (
-    SELECT
-        unnest(['c_name', 'c_nationkey', 'c_acctbal', 'batch']) AS column_name,
-        unnest([round((count(*) - count(c_name)) / count(*), 4),
-                round((count(*) - count(c_nationkey)) / count(*), 4),
-                round((count(*) - count(c_acctbal)) / count(*), 4), NULL]) AS null_share_before,
-        unnest([NULL, round((count(*) - count(c_nationkey)) / count(*), 4),
-                round((count(*) - count(CASE WHEN c_custkey % 2 = 0 THEN c_acctbal END))
-                    / count(*), 4), 0.0::DOUBLE]) AS null_share_after
+WITH before AS (SELECT * FROM customer),
+after AS (
+    SELECT c_custkey, CAST(c_nationkey AS BIGINT) AS c_nationkey,
+        CASE WHEN c_custkey % 2 = 0 THEN c_acctbal END AS c_acctbal,
+        c_mktsegment, 'load 2' AS batch
     FROM customer
-) USING (column_name)
+),
+named(sql_type, type) AS (VALUES
+    ('BIGINT', 'bigint'), ('INTEGER', 'int'), ('DOUBLE', 'double'), ('VARCHAR', 'string')),
+old_types AS (
+    SELECT d.column_name, type AS type_before
+    FROM (DESCRIBE SELECT * FROM before) d JOIN named ON d.column_type = sql_type
+),
+new_types AS (
+    SELECT d.column_name, type AS type_after
+    FROM (DESCRIBE SELECT * FROM after) d JOIN named ON d.column_type = sql_type
+),
+old_values AS (
+    SELECT column_name, round(null_percentage / 100, 4) AS null_share_before,
+        approx_unique AS values_before
+    FROM (SUMMARIZE before)
+),
+new_values AS (
+    SELECT column_name, round(null_percentage / 100, 4) AS null_share_after,
+        approx_unique AS values_after
+    FROM (SUMMARIZE after)
+),
+classed AS (
+    SELECT column_name, type_before, type_after,
+        CAST(null_share_before AS DOUBLE) AS null_share_before,
+        CAST(null_share_after AS DOUBLE) AS null_share_after,
+        CASE WHEN type_before IS NULL THEN 'added' WHEN type_after IS NULL THEN 'removed'
+            WHEN type_before <> type_after THEN 'retyped'
+            WHEN abs(null_share_after - null_share_before) > 0.1
+                OR greatest(values_before, values_after) > 2 * least(values_before, values_after)
+            THEN 'drifted' END AS change
+    FROM old_types JOIN old_values USING (column_name)
+    FULL JOIN (SELECT * FROM new_types JOIN new_values USING (column_name)) USING (column_name)
+)
+SELECT * FROM classed WHERE change IS NOT NULL
 """
 
 # --- the whole job -----------------------------------------------------------
@@ -856,3 +951,15 @@ LOADED = (
 ORACLES["pipeline_player_stats"] = sql("SELECT * FROM stats", *LOADED)
 ORACLES["pipeline_checks"] = sql(schema_tests(), *LOADED, OPENINGS, DAILY, PROGRESSION)
 ORACLES["pipeline_expectations"] = sql(SUMMARY, *LOADED)
+ORACLES["pipeline_expectation_rows"] = sql(EXPECTATIONS, *LOADED)
+ORACLES["pipeline_rejects"] = sql(
+    """
+SELECT 'games loaded' AS what, CAST(count(*) AS BIGINT) AS n FROM loaded_games
+UNION ALL
+SELECT what, CAST(count_if(end_time % 50 = 0) + 3 * count_if(end_time % 50 = 1) AS BIGINT)
+FROM raw_games, (VALUES ('lines listed'), ('lines counted')) AS kinds(what) GROUP BY what
+""",
+    RAW_GAMES,
+    LOADED_GAMES,
+)
+ORACLES["pipeline_result_map"] = sql("SELECT * FROM performance", *LOADED)

@@ -6,9 +6,21 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelmetrics.functions.clock import epoch_from_utc, utc_day, utc_from_epoch
+from duelmetrics.functions.clock import (
+    epoch_from_utc,
+    iso_from_utc,
+    utc_day,
+    utc_from_epoch,
+    utc_from_iso,
+)
 from duelmetrics.functions.measures import mean_rounded, rate_pct, row_count
-from duelmetrics.functions.text import last_segment, tag_value
+from duelmetrics.functions.text import (
+    last_segment,
+    one_decimal,
+    signed_delta,
+    tag_value,
+    whole_number,
+)
 from duelmetrics.operators.coverage import coverage_gaps
 from duelmetrics.operators.latest import latest_per_key
 from duelmetrics.operators.perspective import perspective
@@ -17,7 +29,12 @@ from duelmetrics.operators.progression import (
     period_close,
     repeat_for_ties,
 )
-from duelmetrics.operators.ranking import argmax_row, top_rows
+from duelmetrics.operators.ranking import (
+    argmax_row,
+    argmax_value,
+    first_appearances,
+    top_rows,
+)
 from duelmetrics.operators.reshape import long_form, pivot_metrics, share_of_total
 from duelmetrics.plans import frames, marts, pipeline
 from duelmetrics.plans.performance import player_performance
@@ -104,7 +121,7 @@ def _progression(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def stg_games(spark, sf):
-    return stage_games(_raw_games(spark, sf))
+    return stage_games(_raw_games(spark, sf), text_ties=True)
 
 
 @query
@@ -167,7 +184,7 @@ def player_table(spark, sf):
 
 @query
 def games_share(spark, sf):
-    return frames.games_share(_stats(spark, sf))
+    return frames.games_share(_written(_stats(spark, sf), "stats"))
 
 
 @query
@@ -202,17 +219,27 @@ def openings_in_order(spark, sf):
 
 @query
 def options_username(spark, sf):
-    return frames.options(_progression(spark, sf), "username")
+    return frames.progression_options(_progression(spark, sf), "username")
 
 
 @query
 def options_time_class(spark, sf):
-    return frames.options(_progression(spark, sf), "time_class")
+    return frames.progression_options(_progression(spark, sf), "time_class")
 
 
 @query
 def options_opening_username(spark, sf):
-    return frames.options(_openings(spark, sf), "username")
+    return frames.opening_options(_openings(spark, sf), "username")
+
+
+@query
+def options_opening_time_class(spark, sf):
+    return frames.opening_options(_openings(spark, sf), "time_class")
+
+
+@query
+def options_player(spark, sf):
+    return frames.player_options(_stats(spark, sf))
 
 
 @query
@@ -428,6 +455,42 @@ def best_customer(spark, sf):
     return argmax_row(customers, "c_acctbal", [], ["c_custkey"])
 
 
+@query
+def ranking_null_ties(spark, sf):
+    """The first row by price band, then by a key that some rows lack, in four forms."""
+    orders = read(spark, sf, "orders").select(
+        "o_orderkey",
+        F.floor(F.col("o_totalprice") / 100000).alias("band"),
+        F.when(F.col("o_custkey") % 3 != 0, F.col("o_custkey")).alias("rank"),
+    )
+    order = {"down": ["rank"], "up": ["o_orderkey"]}
+    best = argmax_row(orders, "band", **order).select(F.col("o_orderkey").alias("by_row"))
+    value = orders.agg(argmax_value("o_orderkey", "band", **order).alias("by_value"))
+    top = top_rows(orders, 1, ["band", "rank"], ["o_orderkey"])
+    seen = first_appearances(orders, "o_orderkey", 1, ["band", "rank"], ["o_orderkey"])
+    parts = [
+        best.select(F.lit("argmax_row").alias("form"), F.col("by_row").alias("o_orderkey")),
+        value.select(F.lit("argmax_value"), "by_value"),
+        top.select(F.lit("top_rows"), "o_orderkey"),
+        seen.select(F.lit("first_appearances"), "o_orderkey"),
+    ]
+    return one_load(*[p.toDF("form", "o_orderkey") for p in parts])
+
+
+@query
+def text_ties(spark, sf):
+    """Numbers in the middle between two shown ones, and others near it."""
+    key = F.col("o_orderkey")
+    value = F.when(key % 2 == 0, (key % 4001) / 20).otherwise((key % 997) / 8 - 50)
+    unit = F.lit("%")
+    return read(spark, sf, "orders").select(
+        "o_orderkey",
+        one_decimal(value, "%").alias("one_decimal"),
+        signed_delta(value - 62.25, unit).alias("delta"),
+        whole_number(value, unit).alias("whole"),
+    )
+
+
 @query
 def epoch_to_day(spark, sf):
     seconds = epoch_from_utc(F.col("ts"))
@@ -477,7 +540,7 @@ def coverage_gaps_user_days(spark, sf):
     """Days of the month on which a user has no event."""
     events = read(spark, sf, "events")
     landed = events.select("user_id", utc_day(F.col("ts")).alias("day"))
-    return coverage_gaps(events, landed, "user_id", "day", DAYS)
+    return coverage_gaps(None, landed, "user_id", "day", DAYS)
 
 
 # --- sources and sinks -------------------------------------------------------
@@ -497,8 +560,8 @@ def ndjson_players(spark, sf):
     return read_raw_players(spark, path)
 
 
-def _land(df: DataFrame, path: str, *partitions: str) -> str:
-    df.write.partitionBy(*partitions).json(path)
+def _land(df: DataFrame, path: str, *partitions: str, mode: str = "append") -> str:
+    df.write.mode(mode).partitionBy(*partitions).json(path)
     return path
 
 
@@ -530,6 +593,23 @@ def player_payload_join(spark, sf):
     )
 
 
+@query
+def player_payload_latest(spark, sf):
+    """Every player lands twice, the second time with lower ratings and another name."""
+    players = _raw_players(spark, sf)
+    profiles, stats = scratch_dir(spark, "profiles"), scratch_dir(spark, "stats")
+    _land(shapes.profiles(players), profiles, "username")
+    _land(shapes.stats(players), stats, "username")
+    fallen = players.withColumns(
+        {c: F.col(c) - 200 for c in ("rapid_rating", "blitz_rating")}
+    ).withColumn("name", F.concat(F.lit("A"), "name"))
+    _land(shapes.profiles(fallen), profiles, "username", mode="append")
+    _land(shapes.stats(fallen), stats, "username", mode="append")
+    return payloads.flatten_players(
+        payloads.read_profiles(spark, profiles), payloads.read_stats(spark, stats), BATCH
+    )
+
+
 @query
 def bag_union(spark, sf):
     """Two loads of the same customers, duplicates kept."""
@@ -561,17 +641,27 @@ def repair_in_place(spark, sf):
 
 @query
 def repair_raw_games(spark, sf):
-    path = scratch_dir(spark, "repaired-games")
-    tables.replace_table(_raw_games(spark, sf), path)
-    tables.repair_table(
-        spark,
-        path,
-        ["game_url"],
-        ["ingested_at"],
-        ["username", "end_time"],
-        cluster_by=["username", "time_class"],
+    """Copies of games that differ in the last column only are told apart by it."""
+    games = _raw_games(spark, sf)
+    copies = games.filter(F.col("end_time") % 5 == 0).withColumn(
+        "pgn", F.concat("pgn", F.lit(" *"))
     )
-    return tables.read_table(spark, path)
+    root = scratch_dir(spark, "root")
+    tables.replace_table(one_load(games, copies), pipeline.table_path(root, "raw_games"))
+    tables.replace_table(_raw_players(spark, sf), pipeline.table_path(root, "raw_players"))
+    pipeline.run_repair(spark, root)
+    return pipeline.table(spark, root, "raw_games")
+
+
+@query
+def repair_raw_players(spark, sf):
+    root = scratch_dir(spark, "root")
+    tables.replace_table(_raw_games(spark, sf), pipeline.table_path(root, "raw_games"))
+    players = _raw_players(spark, sf)
+    renamed = players.withColumn("name", F.concat(F.lit("A"), "name"))
+    tables.replace_table(one_load(players, renamed), pipeline.table_path(root, "raw_players"))
+    pipeline.run_repair(spark, root)
+    return pipeline.table(spark, root, "raw_players")
 
 
 @query
@@ -591,8 +681,8 @@ def clustered_slice(spark, sf):
 def dq_schema_tests(spark, sf):
     """Every declared test of the six tables."""
     games = _written(_facts(spark, sf), "facts")
-    players = stage_players(_raw_players(spark, sf))
-    performance = player_performance(games)
+    players = _written(stage_players(_raw_players(spark, sf)), "players")
+    performance = _written(player_performance(games), "performance")
     built = {
         "stg_games": games,
         "stg_players": players,
@@ -692,6 +782,25 @@ def source_freshness(spark, sf):
     return monitors.freshness(_raw_games(spark, sf), "ingested_at", AS_OF)
 
 
+@query
+def freshness_offsets(spark, sf):
+    """Load times with and without an offset, all of the same instants."""
+    games = _raw_games(spark, sf)
+    at = utc_from_epoch(F.col("end_time"))
+    shown = lambda hours: iso_from_utc(F.timestamp_add("HOUR", F.lit(hours), at))
+    text = (
+        F.when(F.col("end_time") % 4 == 0, F.concat(shown(5), F.lit("+05:00")))
+        .when(F.col("end_time") % 4 == 1, F.concat(shown(-3), F.lit("-0300")))
+        .when(F.col("end_time") % 4 == 2, F.concat(shown(0), F.lit("Z")))
+        .otherwise(shown(0))
+    )
+    loaded = games.withColumn("ingested_at", text)
+    return loaded.groupBy("username").agg(
+        F.max(utc_from_iso(F.col("ingested_at"))).alias("loaded_until"),
+        F.count(utc_from_iso(F.col("ingested_at"))).alias("readable"),
+    )
+
+
 @query
 def volume_check(spark, sf):
     return monitors.volume_check(_raw_games(spark, sf), "raw_games")
@@ -727,14 +836,18 @@ def schema_change(spark, sf):
 # --- the whole job -----------------------------------------------------------
 
 
-def _built_root(spark: SparkSession, sf: str) -> str:
-    """Payloads landed, loaded and modelled under a fresh root."""
-    landed, root = scratch_dir(spark, "landed"), scratch_dir(spark, "root")
+def _landed_folder(spark: SparkSession, sf: str, games: DataFrame) -> str:
+    landed = scratch_dir(spark, "landed")
     players = _raw_players(spark, sf)
-    games = shapes.archives(_raw_games(spark, sf))
-    _land(games, f"{landed}/archives", "username", "year", "month")
+    _land(shapes.archives(games), f"{landed}/archives", "username", "year", "month")
     _land(shapes.profiles(players), f"{landed}/profiles", "username")
     _land(shapes.stats(players), f"{landed}/stats", "username")
+    return landed
+
+
+def _built_root(spark: SparkSession, sf: str) -> str:
+    """Payloads landed, loaded and modelled under a fresh root."""
+    landed, root = _landed_folder(spark, sf, _raw_games(spark, sf)), scratch_dir(spark, "root")
     pipeline.run_ingestion(spark, landed, root, BATCH, more_than=100)
     pipeline.run_models(spark, root)
     return root
@@ -753,3 +866,51 @@ def pipeline_checks(spark, sf):
 @query
 def pipeline_expectations(spark, sf):
     return pipeline.run_expectations(spark, _built_root(spark, sf))
+
+
+@query
+def pipeline_expectation_rows(spark, sf):
+    return pipeline.expectation_results(spark, _built_root(spark, sf))
+
+
+@query
+def pipeline_rejects(spark, sf):
+    """A load with archives that break off or run over several lines: rows and rejected lines."""
+    games = _raw_games(spark, sf)
+    landed, root = _landed_folder(spark, sf, games), scratch_dir(spark, "root")
+    payload = F.to_json(F.struct(F.array(F.struct(F.col("game_url").alias("url"))).alias("games")))
+    broken = (
+        F.when(F.col("end_time") % 50 == 0, F.substring(payload, 1, 20))
+        .when(F.col("end_time") % 50 == 1, F.replace(payload, F.lit('"games":'), F.lit('\n"games":\n')))
+    )
+    games.select(broken.alias("value"), "username").filter("value is not null").select(
+        "value", "username", F.lit("2024").alias("year"), F.lit("02").alias("month")
+    ).write.partitionBy("username", "year", "month").mode("append").text(f"{landed}/archives")
+    done = pipeline.run_ingestion(spark, landed, root, BATCH, more_than=100, allow_rejects=True)
+    listed = pipeline.table(spark, root, "rejects").filter("source = 'archives'")
+    loaded = pipeline.table(spark, root, "raw_games")
+    return one_load(
+        loaded.agg(F.lit("games loaded").alias("what"), row_count().alias("n")),
+        listed.agg(F.lit("lines listed").alias("what"), row_count().alias("n")),
+        listed.agg(
+            F.lit("lines counted").alias("what"),
+            F.max(F.lit(done.rejected["archives"])).cast("bigint").alias("n"),
+        ),
+    )
+
+
+@query
+def pipeline_result_map(spark, sf):
+    """The job on games whose losses are called lose and timeout."""
+    games = _raw_games(spark, sf)
+    lost = F.when(F.col("end_time") % 2 == 0, "lose").otherwise("Timeout")
+    other = games.withColumns(
+        {
+            c: F.when(F.col(c) == "loss", lost).otherwise(F.col(c))
+            for c in ("white_result", "black_result")
+        }
+    )
+    landed, root = _landed_folder(spark, sf, other), scratch_dir(spark, "root")
+    pipeline.run_ingestion(spark, landed, root, BATCH, more_than=100)
+    pipeline.run_models(spark, root, result_map={"lose": "loss", "timeout": "loss"})
+    return pipeline.table(spark, root, "int_player_performance")

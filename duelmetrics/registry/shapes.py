@@ -131,9 +131,13 @@ def archives(games: DataFrame) -> DataFrame:
 
 
 def profiles(players: DataFrame) -> DataFrame:
-    """Profile payloads of the last load; one player has no country."""
+    """Profile payloads of the last load; one player has no country.
+
+    For every player there is an empty profile of somebody else.
+    """
     url = F.concat(F.lit("https://profiles.example/country/"), F.upper("country"))
-    return players.filter(F.col("ingested_at") == LOADED_LAST).select(
+    last = players.filter(F.col("ingested_at") == LOADED_LAST)
+    full = last.select(
         "player_id",
         "title",
         "name",
@@ -143,6 +147,9 @@ def profiles(players: DataFrame) -> DataFrame:
         F.when(F.col("is_streamer"), True).alias("is_streamer"),
         "username",
     )
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in full.schema if f.name != "username"]
+    empty = last.select(*nothing, F.concat(F.lit("No"), "username").alias("username"))
+    return full.unionByName(empty)
 
 
 def stats(players: DataFrame) -> DataFrame:

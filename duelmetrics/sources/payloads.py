@@ -15,26 +15,43 @@ from duelmetrics.functions.text import last_segment
 from duelmetrics.schemas import ARCHIVE, PROFILE, STATS
 
 Paths = str | Sequence[str]
+CORRUPT = "_corrupt"
 
 
 def _listed(paths: Paths) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
+def _with_corrupt(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+
+
 def read_payloads(
-    spark: SparkSession, paths: Paths, schema: T.StructType, root: str | None = None
+    spark: SparkSession,
+    paths: Paths,
+    schema: T.StructType,
+    root: str | None = None,
+    strict: bool = False,
+    timed: bool = False,
 ) -> DataFrame:
     """Payload lines with a declared schema.
 
     The partition columns are part of the schema, so a numeric user name stays
     text. ``paths`` may name single partition folders if ``root`` names the
     folder they lie in. A value of another type than declared reads as NULL and
-    a line that is not JSON as NULLs; ``rejected_lines`` lists both.
+    a line that is not JSON as NULLs; ``count_lines`` counts and
+    ``rejected_lines`` lists both. With ``strict`` the first one ends the job.
+    ``timed`` adds ``landed``: when the payload's file was written, then its
+    path.
     """
-    reader = spark.read.schema(schema).option("mode", "PERMISSIVE")
+    reader = spark.read.schema(schema).option("mode", "FAILFAST" if strict else "PERMISSIVE")
     if root is not None:
         reader = reader.option("basePath", root)
-    return reader.json(_listed(paths))
+    rows = reader.json(_listed(paths))
+    if not timed:
+        return rows
+    at = F.struct(F.col("_metadata.file_modification_time"), F.col("_metadata.file_path"))
+    return rows.withColumn("landed", at)
 
 
 def read_archives(spark: SparkSession, paths: Paths, root: str | None = None) -> DataFrame:
@@ -44,21 +61,40 @@ def read_archives(spark: SparkSession, paths: Paths, root: str | None = None) ->
 def read_profiles(spark: SparkSession, paths: Paths, root: str | None = None) -> DataFrame:
     """Profiles with any content; a player whose profile is empty is left out."""
     content = [name for name in PROFILE.names if name != "username"]
-    return read_payloads(spark, paths, PROFILE, root).na.drop("all", subset=content)
+    return read_payloads(spark, paths, PROFILE, root, timed=True).na.drop("all", subset=content)
 
 
 def read_stats(spark: SparkSession, paths: Paths, root: str | None = None) -> DataFrame:
-    return read_payloads(spark, paths, STATS, root)
+    return read_payloads(spark, paths, STATS, root, timed=True)
 
 
-def rejected_lines(spark: SparkSession, paths: Paths, schema: T.StructType) -> DataFrame:
-    """(path, line) for every line that ``schema`` cannot read in full."""
-    corrupt = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
-    parsed = F.from_json("value", corrupt, {"columnNameOfCorruptRecord": "_corrupt"})
+def _lines(spark: SparkSession, paths: Paths, schema: T.StructType) -> DataFrame:
+    """Lines that are not blank, ``rejected`` if ``schema`` cannot read them in full.
+
+    The lines are parsed one by one: the JSON reader itself would take a line
+    that starts an array for rows and not count it.
+    """
+    parsed = F.from_json("value", _with_corrupt(schema), {"columnNameOfCorruptRecord": CORRUPT})
     lines = spark.read.format("text").load(_listed(paths))
-    return lines.filter(parsed["_corrupt"].isNotNull()).select(
-        F.col("_metadata.file_path").alias("path"), F.col("value").alias("line")
+    return lines.filter(F.trim("value") != "").select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("value").alias("line"),
+        parsed[CORRUPT].isNotNull().alias("rejected"),
+    )
+
+
+def count_lines(spark: SparkSession, paths: Paths, schema: T.StructType) -> tuple[int, int]:
+    """How many lines there are, and how many of them are rejected."""
+    counts = _lines(spark, paths, schema).agg(
+        F.count(F.lit(1)).alias("lines"), F.count_if("rejected").alias("rejected")
     )
+    row = counts.first()
+    return row["lines"], row["rejected"]
+
+
+def rejected_lines(spark: SparkSession, paths: Paths, schema: T.StructType) -> DataFrame:
+    """(path, line) for every line that ``schema`` cannot read in full."""
+    return _lines(spark, paths, schema).filter("rejected").select("path", "line")
 
 
 def flatten_archives(archives: DataFrame, ingested_at: str) -> DataFrame:
@@ -85,17 +121,31 @@ def flatten_archives(archives: DataFrame, ingested_at: str) -> DataFrame:
     )
 
 
+def _newest(payloads: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """One payload per player, the one landed last.
+
+    Without a landing time, and among payloads of one file, the greatest content
+    decides, so that a task that is run again chooses the same payload.
+    """
+    content = F.struct(*fields)
+    order = F.struct("landed", content) if "landed" in payloads.columns else content
+    return payloads.groupBy("username").agg(F.max_by(content, order).alias("newest"))
+
+
 def flatten_players(profiles: DataFrame, stats: DataFrame, ingested_at: str) -> DataFrame:
-    """One raw row per profile; a player without stats has NULL ratings.
+    """One raw row per player with a profile; without stats the ratings are NULL.
 
-    Stats are reduced to one payload per player before the join, so a payload
-    that landed twice cannot multiply a player.
+    Of profiles and of stats that landed more than once the newest is taken
+    before the join, so ratings may fall and a player stays one row.
     """
     formats = ("rapid", "blitz", "bullet")
-    ratings = stats.groupBy("username").agg(
-        F.max(F.struct(*[F.col(f"chess_{f}.last").alias(f) for f in formats])).alias("last")
+    ratings = _newest(
+        stats.withColumns({f: F.col(f"chess_{f}.last") for f in formats}), formats
+    ).withColumnRenamed("newest", "last")
+    content = [c for c in PROFILE.names if c != "username"]
+    joined = _newest(profiles, content).select("username", "newest.*").join(
+        ratings, "username", "left"
     )
-    joined = profiles.join(ratings, "username", "left")
     return joined.select(
         "username",
         "player_id",

@@ -97,7 +97,9 @@ def test_defaults(stats, spark):
     names = [r.username for r in frames.default_players(progression).collect()]
     assert names == ["a", "b", "c"]
     assert rows(frames.default_format(progression)) == [("rapid",)]
-    assert rows(frames.options(progression, "time_class")) == [("blitz",), ("rapid",)]
+    shown = frames.progression_options(progression, "time_class").collect()
+    assert [tuple(r) for r in shown] == [("rapid", 1), ("blitz", 2)]
+    assert [r.username for r in frames.player_options(stats).collect()][:2] == ["bob", "ann"]
     series = frames.rating_series(progression, ["a", "d"], "rapid").collect()
     assert [r.closing_rating for r in series] == [5, 6]
     changes = frames.rating_change_series(progression, ["a"], "rapid").collect()

@@ -6,10 +6,15 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from duelmetrics.functions.clock import epoch_from_utc, utc_from_epoch, utc_from_iso
-from duelmetrics.functions.text import last_segment, tag_value
+from duelmetrics.functions.text import last_segment, one_decimal, tag_value, whole_number
 from duelmetrics.operators.coverage import coverage_gaps
 from duelmetrics.operators.latest import latest_per_key
-from duelmetrics.operators.ranking import argmax_row, first_appearances, top_rows
+from duelmetrics.operators.ranking import (
+    argmax_row,
+    argmax_value,
+    first_appearances,
+    top_rows,
+)
 from duelmetrics.operators.reshape import long_form, pivot_metrics, share_of_total
 
 small = settings(
@@ -112,3 +117,24 @@ def test_dates_can_be_expected(spark):
     landed = spark.createDataFrame([(1, date(2025, 1, 1))], "k int, d date")
     got = coverage_gaps(landed, landed, "k", "d", [date(2025, 1, 1), date(2025, 1, 2)])
     assert rows(got) == [(1, date(2025, 1, 2))]
+
+
+def test_null_ties_rank_alike_in_every_form(spark):
+    df = spark.createDataFrame([("a", 9, None), ("b", 9, 5), ("c", 9, 3)], "k string, n int, t int")
+    assert rows(argmax_row(df, "n", ["t"], ["k"]), "k") == [("b",)]
+    assert rows(df.agg(argmax_value("k", "n", ["t"], ["k"]).alias("k"))) == [("b",)]
+    assert rows(top_rows(df, 1, ["n", "t"], ["k"]), "k") == [("b",)]
+    assert rows(first_appearances(df, "k", 1, ["n", "t"], ["k"])) == [("b",)]
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.floats(-1e14, 1e14), min_size=200, max_size=200))
+def test_numbers_print_as_their_binary_value_rounds(spark, some):
+    ties = [k / 20 for k in range(-200, 200)] + [k / 8 for k in range(-99, 99)]
+    values = some + ties + [12.45, 62.25, 62.5, -0.04, 0.05, 0.25, 0.35, 1e15]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    shown = df.select(
+        "v", one_decimal(F.col("v"), "").alias("a"), whole_number(F.col("v"), F.lit("")).alias("w")
+    )
+    for r in shown.collect():
+        assert r.a == f"{r.v:.1f}" and float(r.w) == float(f"{r.v:.0f}"), r

@@ -1,6 +1,8 @@
 import pytest
-from helpers import raw_games, rows
+from helpers import plan_of, raw_games, rows
+from pyspark.sql import functions as F
 
+from duelmetrics.functions.clock import utc_from_iso
 from duelmetrics.plans.staging import stage_games
 from duelmetrics.quality import checks as dq
 from duelmetrics.quality import monitors
@@ -44,7 +46,7 @@ def test_checks_count_failures(table):
 def test_relationships_count_orphan_rows(spark, table):
     parent = spark.createDataFrame([("a",), ("a",), (None,)], "key string")
     found = dq.run_suite(table, "t", [dq.relationships("tag", parent, "key")])
-    assert rows(found, *RESULT, "rows_checked") == [("relationships", "tag", 1, False, 3)]
+    assert rows(found, *RESULT, "rows_checked") == [("relationships", "tag", 1, False, 4)]
 
 
 def test_empty_tables_pass_value_checks(table):
@@ -132,3 +134,35 @@ def test_profile(spark):
     (row,) = monitors.table_profile(staged, "username", "ended_at").collect()
     assert (row.total_games, row.unique_players) == (2, 2)
     assert row.earliest_game == row.latest_game
+
+
+def test_checks_of_one_column_share_a_pass(spark, table):
+    parent = spark.createDataFrame([(1,), (2,)], "key int")
+    checks = [dq.unique("id"), dq.relationships("id", parent, "key")]
+    found = dq.run_suite(table, "t", checks)
+    assert rows(found, *RESULT, "rows_checked") == [
+        ("relationships", "id", 2, False, 4),
+        ("unique", "id", 1, False, 4),
+    ]
+    single = plan_of(dq.run_suite(table, "t", checks[:1])).count("Scan ExistingRDD")
+    assert plan_of(found).count("Scan ExistingRDD") == single + 1
+
+
+@pytest.mark.parametrize(
+    "text", ["2025-01-01T05:00:00+05:00", "2024-12-31T19:00:00.0-0500", "2025-01-01T00:00:00Z"]
+)
+def test_load_times_with_offsets_are_converted(spark, zone, text):
+    df = spark.createDataFrame([(text,)], "at string").select(utc_from_iso(F.col("at")).alias("t"))
+    assert rows(df.select(F.col("t").cast("string"))) == [("2025-01-01 00:00:00",)]
+
+
+def test_a_stray_year_costs_one_row(spark):
+    df = spark.sql(
+        "select 'a' k, explode(array(timestamp_ntz'2024-01-01', timestamp_ntz'9024-01-01')) at"
+    )
+    found = monitors.volume_anomaly(df, ["k"], "at").collect()
+    assert [(r.n_rows, r.days, r.is_anomaly) for r in found] == [
+        (1, 1, False),
+        (0, 2556696, False),
+        (1, 1, True),
+    ]

@@ -114,7 +114,10 @@ def test_players(spark, tmp_path):
 
 def test_raw_json_has_the_declared_types(spark, tmp_path):
     land(f"{tmp_path}/raw", GAME, {"game_url": "only"}, "{broken")
-    df = read_raw_games(spark, f"{tmp_path}/raw")
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        read_raw_games(spark, f"{tmp_path}/raw").collect()
+    df = read_raw_games(spark, f"{tmp_path}/raw", tolerant=True)
+    assert payloads.count_lines(spark, f"{tmp_path}/raw", RAW_GAMES) == (3, 1)
     assert df.schema == RAW_GAMES
     assert rows(df, "game_url", "end_time") == [("g1", 1735689600), ("only", None)]
     assert one_load(df, df).count() == 4
@@ -151,12 +154,88 @@ def test_a_table_can_be_replaced_by_a_query_over_itself(spark, tmp_path):
     assert os.listdir(tmp_path) == ["t"]
 
 
-def test_a_replacement_that_broke_off_is_undone(spark, tmp_path):
+def versions(path):
+    return sorted(f for f in os.listdir(path) if f.startswith("version-"))
+
+
+def test_a_reader_outlives_a_replacement(spark, tmp_path):
     path = f"{tmp_path}/t"
-    tables.replace_table(raw_games(spark, {}), path)
-    os.rename(path, f"{path}.old-1")
-    tables.ensure_table(spark, path, RAW_GAMES)
-    assert tables.read_table(spark, path).count() == 1
+    tables.replace_table(spark.range(3), path)
+    before = tables.read_table(spark, path)
+    tables.replace_table(spark.range(5), path)
+    assert (before.count(), tables.read_table(spark, path).count()) == (3, 5)
+    tables.replace_table(spark.range(7), path)
+    assert len(versions(path)) == tables.KEPT_VERSIONS
+    assert tables.read_table(spark, path).count() == 7
+
+
+def test_a_replacement_that_broke_off_leaves_the_table(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    tables.replace_table(spark.range(3), path)
+    spark.range(9).write.parquet(f"{path}/version-lost")
+    assert tables.read_table(spark, path).count() == 3
+    assert tables.remove_leftovers(spark, path) == 0
+    assert tables.remove_leftovers(spark, path, hours=0) == 1
+    assert len(versions(path)) == 1 and tables.read_table(spark, path).count() == 3
+
+
+def test_a_check_that_fails_leaves_the_table(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    tables.replace_table(spark.range(3), path)
+
+    def refuse(written):
+        assert written.count() == 4
+        raise DataCheckFailed("no")
+
+    with pytest.raises(DataCheckFailed):
+        tables.replace_table(spark.range(4), path, check=refuse)
+    assert tables.read_table(spark, path).count() == 3 and len(versions(path)) == 1
+
+
+def test_of_two_replacements_at_once_the_later_fails(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    tables.replace_table(spark.range(3), path)
+    with pytest.raises(Exception, match="already exists|FileAlreadyExists"):
+        tables.replace_table(
+            spark.range(4), path, check=lambda _: tables.replace_table(spark.range(5), path)
+        )
+    assert tables.read_table(spark, path).count() == 5 and len(versions(path)) == 2
+
+
+def test_the_catalog_follows_location_and_schema(spark, tmp_path):
+    spark.sql(f"create database tables_test location '{tmp_path}/db'")
+    try:
+        for df, path in (
+            (spark.range(3), "a"),
+            (spark.range(5), "b"),
+            (spark.range(6).withColumn("x", F.lit("x")), "b"),
+        ):
+            tables.replace_table(df, f"{tmp_path}/{path}")
+            for _ in range(2):
+                tables.register_table(spark, "tables_test.t", f"{tmp_path}/{path}")
+            assert spark.table("tables_test.t").count() == df.count()
+            assert spark.table("tables_test.t").columns == df.columns
+    finally:
+        spark.sql("drop database tables_test cascade")
+
+
+def test_newest_payload_wins_though_ratings_fall(spark, tmp_path):
+    for day, rating in ((1, 2900), (2, 2800)):
+        for kind, line in (
+            ("profiles", {"title": f"T{day}"}),
+            ("stats", {"chess_blitz": {"last": {"rating": rating}}}),
+        ):
+            folder = f"{tmp_path}/{kind}/username=ann"
+            os.makedirs(folder, exist_ok=True)
+            with open(f"{folder}/day{3 - day}.json", "w") as out:
+                out.write(json.dumps(line))
+            os.utime(f"{folder}/day{3 - day}.json", (day * 86400, day * 86400))
+    flat = payloads.flatten_players(
+        payloads.read_profiles(spark, f"{tmp_path}/profiles"),
+        payloads.read_stats(spark, f"{tmp_path}/stats"),
+        "now",
+    )
+    assert rows(flat, "username", "title", "blitz_rating") == [("ann", "T2", 2800)]
 
 
 def test_repair(spark, tmp_path):
@@ -200,7 +279,9 @@ def test_files_can_be_sorted_without_a_shuffle(spark, tmp_path):
     assert "Exchange" not in plan_of(tables.clustered(df, ["k"], gather=False))
     path = f"{tmp_path}/t"
     tables.replace_table(df, path, ["k"], gather=False)
-    files = [f"{path}/{f}" for f in os.listdir(path) if f.endswith(".parquet")]
+    (version,) = versions(path)
+    folder = f"{path}/{version}"
+    files = [f"{folder}/{f}" for f in os.listdir(folder) if f.endswith(".parquet")]
     assert len(files) == 4
     for file in files:
         keys = [r.k for r in spark.read.parquet(file).collect()]
@@ -266,9 +347,12 @@ def test_empty_load_keeps_raw_tables_and_low_volume_raises(spark, tmp_path, land
     root = f"{tmp_path}/root"
     with pytest.raises(DataCheckFailed, match="row_count_above"):
         pipeline.run_ingestion(spark, landed, root, "2025-02-01T00:00:00")
+    assert pipeline.table(spark, root, "raw_games").count() == 0
+    pipeline.run_ingestion(spark, landed, root, "2025-02-01T00:00:00", more_than=29)
     empty = f"{tmp_path}/empty"
     land(f"{empty}/archives/username=Ann/year=2025/month=02", {"games": []})
-    pipeline.run_ingestion(spark, empty, root, "2025-03-01T00:00:00", more_than=29)
+    with pytest.raises(DataCheckFailed, match="row_count_above"):
+        pipeline.run_ingestion(spark, empty, root, "2025-03-01T00:00:00", more_than=29)
     loaded = pipeline.table(spark, root, "raw_games").select("ingested_at").distinct()
     assert rows(loaded) == [("2025-02-01T00:00:00",)]
     assert pipeline.table(spark, root, "raw_players").count() == 1
@@ -288,3 +372,76 @@ def test_jobs(spark, tmp_path, landed):
         jobs.main(late, spark)
     with pytest.raises(DataCheckFailed):
         jobs.main(["validate", "--root", root, "--fail"], spark)
+
+
+def test_rejected_lines_end_a_load_unless_allowed(spark, tmp_path, landed):
+    root = f"{tmp_path}/root"
+    folder = f"{landed}/archives/username=Bob/year=2025/month=01"
+    land(folder, '{"games": [{"url": "g')
+    with pytest.raises(DataCheckFailed, match="1 of 2 archives"):
+        pipeline.run_ingestion(spark, landed, root, "2025-02-01T00:00:00", more_than=29)
+    assert pipeline.table(spark, root, "raw_games").count() == 0
+    listed = pipeline.table(spark, root, "rejects")
+    assert rows(listed, "source", "line") == [("archives", '{"games": [{"url": "g')]
+    done = pipeline.run_ingestion(
+        spark, landed, root, "2025-02-01T00:00:00", more_than=29, allow_rejects=True
+    )
+    assert (done.lines["archives"], done.rejected["archives"]) == (2, 1)
+    assert pipeline.table(spark, root, "raw_games").count() == 30
+    pretty = f"{tmp_path}/pretty"
+    land(f"{pretty}/archives/username=Ann/year=2025/month=01", "{", '"games":', "[]", "}")
+    with pytest.raises(DataCheckFailed, match="4 of 4 archives"):
+        pipeline.run_ingestion(spark, pretty, root, "later", more_than=0, allow_rejects=True)
+    assert pipeline.table(spark, root, "raw_games").count() == 30
+    land(folder, {"games": []})
+    pipeline.run_ingestion(spark, landed, root, "2025-02-01T00:00:00", more_than=29)
+    assert pipeline.table(spark, root, "rejects").count() == 0
+
+
+def test_players_and_months_are_selected_and_missing_ones_reported(spark, tmp_path, landed):
+    for month in ("02", "03"):
+        folder = f"{landed}/archives/username=Bob/year=2025/month={month}"
+        land(folder, {"games": [payload_game(f"b{month}")]})
+    done = pipeline.run_ingestion(
+        spark,
+        landed,
+        f"{tmp_path}/root",
+        "2025-02-01T00:00:00",
+        more_than=0,
+        players=["Ann", "Bob"],
+        months=["2025-01", "2025-02"],
+    )
+    games = pipeline.table(spark, f"{tmp_path}/root", "raw_games")
+    assert rows(games.filter("username = 'Bob'"), "game_url") == [("b02",)]
+    assert rows(done.missing) == [("Ann", "2025-02"), ("Bob", "2025-01")]
+
+
+def test_model_options(spark, tmp_path, landed):
+    root = f"{tmp_path}/root"
+    lost = payload_game("lost", white={"username": "Ann", "rating": 1500, "result": "lose"})
+    folder = f"{landed}/archives/username=Ann/year=2025/month=02"
+    land(folder, {"games": [lost]})
+    at = "2025-02-01T00:00:00"
+    jobs.main(
+        ["ingest", "--landed", landed, "--root", root, "--ingested-at", at, "--more-than", "29",
+         "--gather", "--players", "Ann"],
+        spark,
+    )
+    jobs.main(
+        ["transform", "--root", root, "--as-of", at, "--players", "ann", "--with-text",
+         "--result-map", "lose=loss", "--key", "game_url,username", "--grain", "as_written"],
+        spark,
+    )
+    performance = pipeline.table(spark, root, "int_player_performance")
+    assert rows(performance, "total_wins", "total_losses") == [(30, 1)]
+    assert "pgn" in pipeline.table(spark, root, "stg_games").columns
+    jobs.main(["repair", "--root", root], spark)
+    assert pipeline.table(spark, root, "raw_games").count() == 31
+    results = pipeline.expectation_results(spark, root)
+    assert results.count() == 10
+    spark.sql(f"create database options_test location '{tmp_path}/db'")
+    try:
+        pipeline.register_tables(spark, root, "options_test")
+        assert spark.table("options_test.stg_games").count() == 31
+    finally:
+        spark.sql("drop database options_test cascade")

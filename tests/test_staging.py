@@ -131,3 +131,12 @@ def test_peak_rating_is_the_best_current_rating(spark):
         ("b", "GM", "NO", 0),
         ("c", None, "NO", 1600),
     ]
+
+
+def test_copies_that_differ_in_the_text_alone_have_one_survivor(spark):
+    games = [{"pgn": f"1. e{k}"} for k in range(6)]
+    seen = set()
+    for order in (games, games[::-1], games[3:] + games[:3]):
+        raw = raw_games(spark, *order).repartition(3)
+        seen |= {r.pgn for r in stage_games(raw, text_ties=True).collect()}
+    assert len(seen) == 1
