@@ -134,8 +134,10 @@ def write_archives(
     )
     copies = Window.partitionBy("key").orderBy(F.col("url").asc_nulls_last())
     revisit = (F.col("records") > 1) & ~(F.col("is_original") & (F.col("copy") == 0))
+    # one shuffle of the payloads: the join, the numbering of copies and the files share it
     joined = (
-        keyed.join(decided, F.col("key") == F.col("of_key"))
+        keyed.repartition(files, "key")
+        .join(decided.repartition(files, "of_key"), F.col("key") == F.col("of_key"))
         .withColumn("copy", F.row_number().over(copies) - 1)
         .select(
             "page_id", "url", "html", "sha1", "copy", "original_id", "original_url",
@@ -143,8 +145,7 @@ def write_archives(
         )
     )
     (
-        joined.repartition(files, F.xxhash64("page_id", "sha1", "copy"))
-        .mapInArrow(_records(date), "value string")
+        joined.mapInArrow(_records(date), "value string")
         .write.option("lineSep", END)
         .option("compression", "gzip")
         .text(path)
