@@ -12,6 +12,7 @@ blocks of bounded size, so that no link is lost and no bucket is held in one tas
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import blake2b
@@ -35,6 +36,7 @@ WORDS = 5
 SIMILARITY = 0.8
 #: 24 bands of 5 registers: a pair at similarity 0.8 shares no band with probability 0.00007.
 BANDS, ROWS = 24, 5
+MOST_BANDS = 32
 #: Standard errors below the threshold at which a register estimate rules a pair out.
 MARGIN = 4.5
 #: Documents of a block, and shingles that are handled in one go.
@@ -120,81 +122,113 @@ def prob_minhash(keys: list[np.ndarray], weights: list[np.ndarray], registers: i
 
 
 def _bands(signature: np.ndarray, rows: int) -> np.ndarray:
-    """A bucket number for each band of each signature."""
+    """A bucket number for each band of each signature; its low bits are the number of the band."""
     count, registers = signature.shape
     parts = signature.reshape(count, registers // rows, rows)
     total = np.broadcast_to(np.arange(registers // rows, dtype=np.uint64), parts.shape[:2]).copy()
     with np.errstate(over="ignore"):
         for k in range(rows):
             total = mix64(total ^ parts[:, :, k])
-    return total.view(np.int64)
+    number = np.arange(registers // rows, dtype=np.uint64)
+    return (total & ~np.uint64(MOST_BANDS - 1) | number).view(np.int64)
+
+
+def _grouped_texts(texts, words: int):
+    """Stretches of a batch with a bounded number of shingles: begin, end, word hashes and weighted sets."""
+    at = 0
+    while at < len(texts):
+        begin, total, sequences, sets = at, 0, [], []
+        while at < len(texts) and total < GROUP:
+            hashes = word_hashes(normal_bytes(texts[at].as_py()))
+            sequences.append(hashes)
+            sets.append(_weighted(shingle_hashes(hashes, words)) if len(hashes) else None)
+            total += len(hashes)
+            at += 1
+        yield begin, at, sequences, sets
+
+
+def _signed(sets, registers: int) -> tuple[np.ndarray, list[int]]:
+    """Signatures of the sets that aren't None, and the number of each one's row."""
+    rows = [k for k, s in enumerate(sets) if s is not None]
+    if not rows:
+        return np.zeros((0, registers), dtype=np.uint64), rows
+    return prob_minhash([sets[k][0] for k in rows], [sets[k][1] for k in rows], registers), rows
 
 
 def _sign(bands: int, rows: int, words: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text")
-            at = 0
-            while at < batch.num_rows:
-                begin, total = at, 0
-                prints, sets, owner = [], [], []
-                while at < batch.num_rows and total < GROUP:
-                    hashes = word_hashes(normal_bytes(texts[at].as_py()))
-                    if len(hashes):
-                        prints.append(blake2b(hashes.tobytes(), digest_size=16).digest())
-                        sets.append(_weighted(shingle_hashes(hashes, words)))
-                        owner.append(at - begin)
-                        total += len(sets[-1][0])
-                    else:
-                        prints.append(None)
-                    at += 1
-                n = at - begin
-                buckets: list = [None] * n
-                marks: list = [None] * n
-                if sets:
-                    signature = prob_minhash([s[0] for s in sets], [s[1] for s in sets], bands * rows)
-                    named = _bands(signature, rows)
-                    short = signature.astype(np.uint32)
-                    for k, o in enumerate(owner):
-                        buckets[o], marks[o] = named[k], short[k].tobytes()
-                part = batch.slice(begin, n)
+            for begin, end, sequences, sets in _grouped_texts(batch.column("text"), words):
+                signature, owners = _signed(sets, bands * rows)
+                prints: list = [None] * (end - begin)
+                buckets: list = [None] * (end - begin)
+                for o, named in zip(owners, _bands(signature, rows)):
+                    prints[o] = blake2b(sequences[o].tobytes(), digest_size=16).digest()
+                    buckets[o] = named
+                part = batch.slice(begin, end - begin)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
                         part.column("text_hash"),
                         pa.array(prints, pa.binary()),
                         pa.array(buckets, pa.list_(pa.int64())),
-                        pa.array(marks, pa.binary()),
                     ],
-                    names=["doc_id", "text_hash", "print", "bands", "marks"],
+                    names=["doc_id", "text_hash", "print", "bands"],
                 )
 
     return sign
 
 
 def signatures(df: DataFrame, bands: int = BANDS, rows: int = ROWS, words: int = WORDS) -> DataFrame:
-    """Per row: doc_id, text_hash, print of the word sequence, bands and the registers (marks)."""
+    """Per row: doc_id, text_hash, print of the word sequence and the buckets of its bands."""
+    if bands > MOST_BANDS:
+        raise ValueError(f"at most {MOST_BANDS} bands")
     texts = df.select(
         "doc_id", F.xxhash64(text_or_empty()).alias("text_hash"), text_or_empty().alias("text")
     )
     id_type = df.schema["doc_id"].dataType.simpleString()
     return texts.mapInArrow(
         _sign(bands, rows, words),
-        f"doc_id {id_type}, text_hash long, print binary, bands array<bigint>, marks binary",
+        f"doc_id {id_type}, text_hash long, print binary, bands array<bigint>",
     )
 
 
+def _pack(bands: int, rows: int, words: int):
+    """The registers of each text (marks), and the text packed."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text")
+            for begin, end, _, sets in _grouped_texts(texts, words):
+                signature, _ = _signed(sets, bands * rows)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("print").slice(begin, end - begin),
+                        pa.array([m.tobytes() for m in signature.astype(np.uint32)], pa.binary()),
+                        pa.array(
+                            [zlib.compress(normal_bytes(texts[k].as_py()), 1) for k in range(begin, end)],
+                            pa.binary(),
+                        ),
+                    ],
+                    names=["print", "marks", "packed"],
+                )
+
+    return pack
+
+
+def _unpacked(packed: bytes, words: int) -> tuple[np.ndarray, np.ndarray]:
+    return _weighted(shingle_hashes(word_hashes(zlib.decompress(packed)), words))
+
+
 def _verify(threshold: float, words: int):
     """Keep the pairs whose exact similarity reaches the threshold."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = lru_cache(maxsize=64)(lambda text: weighted_shingles(text, words))
+        shingles = lru_cache(maxsize=64)(lambda packed: _unpacked(packed, words))
         for batch in batches:
             found = [
-                similarity(weighted_shingles(a, words), shingles(b)) >= threshold
-                for a, b in zip(
-                    batch.column("text").to_pylist(), batch.column("other_text").to_pylist()
-                )
+                similarity(_unpacked(a.as_py(), words), shingles(b.as_py())) >= threshold
+                for a, b in zip(batch.column("packed"), batch.column("other"))
             ]
             yield batch.select(["a", "b"]).filter(pa.array(found, pa.bool_()))
 
@@ -210,14 +244,14 @@ def _cross(threshold: float, least: float, rows: int, words: int):
         links = []
         if len(every) and len(lone):
             signs = np.stack([np.frombuffer(m, np.uint32) for m in every.marks])
-            band = int(block.band.iloc[0])
+            band = int(block.bucket.iloc[0]) & (MOST_BANDS - 1)
             classes = every.label.map(bytes).to_numpy()
             names = every.print.map(bytes).to_numpy()
             sets: dict = {}
 
             def shingles(k):
                 if k not in sets:
-                    sets[k] = weighted_shingles(every.text[k], words)
+                    sets[k] = _unpacked(every.packed[k], words)
                 return sets[k]
 
             for k in range(len(lone)):
@@ -233,7 +267,7 @@ def _cross(threshold: float, least: float, rows: int, words: int):
                 for j in here[np.argsort(-near[here], kind="stable")]:
                     if classes[j] == own or classes[j] in linked:
                         continue
-                    mine = mine or weighted_shingles(lone.text[k], words)
+                    mine = mine or _unpacked(lone.packed[k], words)
                     if similarity(mine, shingles(j)) >= threshold:
                         linked.add(classes[j])
                         links.append((bytes(lone.print[k]), names[j]))
@@ -289,26 +323,33 @@ def near_classes(
     without doc_id belong to classes like others, but name them only if no other row does. kept marks
     the representative: smallest doc_id, then smallest text_hash; rows that repeat it are marked too.
     """
-    spark = df.sparkSession
     signed = cut(signatures(df, bands, rows, words))
     rep = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
-    worded = signed.filter("print is not null")
+    # one row of each text; texts of one print have the same bands
     nodes = cut(
-        worded.groupBy("print").agg(F.min(rep).alias("rep"), F.count("*").alias("copies"))
+        signed.filter("print is not null")
+        .groupBy("print")
+        .agg(F.min(rep).alias("rep"), F.count("*").alias("copies"), F.first("bands").alias("bands"))
     )
-    # one row of each text names its buckets
-    names = worded.select("print", "bands", "marks", rep.alias("own")).join(
-        nodes.select(F.col("print").alias("p"), "rep"),
-        (F.col("print") == F.col("p")) & F.col("own").eqNullSafe(F.col("rep")),
+    # buckets and texts by number while there are many of them; a number that two prints share only
+    # adds a candidate
+    number = F.xxhash64("print")
+    spread = nodes.select(number.alias("number"), F.explode("bands").alias("bucket"))
+    shared = (
+        spread.groupBy("bucket")
+        .agg(F.min("number").alias("low"), F.max("number").alias("high"))
+        .filter("low <> high")
+        .select("bucket")
+    )
+    members = cut(
+        spread.join(shared, "bucket").join(
+            nodes.select("print", number.alias("number")), "number"
+        ).select("bucket", "print")
     )
-    spread = names.select("print", F.posexplode("bands").alias("band", "bucket"))
-    shared = spread.groupBy("bucket").count().filter("count > 1").select("bucket")
-    members = cut(spread.join(shared, "bucket").distinct())
     texts = _texts(df, members, nodes)
-    marks = members.select("print").distinct().join(
-        worded.groupBy("print").agg(F.first("marks").alias("marks")), "print"
+    known = cut(
+        texts.mapInArrow(_pack(bands, rows, words), "print binary, marks binary, packed binary")
     )
-    known = cut(texts.join(marks, "print"))
 
     pivots = members.groupBy("bucket").agg(F.min("print").alias("b"))
     pairs = (
@@ -317,8 +358,8 @@ def near_classes(
         .select(F.col("print").alias("a"), "b")
         .distinct()
     )
-    left = known.select(F.col("print").alias("a"), "text")
-    right = known.select(F.col("print").alias("b"), F.col("text").alias("other_text"))
+    left = known.select(F.col("print").alias("a"), "packed")
+    right = known.select(F.col("print").alias("b"), F.col("packed").alias("other"))
     links = cut(
         pairs.join(left, "a").join(right, "b").mapInArrow(_verify(threshold, words), "a binary, b binary")
     )
@@ -327,7 +368,7 @@ def near_classes(
     # members of one bucket in several classes: compare those outside its largest class with all
     placed = cut(
         members.join(labels.withColumnRenamed("node", "print"), "print", "left")
-        .select("print", "band", "bucket", F.coalesce("label", "print").alias("label"))
+        .select("print", "bucket", F.coalesce("label", "print").alias("label"))
     )
     mixed = placed.groupBy("bucket").agg(
         F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size")
@@ -346,13 +387,13 @@ def near_classes(
     sized = placed.join(largest, "bucket").withColumn("lone", F.col("label") != F.col("top"))
     turn = F.xxhash64("print", "bucket")
     every = sized.select(
-        "print", "band", "bucket", "label",
+        "print", "bucket", "label",
         F.explode(F.sequence(F.lit(0), F.col("lone_blocks") - 1)).alias("lone_block"),
         F.pmod(turn, F.col("blocks")).cast("int").alias("block"),
         F.lit(1).alias("role"),
     )
     lone = sized.filter("lone").select(
-        "print", "band", "bucket", "label",
+        "print", "bucket", "label",
         F.pmod(turn, F.col("lone_blocks")).cast("int").alias("lone_block"),
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
         F.lit(0).alias("role"),
@@ -408,16 +449,24 @@ def near_classes(
     )
 
 
+def _row_key(doc_id: str, text_hash: str):
+    return F.xxhash64(F.coalesce(F.col(doc_id).cast("string"), F.lit("null")), text_hash)
+
+
 def _texts(df: DataFrame, members: DataFrame, nodes: DataFrame) -> DataFrame:
-    """print and text of each text that shares a bucket with another."""
+    """print and text of each text that shares a bucket with another; the one shuffle of whole texts."""
     wanted = members.select("print").distinct().join(nodes.select("print", "rep"), "print").select(
         "print", F.col("rep.doc_id").alias("of_id"), F.col("rep.text_hash").alias("of_hash")
+    ).withColumn("of_key", _row_key("of_id", "of_hash"))
+    rows = df.select("doc_id", text_or_empty().alias("text")).withColumn("hash", F.xxhash64("text"))
+    found = rows.withColumn("key", _row_key("doc_id", "hash")).join(
+        wanted,
+        (F.col("key") == F.col("of_key"))
+        & (F.col("hash") == F.col("of_hash"))
+        & F.col("doc_id").eqNullSafe(F.col("of_id")),
     )
-    rows = df.select("doc_id", text_or_empty().alias("text")).withColumn("h", F.xxhash64("text"))
-    found = rows.join(
-        wanted, (F.col("h") == F.col("of_hash")) & F.col("doc_id").eqNullSafe(F.col("of_id"))
-    )
-    return found.groupBy("print").agg(F.min("text").alias("text"))
+    # rows that repeat the same text and id stay in one partition
+    return found.select("key", "print", "text").dropDuplicates(["key", "print"]).drop("key")
 
 
 def drop_near_copies(df: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
@@ -426,15 +475,19 @@ def drop_near_copies(df: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
         near_classes(df, threshold)
         .filter("kept")
         .select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"))
-        .distinct()
+        .withColumn("kept_key", _row_key("kept_id", "kept_hash"))
     )
     row = F.struct(*[F.col(c) for c in df.columns]).alias("row")
     rows = df.select(row, F.col("doc_id").alias("id"), F.xxhash64(text_or_empty()).alias("hash"))
-    same = Window.partitionBy("hash", "id").orderBy(F.lit(1))
+    # rows equal in id and text meet in one partition of the join; one of them stays
+    same = Window.partitionBy("key").orderBy("hash")
     return (
-        rows.join(
+        rows.withColumn("key", _row_key("id", "hash"))
+        .join(
             stays,
-            (F.col("hash") == F.col("kept_hash")) & F.col("id").eqNullSafe(F.col("kept_id")),
+            (F.col("key") == F.col("kept_key"))
+            & (F.col("hash") == F.col("kept_hash"))
+            & F.col("id").eqNullSafe(F.col("kept_id")),
             "left_semi",
         )
         .withColumn("n", F.row_number().over(same))
