@@ -391,8 +391,10 @@ def find_personal_data(df: DataFrame, carry: list[str] | None = None, sure: floa
     spans overlap no base span. Repeated rows give repeated results. Without any span nothing is learned.
     """
     rows = df.select(F.struct(*[F.col(c) for c in (carry or ["doc_id"])]).alias("row"), text_or_empty().alias("text"))
-    span = "struct<kind:string,start:bigint,end:bigint,base:boolean,votes:int,features:int>"
-    schema = T.StructType([rows.schema["row"], T.StructField("spans", T.ArrayType(T._parse_datatype_string(span)))])
+    spans = T.StructType.fromDDL(
+        "spans array<struct<kind:string,start:bigint,end:bigint,base:boolean,votes:int,features:int>>"
+    )
+    schema = T.StructType([rows.schema["row"], *spans])
     proposed = cut(rows.mapInArrow(_propose, schema))
     # patterns are bounded by kinds x 3**LABELERS x 2**FEATURES, whatever the number of spans
     seen = (

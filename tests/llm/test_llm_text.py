@@ -1,0 +1,258 @@
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+from llm_helpers import awkward, changed, documents, found, prose
+
+from duelmetrics.llm import decontaminate, language_id, pii, secrets
+from duelmetrics.llm.common import normal_bytes, shingle_hashes, word_hashes
+
+
+# --- language identification ---------------------------------------------------
+
+ALPHABETS = {"aa": "abcde", "bb": "cdefgh", "cc": "мнопр"}
+
+
+def spoken(lang, seed, count=40):
+    draw = random.Random(f"{lang}{seed}")
+    letters = ALPHABETS[lang]
+    return " ".join("".join(draw.choices(letters, k=draw.randint(2, 7))) for _ in range(count))
+
+
+def test_languages_are_learned_and_held_out_rows_are_not_used(spark):
+    rows = [(k, spoken(lang, k, 1 + k % 40), lang) for k, lang in enumerate(list(ALPHABETS) * 150)]
+    got = {r["doc_id"]: r for r in found(language_id.languages(documents(spark, rows)))}
+    import zlib
+
+    assert all(got[k]["held_out"] == (zlib.crc32(str(k).encode()) % 4 == 2) for k, *_ in rows)
+    held = [(got[k], lang) for k, _, lang in rows if got[k]["held_out"]]
+    assert np.mean([r["lang_pred"] == lang for r, lang in held]) > 0.95
+    assert all(0 <= r["score"] <= 1 for r in got.values())
+    # what held-out rows are labelled changes nothing
+    other = [(k, t, "bb" if got[k]["held_out"] else lang) for k, t, lang in rows]
+    again = {r["doc_id"]: r for r in found(language_id.languages(documents(spark, other)))}
+    assert again == got
+
+
+def test_language_awkward_rows(spark):
+    df = documents(spark, awkward() + [(100 + k, spoken("aa", k), "aa") for k in range(40)], clash=True)
+    got = found(language_id.languages(df))
+    assert len(got) == df.count()
+    und = [r for r in got if r["doc_id"] in (1, 2, 3, 4)]
+    assert all((r["lang_pred"], r["score"]) == ("und", 0.0) for r in und)
+    left = language_id.keep_known(df)
+    assert left.columns == df.columns and left.filter("doc_id in (1, 2, 3, 4)").count() == 0
+    assert left.filter("doc_id >= 100").count() == 40
+    assert found(language_id.languages(df.filter("false"))) == []
+    no_labels = documents(spark, [(1, "abc"), (2, None)])
+    assert {r["lang_pred"] for r in found(language_id.languages(no_labels))} == {"und"}
+    assert [r["doc_id"] for r in found(language_id.keep_known(no_labels))] == [1]
+
+
+def test_weights_are_sparse_and_the_temperature_calibrates():
+    z, n = np.array([0.01, -0.5, 3.0]), np.ones(3)
+    w = language_id.proximal(z, n)
+    assert w[0] == 0 and w[1] > 0 > w[2]
+    draw = np.random.default_rng(2)
+    label = draw.integers(0, 3, 4000)
+    logits = draw.normal(size=(4000, 3)) + 2 * np.eye(3)[label]
+    assert language_id.fit_temperature(5 * logits, label) == pytest.approx(
+        5 * language_id.fit_temperature(logits, label), rel=0.05
+    )
+    long_text = "abc " * 700_000
+    assert language_id.gram_counts(long_text).sum() == 3 * len(long_text) - 3
+
+
+# --- decontamination ------------------------------------------------------------
+
+
+def brute_leaks(docs, items, least=0.8):
+    """(doc, item) whose best aligned window reaches the threshold, by all places with a common shingle."""
+    of = lambda t: shingle_hashes(word_hashes(normal_bytes(t)))
+    pairs = set()
+    for doc_id, text in docs:
+        have = of(text) if len(word_hashes(normal_bytes(text))) >= 5 else of("")
+        for item_id, item in items:
+            want = of(item)
+            if len(word_hashes(normal_bytes(item))) < 5:
+                continue
+            for i, h in enumerate(want.tolist()):
+                for at in np.flatnonzero(have == h).tolist():
+                    start = max(0, at - i)
+                    if decontaminate.weighted_jaccard(have[start : start + len(want)], want) >= least:
+                        pairs.add((doc_id, item_id))
+    return pairs
+
+
+def test_leaks_equal_brute_force(spark):
+    items = [(k, prose(3000 + k, 5 + 3 * k)) for k in range(40)] + [(90, "a b c"), (91, None), (None, prose(1, 9))]
+    docs = []
+    for k in range(160):
+        item = prose(3000 + k % 40, 5 + 3 * (k % 40))
+        size = len(item.split())
+        if k >= 40:  # changed at an edge, inside, or both
+            places = {0: [0], 1: [size - 1], 2: [size // 2]}[k // 40 - 1]
+            item = changed(item, places)
+        docs.append((k, f"{prose(k, 30 + k % 7)}. {item.upper() if k % 2 else item}, {prose(k + 500, 30)}"))
+    docs += [(k, prose(5000 + k, 120)) for k in range(200, 260)]
+    got = found(
+        decontaminate.leaks(documents(spark, docs), spark.createDataFrame(items, "item_id bigint, text string"))
+    )
+    want = brute_leaks(docs, items[:41])
+    assert {(r["doc_id"], r["item_id"]) for r in got} == want and len(want) > 60
+    for r in got:
+        words = dict(docs)[r["doc_id"]]
+        assert r["end_word"] <= len(word_hashes(normal_bytes(words))) + decontaminate.SHIFT
+        assert r["first_word"] in r["starts"]
+
+
+def test_slices_of_the_benchmark_give_the_same(spark):
+    items = spark.createDataFrame([(k, prose(k, 25)) for k in range(30)], "item_id bigint, text string")
+    docs = documents(spark, [(k, f"{prose(k + 99, 20)} {prose(k, 25)}") for k in range(40)])
+    whole, cut = (
+        {(r["doc_id"], r["item_id"]) for r in found(decontaminate.find_leaks(docs, items, slice_words=n).select("row.doc_id", "item_id"))}
+        for n in (10**6, 100)
+    )
+    assert whole == cut and len(whole) == 30
+    kept = decontaminate.drop_leaks(docs, items, slice_words=100)
+    assert sorted(r["doc_id"] for r in found(kept)) == list(range(30, 40))
+
+
+def test_windows_hold_an_unchanged_run():
+    for length in range(5, 400):
+        size, step = decontaminate.window_size(length)
+        assert 5 <= size <= length and step <= max(1, size // 4)
+
+
+def test_leaks_awkward_rows(spark):
+    df = documents(spark, awkward(), clash=True)
+    items = spark.createDataFrame([(1, prose(2, 60)), (2, " ".join(prose(1, 40_000).split()[30_000:30_040]))], "item_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in found(decontaminate.leaks(df, items))}
+    assert got == {(7, 1), (None, 1), (6, 2), (10, 2)}
+    left = decontaminate.drop_leaks(df, items)
+    assert left.columns == df.columns and left.count() == len(awkward()) - 5
+    assert left.filter("doc_id = 7").count() == 1
+    assert found(decontaminate.leaks(df, items.filter("false"))) == []
+    assert decontaminate.drop_leaks(df, items.filter("false")).count() == len(awkward())
+    assert found(decontaminate.leaks(df.filter("false"), items)) == []
+
+
+# --- personal data ---------------------------------------------------------------
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def base_brute(text):
+    def holds(kind, m):
+        digits = re.sub("[^0-9]", "", m)
+        if kind == "ip":
+            return all(int(p) <= 255 for p in m.split("."))
+        if kind == "card":
+            return 16 <= len(digits) <= 19 and pii.luhn(digits)
+        return kind != "phone" or 8 <= len(digits) <= 15
+
+    return [(k, *m.span()) for k, p in PATTERNS.items() for m in re.finditer(p, text) if holds(k, m[0])]
+
+
+def test_base_spans_equal_the_patterns():
+    draw = random.Random(4)
+    for _ in range(20_000):
+        text = "".join(draw.choices("ab1.2@-+ ()_%9\n4é", k=draw.randint(0, 40)))
+        spans = pii.base_spans(text)
+        assert [(k, *s) for k in pii.BASE_KINDS for s in spans[k]] == base_brute(text)
+
+
+def test_personal_data_of_documents(spark):
+    texts = [
+        "mail me: ann.b@mail.example.com or bob@x.org.",
+        "host 10.0.0.255 and 1.2.3.256, card 4111 1111 1111 1111, call +1 (415) 555-0123 now",
+        "é日 😀 a@b.co",
+        "nothing here 12345",
+        "call (415) 555-0123 please, phone 415-555-0199",
+    ]
+    rows = [(k, t) for k, t in enumerate(texts * 10)]
+    got = {r["doc_id"]: r for r in found(pii.personal_data(documents(spark, rows)))}
+    for k, text in rows:
+        base = base_brute(text)
+        listed = ",".join(f"{a}:{b}:{c}" for a, b, c in base)
+        assert got[k]["base_sha256"] == hashlib.sha256(listed.encode()).hexdigest()
+        for kind in PATTERNS:
+            assert got[k][f"n_{kind}"] == sum(b[0] == kind for b in base)
+        assert set(filter(None, listed.split(","))) <= set(got[k]["spans"].split(","))
+    assert got[3]["spans"] == "" and got[4]["n_added"] == 2
+
+
+def test_personal_data_awkward_rows(spark):
+    df = documents(spark, [*awkward(), (50, "a@" * 50_000 + "b.c"), (51, "1." * 100_000)], clash=True)
+    got = found(pii.personal_data(df))
+    assert len(got) == df.count()
+    none = hashlib.sha256(b"").hexdigest()
+    assert all(r["base_sha256"] == none for r in got if r["doc_id"] in (1, 2, 3))
+    assert found(pii.personal_data(df.filter("false"))) == []
+    for nasty in ("+1" * 50_000, "4-" * 50_000, "(at) a" * 20_000, "Mr. A" * 20_000, "@" * 50_000):
+        list(pii.loose_spans(nasty, [s for v in pii.base_spans(nasty).values() for s in v]))
+
+
+def test_labelers_are_weighed_by_agreement():
+    patterns = [("phone", [1, 1, 1, 1, -1], 80), ("phone", [-1, -1, -1, -1, 1], 80), ("phone", [1, 1, 0, 1, 1], 10)]
+    model = pii.fit_labelers(patterns)
+    assert model.accuracy[0] > 0.9 and model.accuracy[4] < 0.7
+    assert model.posterior("phone", [1, 1, 1, 1, -1]) > 0.9 > 0.1 > model.posterior("phone", [-1, -1, -1, -1, 1])
+    weights = pii.fit_classifier([(k, v, 0, n) for k, v, n in patterns], model)
+    assert pii.judge(weights, *patterns[0][:2], 0) > 0.8 > 0.2 > pii.judge(weights, *patterns[1][:2], 0)
+    assert not pii.fit_classifier([], pii.fit_labelers([])).any()
+
+
+# --- secrets ----------------------------------------------------------------------
+
+
+def test_findings_are_all_runs_with_their_places(spark):
+    draw = random.Random(6)
+    rows = [
+        (k, "".join(draw.choices(["ab", "12", " ", "\n", "=", "x9_K", "/", '"', "é", "0123456789abcdef"], k=30)))
+        for k in range(200)
+    ]
+    got = {(r["id"], r["start"], r["finding"]) for r in found(secrets.findings(documents(spark, rows)))}
+    run = re.compile(r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z0-9_+/-]{16})[A-Za-z_+/-]*[0-9][A-Za-z0-9_+/-]*={0,2}")
+    assert got == {(k, m.start(), m[0]) for k, t in rows for m in run.finditer(t)} and len(got) > 100
+
+
+def secret_rows():
+    draw = random.Random(8)
+    hexa = lambda n: "".join(draw.choices("0123456789abcdef", k=n))
+    rows = []
+    for k in range(120):
+        before, after = prose(k, 25), prose(k + 1000, 25)
+        middle = [
+            f'token = "{hexa(40)}"',
+            f"order {draw.randrange(10**15, 10**16)}",
+            f"see https://example.com/{hexa(8)}/{'a' * 9}{draw.randrange(10**8)}",
+            f"secret: {hexa(32)}",
+        ][k % 4]
+        rows.append((k, f"{before} {middle} {after}", "en", "src"))
+    return rows
+
+
+def test_the_forest_keeps_secrets_only(spark):
+    got = found(secrets.scan(documents(spark, secret_rows())))
+    assert len(got) >= 120
+    assert all(r["is_secret"] == (r["id"] % 4 in (0, 3)) for r in got)
+    labels = spark.createDataFrame([(r["finding"], int(r["id"] % 4 == 1)) for r in got if r["id"] < 80], "finding string, label int")
+    own = found(secrets.scan(documents(spark, secret_rows()), labels))
+    assert all(r["is_secret"] == (r["id"] % 4 == 1) for r in own)
+
+
+def test_secrets_awkward_rows(spark):
+    df = documents(spark, [*awkward(), (60, "a1" * 100_000), (61, "a" * 100_000)], clash=True)
+    got = found(secrets.secrets(df))
+    assert {r["doc_id"] for r in got} == {60} and got[0]["start"] == 0
+    assert found(secrets.secrets(df.filter("false"))) == []
+    plan = secrets.findings(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
