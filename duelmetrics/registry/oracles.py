@@ -712,8 +712,8 @@ def schema_tests(games: str = "games") -> str:
         not_null(
             "stg_games",
             games,
-            *"game_url username time_class player_color player_result player_rating".split(),
-            *"ended_at white_rating black_rating".split(),
+            *["game_url", "username", "time_class", "player_color", "player_result", "player_rating"],
+            *["ended_at", "white_rating", "black_rating"],
         )
         + [
             unique("stg_games", games, "game_url"),
@@ -729,29 +729,29 @@ def schema_tests(games: str = "games") -> str:
                 "stg_players",
                 "players",
                 "title",
-                "GM IM FM CM NM WGM WIM WFM WCM".split(),
+                ["GM", "IM", "FM", "CM", "NM", "WGM", "WIM", "WFM", "WCM"],
             ),
         ]
         + not_null(
             "int_player_performance",
             "performance",
-            *"username time_class total_games win_rate_pct avg_rating max_rating".split(),
+            *["username", "time_class", "total_games", "win_rate_pct", "avg_rating", "max_rating"],
         )
         + not_null(
             "mart_player_stats",
             "stats",
-            *"username peak_rating total_games_all total_wins_all".split(),
+            *["username", "peak_rating", "total_games_all", "total_wins_all"],
         )
         + [unique("mart_player_stats", "stats", "username")]
         + not_null(
             "mart_opening_analysis",
             "openings",
-            *"username opening_slug total_games win_rate_pct".split(),
+            *["username", "opening_slug", "total_games", "win_rate_pct"],
         )
         + not_null(
             "mart_elo_progression",
             "progression",
-            *"username time_class game_date closing_rating".split(),
+            *["username", "time_class", "game_date", "closing_rating"],
         )
     )
 
