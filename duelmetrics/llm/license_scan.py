@@ -27,8 +27,7 @@ SPELLINGS = [
     ("favour", "favor"),
     ("organisation", "organization"),
     ("acknowledgement", "acknowledgment"),
-    ("v ?([0-9])", "version \\1"),
-    ("version ([0-9]+) 0", "version \\1"),
+    ("(?:version|v) ?([0-9]+)", "\\1"),
     ("https", "http"),
 ]
 SCOPES = ("text", "paragraph", "line")

@@ -31,21 +31,30 @@ BASE_KINDS = ("email", "ip", "card", "phone")
 LOOSE_KINDS = ("iban", "id_number", "masked_email", "name", "local_phone")
 KINDS = BASE_KINDS + LOOSE_KINDS
 # Gazetteers.
-TOP_DOMAINS = frozenset("com org net edu gov info biz io co de fr es it uk us eu ch at nl be".split())
-TITLES = frozenset("mr mrs ms dr prof".split())
+TOP_DOMAINS = frozenset([
+    "com", "org", "net", "edu", "gov", "info", "biz", "io", "co", "de", "fr", "es", "it", "uk",
+    "us", "eu", "ch", "at", "nl", "be",
+])
+TITLES = frozenset([
+    "mr", "mrs", "ms", "dr", "prof",
+])
 CARD_STARTS = ("4", "51", "52", "53", "54", "55", "2", "34", "37", "6")
 COUNTRY_CODES = ("1", "7", "20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44",
                  "45", "46", "47", "48", "49", "51", "52", "55", "61", "64", "81", "82", "86", "90", "91")
-IBAN_COUNTRIES = frozenset("AT BE CH DE DK ES FI FR GB IE IT LU NL NO PL PT SE".split())
+IBAN_COUNTRIES = frozenset([
+    "AT", "BE", "CH", "DE", "DK", "ES", "FI", "FR", "GB", "IE", "IT", "LU", "NL", "NO", "PL", "PT",
+    "SE",
+])
 # Words near a span.
-FOR_WORDS = frozenset(
-    "email mail contact phone call tel telephone mobile fax card visa credit payment ip host server "
-    "address ssn social iban account bank name dear patient customer".split()
-)
-AGAINST_WORDS = frozenset(
-    "version release isbn issn order invoice page figure table section chapter id build commit "
-    "total price temperature latitude longitude".split()
-)
+FOR_WORDS = frozenset([
+    "email", "mail", "contact", "phone", "call", "tel", "telephone", "mobile", "fax", "card",
+    "visa", "credit", "payment", "ip", "host", "server", "address", "ssn", "social", "iban",
+    "account", "bank", "name", "dear", "patient", "customer",
+])
+AGAINST_WORDS = frozenset([
+    "version", "release", "isbn", "issn", "order", "invoice", "page", "figure", "table", "section",
+    "chapter", "id", "build", "commit", "total", "price", "temperature", "latitude", "longitude",
+])
 
 LOCAL = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-"
 EMAIL_HOST = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")

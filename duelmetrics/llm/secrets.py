@@ -36,10 +36,11 @@ SECRET_WORDS = "token|secret|passwd|password|pwd|api[_-]?key|apikey|key|auth|cre
 OTHER_WORDS = "sha1|sha256|md5|checksum|digest|commit|uuid|isbn|phone|card|order|invoice|version|id"
 SAFE_PATHS = "test|example|sample|fixture|mock|dummy|doc"
 
-FEATURES = (
-    "length digits uppers lowers symbols hexadecimal distinct entropy changes transition coverage "
-    "assigned keyword other_word quoted_before quoted_after slashes in_url safe_path alone"
-).split()
+FEATURES = [
+    "length", "digits", "uppers", "lowers", "symbols", "hexadecimal", "distinct", "entropy",
+    "changes", "transition", "coverage", "assigned", "keyword", "other_word", "quoted_before",
+    "quoted_after", "slashes", "in_url", "safe_path", "alone",
+]
 
 
 def findings(df: DataFrame, id_column: str = "doc_id", path_column: str | None = "source") -> DataFrame:
