@@ -10,7 +10,7 @@ def period_close(
     df: DataFrame,
     keys: Sequence[str],
     value: str,
-    order: Sequence[str],
+    order: Sequence[str] | Column,
     closing: str,
     measures: Mapping[str, Column],
 ) -> DataFrame:
@@ -19,12 +19,29 @@ def period_close(
     The last value is taken by ``max_by`` over ``order`` in the same grouping as
     the other measures. Each map task reduces its rows to one per group before
     the shuffle, so the shuffle grows with groups times tasks and not with the
-    rows of a hot group, as a window over the rows would.
+    rows of a hot group, as a window over the rows would. Several ``order``
+    columns make the aggregation sort its rows; one number, as ``packed_order``
+    gives it, keeps it a hash aggregation.
     """
-    last = F.max_by(value, F.struct(*order)).alias(closing)
+    by = order if isinstance(order, Column) else F.struct(*order)
+    last = F.max_by(value, by).alias(closing)
     return df.groupBy(*keys).agg(last, *[m.alias(n) for n, m in measures.items()])
 
 
+TIE_BITS = 20
+
+
+def packed_order(seconds: Column, tie: Column) -> Column:
+    """One whole number that sorts by epoch seconds, then by a small number.
+
+    ``tie`` counts from 0 and up to 2**20 - 1, NULL as 0; beyond that it is cut
+    off. With the value itself as ``tie`` the order leaves nothing open: rows
+    that agree in it have the same value.
+    """
+    bounded = F.least(F.greatest(F.coalesce(tie, F.lit(0)), F.lit(0)), F.lit((1 << TIE_BITS) - 1))
+    return F.shiftleft(seconds.cast("bigint"), TIE_BITS) + bounded.cast("bigint")
+
+
 def change_vs_previous(
     df: DataFrame,
     keys: Sequence[str],

@@ -7,10 +7,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duelmetrics import fixed_values as fixed
-from duelmetrics.functions.clock import utc_day
+from duelmetrics.functions.clock import epoch_from_utc, utc_day
 from duelmetrics.functions.measures import mean_rounded, rate_pct, row_count
 from duelmetrics.operators.progression import (
     change_vs_previous,
+    packed_order,
     period_close,
     repeat_for_ties,
 )
@@ -86,7 +87,8 @@ def rating_progression(games: DataFrame, grain: str = "day") -> DataFrame:
 
     ``grain="day"``: one row per day. ``grain="as_written"``: a day of several
     games also keeps the row whose change is taken within the day, as a change
-    computed per game and made distinct afterwards gives it.
+    computed per game and made distinct afterwards gives it. Of several games
+    that end in a day's last second the one with the greatest rating closes it.
     """
     if grain not in ("day", "as_written"):
         raise ValueError(f"unknown grain: {grain}")
@@ -96,7 +98,7 @@ def rating_progression(games: DataFrame, grain: str = "day") -> DataFrame:
         games.withColumn("game_date", utc_day(F.col("ended_at"))),
         keys=[*series, "game_date"],
         value="player_rating",
-        order=["ended_at", "game_url"],
+        order=packed_order(epoch_from_utc(F.col("ended_at")), rating),
         closing="closing_rating",
         measures={
             "daily_max_rating": F.max(rating),

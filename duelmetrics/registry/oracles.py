@@ -190,7 +190,7 @@ per_game AS (
     SELECT
         username, time_class, CAST(ended_at AS DATE) AS game_date,
         last_value(player_rating) OVER (
-            day_rows ORDER BY ended_at, game_url
+            day_rows ORDER BY ended_at, coalesce(player_rating, 0)
             ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING
         ) AS closing_rating,
         max(player_rating) OVER day_rows AS daily_max_rating,

@@ -74,7 +74,7 @@ def test_progression_grains(spark):
 def literal_progression(games):
     """Windows over every game, then distinct: what the roll-up must equal."""
     day = Window.partitionBy("username", "time_class", "game_date")
-    closing = day.orderBy("ended_at", "game_url").rowsBetween(
+    closing = day.orderBy("ended_at", "player_rating").rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing
     )
     per_game = games.withColumn("game_date", F.to_date("ended_at")).select(
