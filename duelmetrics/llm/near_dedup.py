@@ -449,48 +449,41 @@ def near_classes(
     )
 
 
-def _row_key(doc_id: str, text_hash: str):
-    return F.xxhash64(F.coalesce(F.col(doc_id).cast("string"), F.lit("null")), text_hash)
+#: What tells rows apart, in join keys that a later grouping can reuse: null ids have no name.
+_ROW_KEY = ["key_hash", "key_id", "key_none"]
+
+
+def _with_row_key(df: DataFrame, doc_id: str, text_hash: str) -> DataFrame:
+    return df.withColumns(
+        {
+            "key_hash": F.col(text_hash),
+            "key_id": F.coalesce(F.col(doc_id).cast("string"), F.lit("")),
+            "key_none": F.col(doc_id).isNull(),
+        }
+    )
 
 
 def _texts(df: DataFrame, members: DataFrame, nodes: DataFrame) -> DataFrame:
     """print and text of each text that shares a bucket with another; the one shuffle of whole texts."""
-    wanted = members.select("print").distinct().join(nodes.select("print", "rep"), "print").select(
-        "print", F.col("rep.doc_id").alias("of_id"), F.col("rep.text_hash").alias("of_hash")
-    ).withColumn("of_key", _row_key("of_id", "of_hash"))
+    wanted = members.select("print").distinct().join(nodes.select("print", "rep"), "print")
+    wanted = _with_row_key(wanted, "rep.doc_id", "rep.text_hash").select("print", *_ROW_KEY)
     rows = df.select("doc_id", text_or_empty().alias("text")).withColumn("hash", F.xxhash64("text"))
-    found = rows.withColumn("key", _row_key("doc_id", "hash")).join(
-        wanted,
-        (F.col("key") == F.col("of_key"))
-        & (F.col("hash") == F.col("of_hash"))
-        & F.col("doc_id").eqNullSafe(F.col("of_id")),
-    )
-    # rows that repeat the same text and id stay in one partition
-    return found.select("key", "print", "text").dropDuplicates(["key", "print"]).drop("key")
+    found = _with_row_key(rows, "doc_id", "hash").join(wanted, _ROW_KEY)
+    # rows that repeat the same text and id meet in one partition of the join
+    return found.dropDuplicates([*_ROW_KEY, "print"]).select("print", "text")
 
 
 def drop_near_copies(df: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     """The rows of df, all columns, with one row of each class."""
-    stays = (
-        near_classes(df, threshold)
-        .filter("kept")
-        .select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"))
-        .withColumn("kept_key", _row_key("kept_id", "kept_hash"))
-    )
+    stays = _with_row_key(near_classes(df, threshold).filter("kept"), "doc_id", "text_hash")
     row = F.struct(*[F.col(c) for c in df.columns]).alias("row")
     rows = df.select(row, F.col("doc_id").alias("id"), F.xxhash64(text_or_empty()).alias("hash"))
     # rows equal in id and text meet in one partition of the join; one of them stays
-    same = Window.partitionBy("key").orderBy("hash")
+    same = Window.partitionBy(*_ROW_KEY).orderBy(F.lit(1))
     return (
-        rows.withColumn("key", _row_key("id", "hash"))
-        .join(
-            stays,
-            (F.col("key") == F.col("kept_key"))
-            & (F.col("hash") == F.col("kept_hash"))
-            & F.col("id").eqNullSafe(F.col("kept_id")),
-            "left_semi",
-        )
-        .withColumn("n", F.row_number().over(same))
-        .filter("n = 1")
+        _with_row_key(rows, "id", "hash")
+        .join(stays.select(*_ROW_KEY), _ROW_KEY, "left_semi")
+        .withColumn("nth", F.row_number().over(same))
+        .filter("nth = 1")
         .select("row.*")
     )
