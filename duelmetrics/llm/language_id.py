@@ -37,9 +37,24 @@ STRETCH = 1_000_000
 UNKNOWN = "und"
 
 
+#: ASCII characters other than letters tell nothing about a language and count as blanks.
+_BLANK = np.array([not chr(c).isalpha() for c in range(128)])
+_SPACE = np.uint32(32)
+
+
+def _letters(text: str) -> np.ndarray:
+    """Code points in lower case; a run of blanks is one blank."""
+    codes = np.frombuffer(text.lower().encode("utf-32-le", "replace"), dtype=np.uint32)
+    blank = (codes < 128) & _BLANK[np.minimum(codes, 127)]
+    codes = np.where(blank, _SPACE, codes)
+    again = np.zeros(len(codes), dtype=bool)
+    again[1:] = blank[1:] & blank[:-1]
+    return codes[~again]
+
+
 def gram_counts(text: str) -> np.ndarray:
     """How often each feature occurs in the whole text."""
-    codes = np.frombuffer(text.lower().encode("utf-32-le", "replace"), dtype=np.uint32)
+    codes = _letters(text)
     total = np.zeros(1 << FEATURE_BITS, dtype=np.int64)
     for begin in range(0, max(1, len(codes)), STRETCH):
         piece = codes[begin : begin + STRETCH + GRAMS - 1]
@@ -185,8 +200,8 @@ def train(
 
     Rows without label, or whose text has no letter, teach nothing. The sample takes about
     `rows_per_label` rows of each label (in expectation at most so many), by a hash of the text, and one
-    row of each text, however many copies there are; document frequencies and label counts cover all rows. Without any labelled row the model
-    has no labels and predicts `und`.
+    row of each text, however many copies there are; document frequencies and label counts cover all
+    rows. Without any labelled row the model has no labels and predicts `und`.
     """
     spark = df.sparkSession
     rows = df.select(
@@ -305,7 +320,7 @@ def languages(df: DataFrame) -> DataFrame:
 
 
 #: A document stays if its language is known with at least this probability.
-LEAST_SCORE = 0.4
+LEAST_SCORE = 0.3
 
 
 def keep_known(df: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
