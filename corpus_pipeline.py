@@ -6,12 +6,11 @@ documents. Between stages the documents lie as Parquet in the folder that all ex
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from duelmetrics.llm import decontaminate, exact_dedup, language_id, mixing, near_dedup, warc
-from duelmetrics.llm.common import shared_folder, table
+from duelmetrics.llm.common import table
+from duelmetrics.sources.scratch import scratch_dir
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,13 +46,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mix of the documents in sf_dir; its rows stay in the shared folder, what led to them doesn't."""
-    folder = f"{shared_folder(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
-    docs, written = table(spark, sf_dir, "documents"), []
+    """The mix of the documents in sf_dir.
+
+    Its rows lie in a shared scratch folder until the session ends; what led to them is removed as soon as
+    the next stage is written.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        written.append(f"{folder}/{name}")
-        stage(spark, docs, sf_dir).write.parquet(written[-1])
-        docs = spark.read.parquet(written[-1])
-        if len(written) > 1:
-            warc.remove(spark, written.pop(0))
+        path = scratch_dir(spark, name)
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+        if before:
+            warc.remove(spark, before)
+        before = path
     return docs

@@ -15,22 +15,26 @@ _MIX2 = np.uint64(0x94D049BB133111EB)
 _ODD = np.uint64(0x100000001B3)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a temporary one only where it is unset on a local master."""
+def use_shared_folder(spark: SparkSession) -> None:
+    """Checkpoints go to spark.checkpoint.dir; where it is unset, on a local master, to a temporary folder.
+
+    The session's own folder in it is removed when the session ends.
+    """
     context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not folder:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="llm-shared-")
     if not context.getCheckpointDir():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not context.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="llm-shared-")
         context.setCheckpointDir(folder)
-    return folder
+    own = context._jvm.org.apache.hadoop.fs.Path(context.getCheckpointDir())
+    own.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(own)
 
 
 def cut(df: DataFrame) -> DataFrame:
     """The rows, written to the shared folder, so that later jobs neither repeat nor lose the work."""
-    shared_folder(df.sparkSession)
+    use_shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

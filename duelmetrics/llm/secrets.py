@@ -8,6 +8,8 @@ neighbouring words label some of the corpus where no labels are given.
 
 from __future__ import annotations
 
+import string
+
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -21,6 +23,7 @@ from duelmetrics.llm.common import cut, text_or_empty
 KEY = "A-Za-z0-9_+/-"
 LEAST = 16
 FINDING = rf"(?<![{KEY}])(?=[{KEY}]{{{LEAST}}})[A-Za-z_+/-]*+[0-9][{KEY}]*+={{0,2}}+"
+ALPHABET = string.ascii_letters + string.digits + "_+/=-"
 #: Characters kept on each side.
 NEAR = 48
 #: A dictionary word has 3 to 8 letters and occurs in at least so many documents.
@@ -108,6 +111,8 @@ def transitions(words: DataFrame) -> DataFrame:
     )
 
 
+#: Letters of a finding that are looked at in one row.
+PIECE = 4096
 #: Log probability of a pair that no dictionary word has.
 UNSEEN = -7.0
 
@@ -118,28 +123,41 @@ def _share(pattern: str) -> Column:
 
 def with_features(found: DataFrame, words: DataFrame, pairs: DataFrame) -> DataFrame:
     """Adds the FEATURES; findings that are equal share the lookups of letters and words."""
-    distinct = found.select("finding").distinct()
-    low = F.lower("finding")
     n = F.char_length("finding")
-    two = distinct.select(
-        "finding",
+    named = found.withColumn("of", F.sha2(F.col("finding").cast("binary"), 256))
+    # long findings in pieces, each with the letters that a word beginning in it may still have
+    piece = F.lower(F.substring("finding", F.col("from"), F.lit(PIECE + 7)))
+    pieces = (
+        named.dropDuplicates(["of"])
+        .select("of", "finding", F.explode(F.sequence(F.lit(1), n, F.lit(PIECE))).alias("from"))
+        .select("of", "from", piece.alias("piece"))
+        .filter(F.char_length("piece") > 2)
+    )
+    size = F.char_length("piece")
+    two = pieces.select(
+        "of",
         F.explode(
-            F.transform(F.sequence(F.lit(1), n - 1), lambda k: F.substring(low, k, F.lit(2)))
+            F.transform(
+                F.sequence(F.lit(1), F.least(size - 1, F.lit(PIECE))),
+                lambda k: F.substring("piece", k, F.lit(2)),
+            )
         ).alias("pair"),
     )
     likely = (
         two.join(F.broadcast(pairs), "pair", "left")  # at most 26 x 26 pairs
-        .groupBy("finding")
+        .groupBy("of")
         .agg(F.avg(F.coalesce("log_p", F.lit(UNSEEN))).alias("transition"))
     )
     place = F.explode(
         F.filter(
             F.flatten(
                 F.transform(
-                    F.sequence(F.lit(1), n - 2),
+                    F.sequence(F.lit(1), F.least(size - 2, F.lit(PIECE))),
                     lambda k: F.transform(
                         F.sequence(F.lit(3), F.lit(8)),
-                        lambda m: F.struct(k.alias("at"), F.substring(low, k, m).alias("part")),
+                        lambda m: F.struct(
+                            (F.col("from") + k - 1).alias("at"), F.substring("piece", k, m).alias("part")
+                        ),
                     ),
                 )
             ),
@@ -147,22 +165,20 @@ def with_features(found: DataFrame, words: DataFrame, pairs: DataFrame) -> DataF
         )
     ).alias("s")
     covered = (
-        distinct.select("finding", place)
-        .select("finding", "s.at", F.col("s.part").alias("word"))
+        pieces.select("of", place)
+        .select("of", "s.at", F.col("s.part").alias("word"))
         .distinct()
         .join(words.select("word"), "word")
         .select(
-            "finding",
+            "of",
             F.explode(F.sequence(F.col("at"), F.col("at") + F.char_length("word") - 1)).alias("letter"),
         )
-        .groupBy("finding")
+        .groupBy("of")
         .agg(F.count_distinct("letter").alias("letters"))
     )
-    known = distinct.join(likely, "finding", "left").join(covered, "finding", "left").select(
-        F.col("finding").alias("of"), "transition", "letters"
-    )
-    letters = F.split("finding", "")
-    spread = F.array_distinct(letters)
+    known = likely.join(covered, "of", "left")
+    letters = F.array(*[F.lit(c) for c in ALPHABET])
+    spread = F.filter(letters, lambda c: F.instr(F.col("finding"), c) > 0)
     share = F.transform(
         spread, lambda c: (n - F.char_length(F.replace("finding", c, F.lit("")))) / n
     )
@@ -195,7 +211,7 @@ def with_features(found: DataFrame, words: DataFrame, pairs: DataFrame) -> DataF
         "safe_path": F.lower("path").rlike(SAFE_PATHS) | last.rlike(rf"(?:{SAFE_PATHS})[\w./-]*$"),
         "alone": last.rlike(r"^\s*$") & after.rlike(r"^\s*(?:\n|$)"),
     }
-    return found.join(known, F.col("finding") == F.col("of")).select(
+    return named.join(known, "of", "left").select(
         "id", "path", "start", "finding", "before", "after",
         *[made[name].cast("double").alias(name) for name in FEATURES],
     )

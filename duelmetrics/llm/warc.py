@@ -18,7 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from duelmetrics.llm.common import cut, shared_folder, text_or_empty
+from duelmetrics.llm.common import cut, text_or_empty
+from duelmetrics.sources.scratch import scratch_dir
 
 VERSION = "WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -264,13 +265,13 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def archive_round_trip(pages: DataFrame) -> DataFrame:
-    """Write pages as archives into the shared folder, read them back, remove them.
+    """Write pages as archives into a shared scratch folder, read them back, remove them.
 
     One row per page: page_id, payload_bytes, payload_digest, record_type, refers_to.
     """
     spark = pages.sparkSession
     id_type = pages.schema["page_id"].dataType
-    path = f"{shared_folder(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
+    path = scratch_dir(spark, "warc")
     try:
         write_archives(pages, path)
         read = read_archives(spark, path).select(
