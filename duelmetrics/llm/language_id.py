@@ -25,7 +25,7 @@ GRAMS = 3
 FEATURE_BITS = 15
 #: Bound of the training sample: about so many rows of each label, and so many labels (the largest).
 ROWS_PER_LABEL = 2_000
-MAX_LABELS = 400
+MAX_LABELS = 128
 SHARDS = 8
 PASSES = 3
 #: FTRL-proximal: learning rate, its smoothing, L1 and L2 penalties.
@@ -137,10 +137,11 @@ def _document_frequency(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
     )
 
 
-def _shard(labels: list[str], idf: np.ndarray, z: np.ndarray, n: np.ndarray):
+def _shard(labels: list[str], shared):
     number = {label: k for k, label in enumerate(labels)}
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
+        idf, z, n = shared.value
         own_z, own_n = z.copy(), n.copy()
         ordered = rows.sort_values(["h", "text"])
         learn(
@@ -248,8 +249,10 @@ def train(
     z = np.zeros((size, len(labels)))
     n = np.zeros((size, len(labels)))
     for _ in range(PASSES):
+        # as large as the model: 2**FEATURE_BITS x labels numbers
+        state = spark.sparkContext.broadcast((idf, z, n))
         steps = learned.groupBy("shard").applyInPandas(
-            _shard(labels, idf, z, n), "feature long, z array<double>, n array<double>"
+            _shard(labels, state), "feature long, z array<double>, n array<double>"
         )
         # the state after a pass: the mean of the shards' states, as large as the model
         mean = (
@@ -260,6 +263,7 @@ def train(
         )
         z[mean.feature, mean.k] += mean.z / SHARDS
         n[mean.feature, mean.k] += mean.n / SHARDS
+        state.unpersist()
     weights = proximal(z, n)
     apart = (
         sample.filter(part < int(CALIBRATION * 100))
@@ -269,7 +273,6 @@ def train(
     )
     logits = np.array(apart.logits.tolist()) if len(apart) else np.zeros((0, len(labels)))
     temperature = fit_temperature(logits, apart.label.to_numpy())
-    spark.catalog.clearCache()
     return Model(labels, weights.astype(np.float32), idf.astype(np.float32), temperature)
 
 
