@@ -107,4 +107,43 @@ ORACLES = {
                sent / weight AS finish
         FROM queued
     """,
+    "op8_warc_revisit": """
+        WITH hashed AS (
+            SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages
+        ), coded AS (
+            SELECT page_id, html, strlen(html)::BIGINT AS payload_bytes,
+                   array_to_string(list_transform(range(0, 32), lambda i: substr(
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                       1 + ((('0x' || substr(hex, 1 + (i // 4) * 5, 5))::INTEGER
+                             >> (15 - 5 * (i % 4))::INTEGER) & 31), 1)), '') AS payload_digest,
+                   max(page_id) OVER (PARTITION BY html) AS original
+            FROM hashed
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> original THEN original END AS refers_to
+        FROM coded
+    """,
+    "op9_chat_format": r"""
+        WITH turns AS (
+            SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+            UNION ALL
+            SELECT -7, turn, role, '\### Assistant: </turn> ok'
+            FROM (VALUES (0, 'user'), (1, 'assistant')) AS control(turn, role)
+        ), sized AS (
+            SELECT *, length('### ' || role || ':' || chr(10) || text || '</turn>' || chr(10))
+                + length(text) - length(replace(text, chr(92), ''))
+                + coalesce(list_sum(list_transform(
+                    regexp_extract_all(text, '#{3,}'), lambda x: length(x) - 2)), 0)
+                + len(regexp_extract_all(text, '</turn>')) AS chars
+            FROM turns
+        )
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), ''))
+                   AS loss_sha256,
+               sum(chars)::BIGINT AS formatted_chars
+        FROM sized GROUP BY conv_id
+    """,
 }
