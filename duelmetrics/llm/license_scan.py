@@ -86,7 +86,8 @@ def scan(
     from 0. The scopes are apart: a text of one line that is a notice is found in each of them. Null texts are empty; empty units match nothing. Rows that repeat an id are counted
     together.
     """
-    digests = digests if digests is not None else licence_digests(df.sparkSession)
+    if digests is None:  # as many rows as licence_texts lists
+        digests = F.broadcast(licence_digests(df.sparkSession))
     rows = df.select(F.col(id_column).alias("id"), text_or_empty().alias("text")).select(
         "id", _marked(F.col("text")).alias("marked")
     )
