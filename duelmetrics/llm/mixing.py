@@ -84,6 +84,19 @@ def source_targets(
     )
 
 
+#: A slice of a queue, in keys without null.
+_QUEUE = ["queue_name", "queue_unnamed", "slice"]
+
+
+def _with_queue(df: DataFrame, source: str) -> DataFrame:
+    return df.withColumns(
+        {
+            "queue_name": F.coalesce(F.col(source).cast("string"), F.lit("")),
+            "queue_unnamed": F.col(source).isNull(),
+        }
+    )
+
+
 def mix(
     df: DataFrame,
     source_column: str = "source",
@@ -97,10 +110,11 @@ def mix(
     """Each row of df with its part in the mix: struct `row` (all columns of df) and mix columns.
 
     size: words (default: of `text`, null counts 0). order_by: shuffled order, default by digests of
-    doc_id and text; the first column holds evenly spread numbers of 60 bits. Adds size, source_size, target, finish (virtual time at which the first copy has
-    been sent) and taken (words of all copies). Rows are range-sorted by finish. Null sources form one
-    source of their own; sizes of 0 are never taken; an empty table gives an empty mix. Rows equal in
-    every order column may change places, which changes no count of theirs in total.
+    doc_id and text; the first column holds evenly spread numbers of 60 bits. Adds size, source_size,
+    target, finish (virtual time at which the first copy has been sent) and taken (words of all copies).
+    Rows are range-sorted by finish. Null sources form one source of their own; sizes of 0 are never
+    taken; an empty table gives an empty mix. Rows equal in every order column may change places, which
+    changes no count of theirs in total.
     """
     order_by = order_by or shuffled_order()
     rows = df.select(
@@ -133,24 +147,17 @@ def mix(
     starts = sums.withColumn("start", F.coalesce(F.sum("words").over(earlier), F.lit(0))).join(
         targets.withColumnRenamed("source", "named"), F.col("source").eqNullSafe(F.col("named"))
     )
-    starts = cut(
-        starts.select(
-            F.col("source").alias("of_source"),
-            F.col("slice").alias("of_slice"),
-            "start",
-            "total",
-            "weight",
-            "target",
-        )
-    )
+    starts = cut(_with_queue(starts, "source").select(*_QUEUE, "start", "total", "weight", "target"))
+    # the sums and the join share one shuffle of the rows
     within = (
-        Window.partitionBy("source", "slice")
+        Window.partitionBy(*_QUEUE)
         .orderBy(*keys)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    queued = sliced.withColumn("sent", F.sum("size").over(within)).join(
-        starts,
-        F.col("source").eqNullSafe(F.col("of_source")) & (F.col("slice") == F.col("of_slice")),
+    queued = (
+        _with_queue(sliced, "source")
+        .withColumn("sent", F.sum("size").over(within))
+        .join(starts, _QUEUE)
     )
     sent = F.col("start") + F.col("sent")
     words = F.round("target").cast("long")
