@@ -29,19 +29,31 @@ def utc_day(instant: Column) -> Column:
 def utc_from_iso(text: Column) -> Column:
     """ISO-8601 text to UTC ``timestamp_ntz``; NULL if malformed.
 
-    Text without a zone is taken for UTC, ``Z`` and offsets are converted.
+    Text without a zone is taken for UTC; ``Z`` and offsets like ``+05:00`` or
+    ``-0300`` are converted. Places from the end tell them apart, so plain text
+    costs no pattern.
     """
-    offset = F.regexp_extract(text, r"([+-])(\d{2}):?(\d{2})$", 0)
-    with_time = text.contains("T") | text.contains(":")
-    zoned = with_time & (offset != "")
-    part = lambda k: F.regexp_extract(offset, r"([+-])(\d{2}):?(\d{2})", k)
-    minutes = part(2).try_cast("int") * 60 + part(3).try_cast("int")
-    minutes = F.when(part(1) == "-", -minutes).otherwise(minutes)
-    bare = F.when(zoned, F.regexp_replace(text, r"[+-]\d{2}:?\d{2}$", "")).otherwise(
-        F.regexp_replace(text, "[Zz]$", "")
+    length, timed = F.length(text), F.contains(text, F.lit(":"))
+
+    def shifted(width: int) -> Column:
+        sign = F.substring(text, -width, 1)
+        hours = F.substring(text, 1 - width, 2).try_cast("int")
+        minutes = hours * 60 + F.substring(text, -2, 2).try_cast("int")
+        at = F.substring(text, F.lit(1), length - width).try_cast("timestamp_ntz")
+        return F.timestamp_add("MINUTE", F.when(sign == "-", minutes).otherwise(-minutes), at)
+
+    def signed(width: int) -> Column:
+        return timed & F.substring(text, -width, 1).isin("+", "-")
+
+    return (
+        F.when(signed(6), shifted(6))
+        .when(signed(5), shifted(5))
+        .when(
+            F.upper(F.substring(text, -1, 1)) == "Z",
+            F.substring(text, F.lit(1), length - 1).try_cast("timestamp_ntz"),
+        )
+        .otherwise(text.try_cast("timestamp_ntz"))
     )
-    at = bare.try_cast("timestamp_ntz")
-    return F.when(zoned, F.timestamp_add("MINUTE", -minutes, at)).otherwise(at)
 
 
 def iso_from_utc(instant: Column) -> Column:
