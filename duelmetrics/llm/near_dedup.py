@@ -4,6 +4,9 @@ Shingles of five words, weighted by 1 + ln of how often a text has them, arrive
 rate is the weight; each arrival falls into one of `registers` registers, and the first one there stays. An
 element is followed only until its next arrival comes later than every register's. Two texts agree in
 a register with a probability equal to the probability Jaccard similarity of their weighted shingles.
+A text that repeats a shingle has a second signature with all weights 1, whose registers agree with the
+plain Jaccard similarity; without repetition the two are the same. Links count by either similarity, so
+the bands of both signatures name buckets, in one set of names.
 
 Bands of registers name buckets. Each member of a bucket is compared exactly with the bucket's first
 document; documents of a bucket that this leaves in different classes are compared with each other in
@@ -34,7 +37,7 @@ from duelmetrics.llm.common import (
 
 WORDS = 5
 SIMILARITY = 0.8
-#: 24 bands of 5 registers: a pair at similarity 0.8 shares no band with probability 0.00007.
+#: 24 bands of 5 registers: a pair at similarity 0.8, weighted or plain, shares no band with probability 0.00007.
 BANDS, ROWS = 24, 5
 MOST_BANDS = 32
 #: Standard errors below the threshold at which a register estimate rules a pair out.
@@ -147,23 +150,31 @@ def _grouped_texts(texts, words: int):
         yield begin, at, sequences, sets
 
 
-def _signed(sets, registers: int) -> tuple[np.ndarray, list[int]]:
-    """Signatures of the sets that aren't None, and the number of each one's row."""
+def _signed(sets, registers: int) -> tuple[np.ndarray, dict[int, np.ndarray], list[int]]:
+    """Signatures of the sets that aren't None, plain ones of those that repeat something, each one's row."""
     rows = [k for k, s in enumerate(sets) if s is not None]
     if not rows:
-        return np.zeros((0, registers), dtype=np.uint64), rows
-    return prob_minhash([sets[k][0] for k in rows], [sets[k][1] for k in rows], registers), rows
+        return np.zeros((0, registers), dtype=np.uint64), {}, rows
+    signature = prob_minhash([sets[k][0] for k in rows], [sets[k][1] for k in rows], registers)
+    again = [n for n, k in enumerate(rows) if (sets[k][1] > 1).any()]
+    if not again:
+        return signature, {}, rows
+    keys = [sets[rows[n]][0] for n in again]
+    plain = prob_minhash(keys, [np.ones(len(k)) for k in keys], registers)
+    return signature, dict(zip(again, plain)), rows
 
 
 def _sign(bands: int, rows: int, words: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin, end, sequences, sets in _grouped_texts(batch.column("text"), words):
-                signature, owners = _signed(sets, bands * rows)
+                signature, plain, owners = _signed(sets, bands * rows)
                 prints: list = [None] * (end - begin)
                 buckets: list = [None] * (end - begin)
-                for o, named in zip(owners, _bands(signature, rows)):
+                for n, (o, named) in enumerate(zip(owners, _bands(signature, rows))):
                     prints[o] = blake2b(sequences[o].tobytes(), digest_size=16).digest()
+                    if n in plain:
+                        named = np.union1d(named, _bands(plain[n][None], rows))
                     buckets[o] = named
                 part = batch.slice(begin, end - begin)
                 yield pa.RecordBatch.from_arrays(
@@ -194,17 +205,21 @@ def signatures(df: DataFrame, bands: int = BANDS, rows: int = ROWS, words: int =
 
 
 def _pack(bands: int, rows: int, words: int):
-    """The registers of each text (marks), and the text packed."""
+    """The registers of each text (marks; the plain ones behind them if they differ), and the text packed."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text")
             for begin, end, _, sets in _grouped_texts(texts, words):
-                signature, _ = _signed(sets, bands * rows)
+                signature, plain, _ = _signed(sets, bands * rows)
+                marks = [
+                    m.tobytes() + (plain[n].astype(np.uint32).tobytes() if n in plain else b"")
+                    for n, m in enumerate(signature.astype(np.uint32))
+                ]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("print").slice(begin, end - begin),
-                        pa.array([m.tobytes() for m in signature.astype(np.uint32)], pa.binary()),
+                        pa.array(marks, pa.binary()),
                         pa.array(
                             [zlib.compress(normal_bytes(texts[k].as_py()), 1) for k in range(begin, end)],
                             pa.binary(),
@@ -235,7 +250,13 @@ def _verify(threshold: float, words: int):
     return verify
 
 
-def _cross(threshold: float, least: float, rows: int, words: int):
+def _registers(marks: bytes, registers: int) -> np.ndarray:
+    """Weighted and plain registers, one row each."""
+    own = np.frombuffer(marks, np.uint32).reshape(-1, registers)
+    return own[[0, -1]]
+
+
+def _cross(threshold: float, least: float, bands: int, rows: int, words: int):
     """Links between texts of different classes in one block of a bucket; one for each text and class."""
 
     def cross(block: pd.DataFrame) -> pd.DataFrame:
@@ -243,7 +264,8 @@ def _cross(threshold: float, least: float, rows: int, words: int):
         lone = block[block.role == 0].reset_index(drop=True)
         links = []
         if len(every) and len(lone):
-            signs = np.stack([np.frombuffer(m, np.uint32) for m in every.marks])
+            signs = np.stack([_registers(m, bands * rows) for m in every.marks])
+            repeats = (signs[:, 0] != signs[:, 1]).any()
             band = int(block.bucket.iloc[0]) & (MOST_BANDS - 1)
             classes = every.label.map(bytes).to_numpy()
             names = every.print.map(bytes).to_numpy()
@@ -255,12 +277,19 @@ def _cross(threshold: float, least: float, rows: int, words: int):
                 return sets[k]
 
             for k in range(len(lone)):
-                same = signs == np.frombuffer(lone.marks[k], np.uint32)
+                signed = _registers(lone.marks[k], bands * rows)
+                same = signs[:, 0] == signed[0]
                 near = same.mean(axis=1)
                 # a pair that shares several bands is handled in the first of them
-                bands = same.reshape(len(same), -1, rows).all(axis=2)
+                shared = same.reshape(len(same), bands, rows).all(axis=2)
+                if repeats or (signed[0] != signed[1]).any():
+                    # buckets are shared by either signature, the similarities compare like with like
+                    for i, j in ((0, 1), (1, 0), (1, 1)):
+                        same = signs[:, i] == signed[j]
+                        shared |= same.reshape(len(same), bands, rows).all(axis=2)
+                    near = np.maximum(near, same.mean(axis=1))
                 here = np.flatnonzero(
-                    (near >= least) & bands.any(axis=1) & (bands.argmax(axis=1) == band)
+                    (near >= least) & shared.any(axis=1) & (shared.argmax(axis=1) == band)
                 )
                 own, linked = bytes(lone.label[k]), set()
                 mine = None
@@ -403,7 +432,7 @@ def near_classes(
         every.unionByName(lone)
         .join(known, "print")
         .groupBy("bucket", "lone_block", "block")
-        .applyInPandas(_cross(threshold, least, rows, words), "a binary, b binary")
+        .applyInPandas(_cross(threshold, least, bands, rows, words), "a binary, b binary")
     )
     if not more.isEmpty():
         # links between classes: join the classes by their labels

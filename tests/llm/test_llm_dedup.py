@@ -1,6 +1,8 @@
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from llm_helpers import awkward, changed, documents, found, prose
 from pyspark.sql import functions as F
@@ -140,6 +142,35 @@ def test_a_line_that_repeats_links_nothing(spark):
     assert {r["class_size"] for r in got} == {1}
 
 
+def repeating(seed):
+    """Two texts that differ in a word of a line they repeat: plain Jaccard 0.86, probability Jaccard 0.63."""
+    line = prose(seed + 1, 8)
+    head = prose(seed, 60)
+    return [f"{head} {' '.join([x] * 30)}" for x in (line, changed(line, [3]))]
+
+
+def test_plain_links_of_texts_with_a_repeated_line_are_found(spark):
+    rows = [(2 * k + j, text) for k in range(120) for j, text in enumerate(repeating(7000 + 2 * k))]
+    a, b = (near_dedup.weighted_shingles(t) for _, t in rows[:2])
+    assert near_dedup.probability_jaccard(a, b) < 0.65 and near_dedup.similarity(a, b) > 0.8
+    got = found(near_dedup.near_classes(documents(spark, rows).repartition(4)))
+    assert {r["doc_id"]: r["class_id"] for r in got} == brute_classes(rows)
+
+
+def test_blocks_of_a_bucket_keep_plain_links():
+    bands, rows = near_dedup.BANDS, near_dedup.ROWS
+    least = near_dedup.SIMILARITY - near_dedup.MARGIN * (0.16 / (bands * rows)) ** 0.5
+    cross = near_dedup._cross(near_dedup.SIMILARITY, least, bands, rows, near_dedup.WORDS)
+    for k in range(40):
+        batch = pa.RecordBatch.from_pydict({"print": [b"a", b"b"], "text": repeating(7000 + 2 * k)})
+        packed = pd.concat(
+            x.to_pandas() for x in near_dedup._pack(bands, rows, near_dedup.WORDS)(iter([batch]))
+        )
+        block = packed.assign(label=packed["print"], role=[1, 0])
+        links = [link for n in range(bands) for link in cross(block.assign(bucket=n)).values.tolist()]
+        assert links == [[b"b", b"a"]]
+
+
 def test_exact_copies_form_one_class_without_pairs(spark):
     rows = [(k, prose(5, 50) if k % 3 else prose(1000 + k, 50)) for k in range(600)]
     got = found(near_dedup.near_classes(documents(spark, rows)))
