@@ -23,7 +23,7 @@ from duelmetrics.llm.common import cut, text_or_empty
 #: N-grams of 1 to 3 characters, hashed to 2**FEATURE_BITS features.
 GRAMS = 3
 FEATURE_BITS = 15
-#: Bound of the training sample: about so many rows of each label, and so many labels (the largest).
+#: Bound of the training sample: about so many distinct texts of each label, and so many labels (the largest).
 ROWS_PER_LABEL = 2_000
 MAX_LABELS = 128
 SHARDS = 8
@@ -200,17 +200,19 @@ def train(
     """Learn from the texts of df with a label.
 
     Rows without label, or whose text has no letter, teach nothing. The sample takes about
-    `rows_per_label` rows of each label (in expectation at most so many), by a hash of the text, and one
-    row of each text, however many copies there are; document frequencies and label counts cover all
-    rows. Without any labelled row the model has no labels and predicts `und`.
+    `rows_per_label` texts of each label (in expectation at most so many), by a hash of the text. Its rate
+    follows from the label's distinct texts, so copies neither fill nor empty it; document frequencies
+    cover all rows. Without any labelled row the model has no labels and predicts `und`.
     """
     spark = df.sparkSession
     rows = df.select(
         text_or_empty(text_column).alias("text"), F.col(label_column).cast("string").alias("label")
     ).filter(r"label is not null and text rlike '\\p{L}'")
+    h = F.xxhash64("text", F.lit(7))
     # as many rows as there are labels, of which the largest are learned
-    counts = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(MAX_LABELS)
-    known = {r["label"]: int(r["count"]) for r in counts.collect()}
+    counts = rows.groupBy("label").agg(F.count("*").alias("count"), F.count_distinct(h).alias("texts"))
+    largest = counts.orderBy(F.desc("count"), "label").limit(MAX_LABELS)
+    known = {r["label"]: int(r["texts"]) for r in largest.collect()}
     labels = sorted(known)
     size = 1 << FEATURE_BITS
     if not labels:
@@ -229,7 +231,6 @@ def train(
     for feature, n in df_of.items():
         idf[feature] = np.log((1 + documents) / (1 + n)) + 1.0
 
-    h = F.xxhash64("text", F.lit(7))
     share = F.element_at(
         F.create_map(
             *[F.lit(v) for x in labels for v in (x, min(1.0, rows_per_label / known[x]))]

@@ -51,6 +51,15 @@ def test_language_awkward_rows(spark):
     assert [r["doc_id"] for r in found(language_id.keep_known(no_labels))] == [1]
 
 
+def test_copies_of_a_text_leave_its_label_a_sample(spark):
+    hot = [(k, spoken("aa", 0), "aa") for k in range(9000)]
+    few = [(10_000 + k, spoken("aa", k), "aa") for k in range(9)]
+    other = [(20_000 + k, spoken("cc", k), "cc") for k in range(40)]
+    model = language_id.train(documents(spark, hot + few + other), rows_per_label=20)
+    guesses = [model.predict(spoken(lang, 500 + k))[0] == lang for k in range(20) for lang in ("aa", "cc")]
+    assert model.labels == ["aa", "cc"] and np.mean(guesses) > 0.95
+
+
 def test_weights_are_sparse_and_the_temperature_calibrates():
     z, n = np.array([0.01, -0.5, 3.0]), np.ones(3)
     w = language_id.proximal(z, n)
