@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from importlib.resources import files
+
 _MIT_GRANT = """Permission is hereby granted, free of charge, to any person obtaining a copy
 of this software and associated documentation files (the "Software"), to deal
 in the Software without restriction, including without limitation the rights
@@ -91,6 +93,35 @@ TEXTS = {
     "MPL-2.0": _MPL_HEADER,
 }
 
+#: Long texts, in files of this name beside this module; what follows the END of some,
+#: instructions for use, a copy may leave out.
+LONG = ["Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0"]
+END = "END OF TERMS AND CONDITIONS"
+
+#: Titles above a licence; its file has one, or none.
+TITLES = {
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "MIT"],
+    "MIT-0": ["MIT No Attribution", "MIT No Attribution License", "MIT-0"],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)", "The ISC License (ISC)", "ISC"],
+    "0BSD": ["BSD Zero Clause License", "Zero-Clause BSD", "BSD Zero Clause License (0BSD)", "0BSD"],
+    "BSD-2-Clause": [
+        "BSD 2-Clause License", "The BSD 2-Clause License", "The 2-Clause BSD License", "2-Clause BSD License",
+        "Simplified BSD License", 'BSD 2-Clause "Simplified" License', "BSD License", "The BSD License",
+    ],
+    "BSD-3-Clause": [
+        "BSD 3-Clause License", "The BSD 3-Clause License", "The 3-Clause BSD License", "3-Clause BSD License",
+        "New BSD License", "Modified BSD License", "Revised BSD License",
+        'BSD 3-Clause "New" or "Revised" License', "BSD License", "The BSD License",
+    ],
+    "Zlib": ["zlib License", "The zlib License", "The zlib/libpng License", "zlib/libpng License"],
+}
+
+
+def _gnu(identifier: str) -> list[str]:
+    """The forms of an SPDX identifier that say whether later versions count."""
+    return [f"{identifier}-only", f"{identifier}-or-later"]
+
+
 #: Names by which notices call a licence.
 NAMES = {
     "MIT": ["MIT License", "MIT"],
@@ -98,11 +129,15 @@ NAMES = {
     "BSD-2-Clause": ["BSD 2-Clause License", "Simplified BSD License"],
     "BSD-3-Clause": ["BSD 3-Clause License", "New BSD License"],
     "Apache-2.0": ["Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License"],
-    "GPL-2.0": ["GNU General Public License, version 2", "GPL version 2", "GPLv2"],
-    "GPL-3.0": ["GNU General Public License, version 3", "GPL version 3", "GPLv3"],
-    "LGPL-3.0": ["GNU Lesser General Public License, version 3", "LGPLv3"],
-    "AGPL-3.0": ["GNU Affero General Public License, version 3", "AGPLv3"],
+    "GPL-2.0": ["GNU General Public License, version 2", "GPL version 2", "GPLv2", *_gnu("GPL-2.0")],
+    "GPL-3.0": ["GNU General Public License, version 3", "GPL version 3", "GPLv3", *_gnu("GPL-3.0")],
+    "LGPL-2.1": ["GNU Lesser General Public License, version 2.1", "LGPLv2.1", *_gnu("LGPL-2.1")],
+    "LGPL-3.0": ["GNU Lesser General Public License, version 3", "LGPLv3", *_gnu("LGPL-3.0")],
+    "AGPL-3.0": ["GNU Affero General Public License, version 3", "AGPLv3", *_gnu("AGPL-3.0")],
     "MPL-2.0": ["Mozilla Public License, version 2.0"],
+    "MIT-0": [],
+    "0BSD": [],
+    "Zlib": ["zlib License"],
     "CC0-1.0": ["CC0 1.0"],
     "CC-BY-4.0": ["CC BY 4.0"],
     "CC-BY-SA-4.0": ["CC BY-SA 4.0"],
@@ -121,6 +156,28 @@ SENTENCES = [
 ]
 
 
+def texts() -> list[tuple[str, str]]:
+    """(licence, text): short texts with and without titles and numbers of clauses, long ones whole."""
+    found = list(TEXTS.items())
+    found += [
+        (x, "\n".join(line.removeprefix(f"{n}. ") for n, line in _numbered(TEXTS[x])))
+        for x in ("BSD-2-Clause", "BSD-3-Clause")
+    ]
+    found += [(x, f"{title}\n\n{text}") for x, text in found for title in TITLES.get(x, [])]
+    for licence in LONG:
+        text = (files(__package__) / "licences" / f"{licence}.txt").read_text(encoding="utf-8")
+        found.append((licence, text))
+        if END in text:
+            terms = text[: text.index(END)]
+            found += [(licence, terms), (licence, f"{terms}{END}")]
+    return found
+
+
+def _numbered(text: str) -> list[tuple[str, str]]:
+    """Each line and the digit that it begins with."""
+    return [(line[:1], line) for line in text.split("\n")]
+
+
 def known() -> list[tuple[str, str]]:
     """(licence, text) of every known text and notice; identifiers themselves make notices too."""
     notices = [
@@ -129,4 +186,4 @@ def known() -> list[tuple[str, str]]:
         for name in [*names, licence]
         for sentence in SENTENCES
     ]
-    return [*TEXTS.items(), *notices]
+    return [*texts(), *notices]

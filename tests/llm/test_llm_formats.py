@@ -1,7 +1,9 @@
 import base64
 import hashlib
 import os
+import pathlib
 import random
+import re
 from collections import defaultdict
 
 import duckdb
@@ -10,7 +12,7 @@ import pytest
 from llm_helpers import awkward, documents, found, prose
 from pyspark.sql import functions as F
 
-from duelmetrics.llm import chat, license_scan, mixing, warc
+from duelmetrics.llm import chat, licence_texts, license_scan, mixing, warc
 from duelmetrics.llm.registry import ORACLES
 
 # --- mixing -----------------------------------------------------------------------
@@ -122,6 +124,27 @@ def test_licence_scan_equals_its_sql(spark):
     assert found(license_scan.licences(df.filter("false"))) == []
 
 
+def test_licence_files_as_projects_ship_them(spark):
+    plain = licence_texts.TEXTS
+    shipped = [
+        ("MIT", f"MIT License\n\nCopyright (c) 2020 Ann Bell\n\n{plain['MIT']}\n"),
+        ("MIT", f"The MIT License (MIT)\n\nCopyright © 2020 Ann Bell\n\n{plain['MIT']}\n"),
+        ("ISC", f"ISC License\n\nCopyright (c) 2020, Ann Bell\n\n{plain['ISC']}"),
+        ("BSD-3-Clause", f"BSD 3-Clause License\n\nCopyright (c) 2020\nAll rights reserved.\n\n{plain['BSD-3-Clause']}"),
+        ("BSD-2-Clause", re.sub(r"(?m)^[12]\.", "*", plain["BSD-2-Clause"])),
+        ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-only"),
+        ("LGPL-2.1", "// SPDX-License-Identifier: LGPL-2.1-or-later"),
+        ("Zlib", "SPDX-License-Identifier: Zlib"),
+    ]
+    folder = pathlib.Path(licence_texts.__file__).parent / "licences"
+    shipped += [(x, (folder / f"{x}.txt").read_text()) for x in licence_texts.LONG]
+    apache = (folder / "Apache-2.0.txt").read_text()
+    shipped += [("Apache-2.0", apache.split("APPENDIX")[0]), ("Apache-2.0", apache.replace("[yyyy]", "2020"))]
+    got = found(license_scan.licences(documents(spark, [(k, text) for k, (_, text) in enumerate(shipped)])))
+    whole = {r["doc_id"]: r["licence"] for r in got if r["scope"] == "text"}
+    assert whole == {k: licence for k, (licence, _) in enumerate(shipped)}
+
+
 def test_own_licence_texts(spark):
     own = license_scan.licence_digests(spark, [("house", "House rules: be kind."), ("house-2", "HOUSE RULES be kind")])
     got = found(license_scan.scan(documents(spark, [(1, "House rules — be kind!")]), own))
