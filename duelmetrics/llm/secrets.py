@@ -1,6 +1,7 @@
 """Secret scans: a random forest removes false positives, DataFrame functions and Spark ML only.
 
-Findings are long runs of key characters with a digit. Their features are length, character classes and
+Findings are long runs of key characters, runs of any characters after a secret word and an assignment,
+passwords in URLs, and headers of private keys. Their features are length, character classes and
 transitions, coverage by dictionary words, path and neighbouring words. The dictionary and the letter
 transitions are counted over all documents. The forest learns from labelled findings; rules over
 neighbouring words label some of the corpus where no labels are given.
@@ -18,12 +19,29 @@ from pyspark.sql import functions as F
 
 from duelmetrics.llm.common import cut, text_or_empty
 
-#: Characters of a finding, its least length, and its pattern: from the start of a run of such
-#: characters, a digit after any others. Possessive parts read every run once.
+SECRET_WORDS = "token|secret|passwd|password|pwd|api[_-]?key|apikey|key|auth|credential|bearer|private"
+#: Characters of a long run, its least length, and its pattern: all of a run of such characters, unless
+#: they are one character again and again. Possessive parts read every run once.
 KEY = "A-Za-z0-9_+/-"
 LEAST = 16
-FINDING = rf"(?<![{KEY}])(?=[{KEY}]{{{LEAST}}})[A-Za-z_+/-]*+[0-9][{KEY}]*+={{0,2}}+"
-ALPHABET = string.ascii_letters + string.digits + "_+/=-"
+LONG = rf"(?<![{KEY}])(?=[{KEY}]{{{LEAST}}})(?!([{KEY}])\1++(?![{KEY}]))[{KEY}]++={{0,2}}+"
+#: Least length of a value after a secret word and an assignment, or of a password in a URL. The short
+#: look back comes first, so that few places need the long one.
+LEAST_VALUE = 6
+ASSIGNED = (
+    r"(?<=[:=>\s\"'`])(?<=[:=]>?[ \t]{0,8}[\"'`]?)"
+    rf"(?<=(?i:{SECRET_WORDS})[\w-]{{0,48}}[\"'`]?[ \t]{{0,8}}[:=]{{1,2}}>?[ \t]{{0,8}}[\"'`]?)"
+)
+VALUE = "|".join(
+    [
+        *[rf"(?<={q})[^{q}\s]{{{LEAST_VALUE},}}+(?={q})" for q in "\"'`"],
+        rf"[^\s\"'`:=>]\S{{{LEAST_VALUE - 2},}}[^\s,;.)\]}}\"'`]",
+    ]
+)
+IN_URL = rf"(?<=:)(?<=://[^\s/:@]{{0,64}}:)[^\s/@]{{{LEAST_VALUE},}}+(?=@)"
+HEADER = "-----BEGIN [A-Z0-9 ]{0,32}PRIVATE KEY-----"
+FINDING = f"(?:{HEADER}|{IN_URL}|{ASSIGNED}(?:{VALUE})|{LONG})"
+ALPHABET = string.ascii_letters + string.digits + string.punctuation
 #: Characters kept on each side.
 NEAR = 48
 #: A dictionary word has 3 to 8 letters and occurs in at least so many documents.
@@ -34,8 +52,7 @@ ROWS_PER_LABEL = 20_000
 TREES, DEPTH, SEED = 24, 6, 17
 #: Findings with at least this score are secrets.
 SECRET = 0.5
-# Words near secrets, words near other numbers, parts of paths that hold no live secrets.
-SECRET_WORDS = "token|secret|passwd|password|pwd|api[_-]?key|apikey|key|auth|credential|bearer|private"
+# Words near other numbers, parts of paths that hold no live secrets.
 OTHER_WORDS = "sha1|sha256|md5|checksum|digest|commit|uuid|isbn|phone|card|order|invoice|version|id"
 SAFE_PATHS = "test|example|sample|fixture|mock|dummy|doc"
 
@@ -185,6 +202,7 @@ def with_features(found: DataFrame, words: DataFrame, pairs: DataFrame) -> DataF
     entropy = F.aggregate(share, F.lit(0.0), lambda total, p: total - p * F.log2(p))
     before, after = F.lower("before"), F.lower("after")
     last = F.regexp_extract(before, r"([^\n]*)$", 1)
+    in_login = last.rlike(r"://[^\s/:@]*:$") & after.rlike("^@")
     changes = F.regexp_count(
         "finding",
         F.lit(r"(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])|(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[a-z])"),
@@ -194,20 +212,22 @@ def with_features(found: DataFrame, words: DataFrame, pairs: DataFrame) -> DataF
         "digits": _share("[0-9]"),
         "uppers": _share("[A-Z]"),
         "lowers": _share("[a-z]"),
-        "symbols": _share("[_+/=-]"),
+        "symbols": _share("[^A-Za-z0-9]"),
         "hexadecimal": F.col("finding").rlike("^[0-9a-f]+$|^[0-9A-F]+$"),
         "distinct": F.size(spread) / n,
         "entropy": entropy,
         "changes": changes / n,
         "transition": F.coalesce("transition", F.lit(UNSEEN)),
         "coverage": F.coalesce("letters", F.lit(0)) / n,
-        "assigned": last.rlike(r"[:=]\s*[\"'`]?$"),
-        "keyword": last.rlike(rf"(?:{SECRET_WORDS})[\w-]*[\s\"'`]*[:=]?\s*[\"'`]?$"),
+        "assigned": last.rlike(r"[:=]>?\s*[\"'`]?$"),
+        "keyword": in_login
+        | last.rlike(rf"(?:{SECRET_WORDS})[\w-]*[\s\"'`]*[:=]{{0,2}}>?\s*[\"'`]?$"),
         "other_word": last.rlike(rf"(?<![a-z])(?:{OTHER_WORDS})\W{{0,3}}$"),
         "quoted_before": last.rlike("[\"'`]$"),
         "quoted_after": after.rlike("^[\"'`]"),
         "slashes": F.regexp_count("finding", F.lit("/")),
-        "in_url": last.rlike(r"(?:://|www\.|@)\S*$") | after.rlike(r"^(?:@|\.(?:com|org|net|html?)\b)"),
+        "in_url": ~in_login
+        & (last.rlike(r"(?:://|www\.|@)\S*$") | after.rlike(r"^(?:@|\.(?:com|org|net|html?)\b)")),
         "safe_path": F.lower("path").rlike(SAFE_PATHS) | last.rlike(rf"(?:{SAFE_PATHS})[\w./-]*$"),
         "alone": last.rlike(r"^\s*$") & after.rlike(r"^\s*(?:\n|$)"),
     }
@@ -218,8 +238,10 @@ def with_features(found: DataFrame, words: DataFrame, pairs: DataFrame) -> DataF
 
 
 def label_by_rules(featured: DataFrame) -> DataFrame:
-    """Adds label: 1.0 assigned to a secret word and varied, 0.0 plainly something else, else null."""
-    yes = (F.col("keyword") == 1) & (F.col("assigned") == 1) & (F.col("entropy") >= 3) & (F.col("safe_path") == 0)
+    """Adds label: 1.0 assigned to a secret word and varied for its length, or a private key's header; 0.0 plainly something else, else null."""
+    varied = F.col("entropy") >= F.least(F.lit(3.0), 0.8 * F.log2("length"))
+    yes = (F.col("keyword") == 1) & (F.col("assigned") == 1) & varied & (F.col("safe_path") == 0)
+    header = F.col("finding").rlike(f"^{HEADER}$") & (F.col("safe_path") == 0)
     no = (
         (F.col("digits") == 1)
         | (F.col("in_url") == 1)
@@ -227,7 +249,7 @@ def label_by_rules(featured: DataFrame) -> DataFrame:
         | (F.col("coverage") >= 0.6)
         | ((F.col("slashes") >= 2) & (F.col("keyword") == 0))
     )
-    return featured.withColumn("label", F.when(no, 0.0).when(yes, 1.0))
+    return featured.withColumn("label", F.when(header, 1.0).when(no, 0.0).when(yes, 1.0))
 
 
 def train(labelled: DataFrame, rows_per_label: int = ROWS_PER_LABEL):
