@@ -253,26 +253,29 @@ def label_by_rules(featured: DataFrame) -> DataFrame:
 
 
 def train(labelled: DataFrame, rows_per_label: int = ROWS_PER_LABEL):
-    """A random forest on a bounded sample of the labelled findings; None unless both labels occur.
+    """A random forest on a bounded sample of the labelled findings; None unless it has both labels.
 
     The sample takes about `rows_per_label` of each label by a hash of the finding and what stands
-    before it, one row of each, so copies of a document don't fill it.
+    before it, one row of each. Its rate follows from the distinct ones, so copies of a document neither
+    fill nor empty it.
     """
-    known = labelled.filter("label is not null")
-    counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    h = F.xxhash64("finding", "before", F.lit(5))
+    known = labelled.filter("label is not null").withColumn("h", h)
+    distinct = known.groupBy("label").agg(F.count_distinct("h").alias("n"))
+    counts = {r["label"]: r["n"] for r in distinct.collect()}
     if len(counts) < 2:
         return None
-    h = F.xxhash64("finding", "before", F.lit(5))
     rate = F.when(F.col("label") == 1, min(1.0, rows_per_label / counts[1.0])).otherwise(
         min(1.0, rows_per_label / counts[0.0])
     )
     sample = (
-        known.withColumn("h", h)
-        .filter(F.pmod("h", F.lit(1 << 30)) / float(1 << 30) < rate)
+        known.filter(F.pmod("h", F.lit(1 << 30)) / float(1 << 30) < rate)
         .dropDuplicates(["h", "label"])
         .select("h", "label", *FEATURES)
     )
     ordered = cut(sample.repartition(8, "h").sortWithinPartitions("h", "label"))
+    if ordered.select("label").distinct().count() < 2:
+        return None
     forest = RandomForestClassifier(
         numTrees=TREES, maxDepth=DEPTH, seed=SEED, featuresCol="vector", labelCol="label"
     )

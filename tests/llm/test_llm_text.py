@@ -284,6 +284,16 @@ def test_the_forest_keeps_secrets_only(spark):
     assert all(r["is_secret"] == (r["id"] % 4 == 1) for r in own)
 
 
+def test_copies_of_a_finding_leave_its_label_a_sample(spark):
+    rows = [("hot", "", 1.0)] * 4000 + [(f"yes{k}", "", 1.0) for k in range(30)] + [(f"no{k}", "", 0.0) for k in range(30)]
+    labelled = spark.createDataFrame(rows, "finding string, before string, label double")
+    labelled = labelled.selectExpr("*", *[f"label as {name}" for name in secrets.FEATURES])
+    model = secrets.train(labelled, rows_per_label=20)
+    assert model is not None and model.numClasses == 2
+    right = model.transform(secrets._vectors(labelled)).filter("prediction = label").count()
+    assert right == len(rows)
+
+
 def test_secrets_awkward_rows(spark):
     df = documents(spark, [*awkward(), (60, "a1" * 100_000), (61, "a" * 100_000)], clash=True)
     got = found(secrets.secrets(df))
