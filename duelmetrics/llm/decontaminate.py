@@ -10,7 +10,8 @@ of the documents is shuffled.
 Why a window is always found: an item of n shingles reaches similarity s only if at most
 k = n (1 - s) / (1 + s) shingles are missing, and a changed word inside the item costs five of them. So
 the longest unchanged run of its words has a known least length, and the window size is chosen such that
-every unchanged run of that length holds a whole window of the document, at distance 0.
+every unchanged run of that length holds a whole window of the document, at distance 0. Words inserted or
+deleted before it move the start by k at most, so all starts within k are compared.
 """
 
 from __future__ import annotations
@@ -41,14 +42,18 @@ RADIUS = 3
 SLICE_WORDS = 1_000_000
 #: Words of a document whose bit sums are held at once.
 STRETCH = 32_768
-#: Words by which an aligned item may be shifted in the exact comparison.
+#: Words by which an aligned item may be shifted in the exact comparison, whatever its length.
 SHIFT = 2
 
 
+def most_missing(shingles: int, similarity: float = SIMILARITY) -> int:
+    """Shingles of an item that a passage of the similarity may lack."""
+    return floor(shingles * (1 - similarity) / (1 + similarity) + 1e-9)
+
+
 def window_size(length: int, words: int = WORDS, similarity: float = SIMILARITY) -> tuple[int, int]:
     """Window size and step for an item of so many words; sizes form a coarse scale."""
-    shingles = length - words + 1
-    missing = floor(shingles * (1 - similarity) / (1 + similarity) + 1e-9)
+    missing = most_missing(length - words + 1, similarity)
     inner = missing // words  # words that may be changed inside the item
     run = max((length - missing) if not inner else (length - missing % words - inner) // (inner + 1), words)
     best = (words, 1)
@@ -82,6 +87,34 @@ def weighted_jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return float(shared / (len(a) + len(b) - shared)) if len(a) + len(b) else 0.0
 
 
+def shifted_jaccard(have: np.ndarray, wanted: np.ndarray, first: int, last: int) -> np.ndarray:
+    """weighted_jaccard of wanted and as many shingles of `have` from each start of first to last.
+
+    An occurrence counts for the starts from which it isn't preceded by as many as wanted has.
+    """
+    size = len(wanted)
+    low, high = max(0, first), max(0, min(len(have), last + size))
+    keys, counts = np.unique(wanted, return_counts=True)
+    kind = np.minimum(np.searchsorted(keys, have[low:high]), len(keys) - 1)
+    place = np.flatnonzero(keys[kind] == have[low:high])
+    place = place[np.argsort(kind[place], kind="stable")]
+    kind = kind[place]
+    before = np.arange(len(place)) - counts[kind]  # the occurrence that fills the count, if of this kind
+    full = (before >= 0) & (kind[np.maximum(before, 0)] == kind)
+    place = place + low
+    begin = np.maximum(np.where(full, place[np.maximum(before, 0)], first - 1), place - size) + 1
+    change = np.zeros(last - first + 2, dtype=np.int64)
+    end = np.minimum(place, last)
+    begin = np.maximum(begin, first)
+    some = begin <= end
+    np.add.at(change, begin[some] - first, 1)
+    np.add.at(change, end[some] + 1 - first, -1)
+    shared = np.cumsum(change)[:-1]
+    starts = np.arange(first, last + 1)
+    held = np.maximum(0, np.minimum(len(have), starts + size) - np.maximum(0, starts))
+    return shared / (held + size - shared)
+
+
 class ItemIndex:
     """Fingerprints of the windows of items, found by block."""
 
@@ -175,16 +208,12 @@ class ItemIndex:
         found = defaultdict(dict)
         for item, start in aligned:
             wanted = self.items[item][1]
-            best = (0.0, 0)
-            for moved in sorted(range(-SHIFT, SHIFT + 1), key=abs):
-                low = max(0, start + moved)
-                piece = shingles[low : max(low, start + moved + len(wanted))]
-                if len(piece):
-                    best = max(best, (weighted_jaccard(piece, wanted), -abs(moved), -low))
-                if best[0] == 1.0:
-                    break
-            if best[0] >= self.similarity:
-                found[item][-best[2]] = best[0]
+            reach = max(SHIFT, most_missing(len(wanted), self.similarity))
+            scores = shifted_jaccard(shingles, wanted, start - reach, start + reach)
+            moved = np.flatnonzero(scores == scores.max()) - reach
+            best = int(moved[np.abs(moved).argmin()])  # the nearest, of two the first
+            if scores[best + reach] >= self.similarity:
+                found[item][max(0, start + best)] = float(scores[best + reach])
         return {
             item: [(at, len(self.items[item][1]), score) for at, score in sorted(places.items())]
             for item, places in found.items()

@@ -117,6 +117,27 @@ def test_leaks_equal_brute_force(spark):
         assert r["first_word"] in r["starts"]
 
 
+def test_leaks_with_insertions_and_deletions(spark):
+    items = [(k, prose(8000 + k, 200)) for k in range(12)]
+    docs = []
+    for k, item in items:
+        words = item.split()
+        text = [*words[:25], *(f"new{j}" for j in range(10)), *words[25:164], *words[174:]]
+        docs.append((k, f"{prose(k, 40)} {' '.join(text)} {prose(k + 600, 40)}"))
+    got = found(decontaminate.leaks(documents(spark, docs), spark.createDataFrame(items, "item_id bigint, text string")))
+    assert {(r["doc_id"], r["item_id"], r["first_word"]) for r in got} == {(k, k, 40) for k, _ in items}
+
+
+def test_shifted_similarity_equals_each_comparison():
+    draw = np.random.default_rng(3)
+    for _ in range(200):
+        have, wanted = (draw.integers(0, 6, draw.integers(1, 30)).astype(np.uint64) for _ in range(2))
+        scores = decontaminate.shifted_jaccard(have, wanted, -9, 34)
+        for start, score in zip(range(-9, 35), scores):
+            piece = have[max(0, start) : max(0, start + len(wanted))]
+            assert score == decontaminate.weighted_jaccard(piece, wanted)
+
+
 def test_slices_of_the_benchmark_give_the_same(spark):
     items = spark.createDataFrame([(k, prose(k, 25)) for k in range(30)], "item_id bigint, text string")
     docs = documents(spark, [(k, f"{prose(k + 99, 20)} {prose(k, 25)}") for k in range(40)])
