@@ -23,9 +23,9 @@ from duelmetrics.llm.common import cut, text_or_empty
 #: N-grams of 1 to 3 characters, hashed to 2**FEATURE_BITS features.
 GRAMS = 3
 FEATURE_BITS = 15
-#: Bound of the training sample: about so many distinct texts of each label, and so many labels (the largest).
+#: Bound of the training sample: about so many distinct texts of each label. All labels are learned;
+#: each takes 0.5 MB of the training state.
 ROWS_PER_LABEL = 2_000
-MAX_LABELS = 128
 SHARDS = 8
 PASSES = 3
 #: FTRL-proximal: learning rate, its smoothing, L1 and L2 penalties.
@@ -209,10 +209,9 @@ def train(
         text_or_empty(text_column).alias("text"), F.col(label_column).cast("string").alias("label")
     ).filter(r"label is not null and text rlike '\\p{L}'")
     h = F.xxhash64("text", F.lit(7))
-    # as many rows as there are labels, of which the largest are learned
-    counts = rows.groupBy("label").agg(F.count("*").alias("count"), F.count_distinct(h).alias("texts"))
-    largest = counts.orderBy(F.desc("count"), "label").limit(MAX_LABELS)
-    known = {r["label"]: int(r["texts"]) for r in largest.collect()}
+    # as many rows as there are labels, all of which are learned
+    counts = rows.groupBy("label").agg(F.count_distinct(h).alias("texts"))
+    known = {r["label"]: int(r["texts"]) for r in counts.collect()}
     labels = sorted(known)
     size = 1 << FEATURE_BITS
     if not labels:

@@ -51,6 +51,12 @@ def test_language_awkward_rows(spark):
     assert [r["doc_id"] for r in found(language_id.keep_known(no_labels))] == [1]
 
 
+def test_all_labels_are_learned(spark):
+    rows = [(k, spoken("aa", k, 5), f"l{k % 130:03}") for k in range(260)]
+    model = language_id.train(documents(spark, rows))
+    assert model.labels == [f"l{k:03}" for k in range(130)] and model.weights.any(axis=0).all()
+
+
 def test_copies_of_a_text_leave_its_label_a_sample(spark):
     hot = [(k, spoken("aa", 0), "aa") for k in range(9000)]
     few = [(10_000 + k, spoken("aa", k), "aa") for k in range(9)]
