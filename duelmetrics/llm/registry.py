@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from duelmetrics.llm import chat, decontaminate, exact_dedup, language_id, license_scan, mixing, near_dedup, pii, secrets, warc
+from duelmetrics.llm import (
+    chat,
+    clustering,
+    conversation_repair,
+    decontaminate,
+    exact_dedup,
+    language_id,
+    license_scan,
+    mixing,
+    near_dedup,
+    pii,
+    quality,
+    secrets,
+    warc,
+)
 from duelmetrics.llm.common import table
 
 
@@ -48,6 +62,18 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets(table(spark, sf_dir, "documents"))
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.clusters(table(spark, sf_dir, "embeddings"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.damaged_and_repaired(table(spark, sf_dir, "conversations"))
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_flags(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_exact_dedup": op2_exact_dedup,
@@ -59,6 +85,9 @@ QUERIES = {
     "op8_warc_revisit": op8_warc_revisit,
     "op9_chat_format": op9_chat_format,
     "op10_secrets": op10_secrets,
+    "op11_centroid_clusters": op11_centroid_clusters,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_quality_rules": op13_quality_rules,
 }
 
 ORACLES = {
@@ -146,4 +175,6 @@ ORACLES = {
                sum(chars)::BIGINT AS formatted_chars
         FROM sized GROUP BY conv_id
     """,
+    "op11_centroid_clusters": clustering.oracle_sql(),
+    "op12_conversation_repair": conversation_repair.oracle_sql(),
 }

@@ -19,7 +19,7 @@ needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="needs the test
 
 def test_every_operator_has_its_query():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(queries()) and set(ORACLES) <= set(oracle_sql())
     assert "pipeline" not in oracle_sql() and len(corpus_pipeline.STAGES) == 5
 
