@@ -1,6 +1,6 @@
 """Quality rules: base counts, and tokeniser fertility in bands per language or script.
 
-Public vocabularies encode each whole text. A vocabulary made for ordinary text takes a narrow range of
+Public vocabularies encode every word of each text. A vocabulary made for ordinary text takes a narrow range of
 characters per token, needs few byte tokens and spreads its tokens evenly; junk, encoded data and text of
 another language do not. Three measures a vocabulary (logarithm of the characters per token, share of tokens
 that hold bytes rather than whole characters, entropy of the tokens against the largest that so many tokens
@@ -33,8 +33,10 @@ from duelmetrics.sources.scratch import scratch_dir
 VOCABULARIES = ("/opt/tokenizers/byte_bpe_multi_50k.tiktoken", "/opt/tokenizers/piece_bpe_32k.model")
 #: How byte-level vocabularies cut a text into pieces (the public pattern of their tokenizer).
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Longer texts are encoded in stretches of so many characters.
-STRETCH = 100_000
+#: Longer words are encoded in stretches of so many characters.
+STRETCH = 1_000
+#: Texts are taken together until they have so many characters; a longer text is taken alone.
+TOGETHER = 2_000_000
 #: Bands: distance between the quartiles that counts at least, by measure, and how often it fits beyond them.
 MEASURES = {"fertility": 0.25, "bytes": 0.02, "entropy": 0.05}
 WIDTH = 3.0
@@ -48,41 +50,56 @@ WINDOW = 8
 #: Base rules: least words, and most words in repeated windows of 100.
 LEAST_WORDS, MOST_REPEATED = 20, 30
 
-Encoder = Callable[[str], list[int]]
-
-
-def repeated_words(words: Sequence[str], window: int = WINDOW) -> int:
-    """Words inside windows of ``window`` words that occur twice or more in the text.
-
-    Runs of 1, 2, 4 and 8 words are numbered, equal ones alike: a run's number stands for the pair of its halves.
-    """
-    if len(words) <= window:
-        return 0
-    known: dict[str, int] = {}
-    run = np.array([known.setdefault(w, len(known)) for w in words], dtype=np.int64)
-    size = 1
-    while size < window:
-        pair = run[: len(run) - size] * (int(run.max()) + 1) + run[size:]
-        _, run = np.unique(pair, return_inverse=True)
-        size *= 2
-    again = np.flatnonzero(np.bincount(run)[run] > 1)
-    edge = np.zeros(len(words) + 1, dtype=np.int64)
-    edge[again] += 1
-    edge[again + window] -= 1
-    return int((np.cumsum(edge) > 0).sum())
-
-
-def base_counts(text: str) -> tuple[int, int, int, int, int]:
-    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words of a whole text."""
-    words = _WORD.findall(text)
+#: Gives the token ids of each word of a list.
+Encoder = Callable[[list[str]], list[list[int]]]
+
+
+class Words:
+    """The words of a few texts, numbered alike where they are equal: ``ids`` and, for each, its text in ``owner``."""
+
+    def __init__(self, texts: Sequence[str]):
+        known: dict[str, int] = {}
+        found = []
+        for text in texts:
+            found.append(np.array([known.setdefault(w, len(known)) for w in _WORD.findall(text)], dtype=np.int64))
+        self.distinct = list(known)
+        self.lengths = np.fromiter(map(len, self.distinct), np.int64, len(known))
+        self.texts = len(texts)
+        self.owner = np.repeat(np.arange(len(texts)), [len(x) for x in found])
+        self.ids = np.concatenate(found) if found else np.zeros(0, dtype=np.int64)
+
+    def per_text(self, values: np.ndarray | None = None) -> np.ndarray:
+        """How many words each text has, or the sum of their values."""
+        return np.bincount(self.owner, values, minlength=self.texts).astype(np.int64)
+
+    def repeated(self, window: int = WINDOW) -> np.ndarray:
+        """Words of each text inside windows of ``window`` words that occur twice or more in it.
+
+        Runs of 1, 2, 4 and 8 words are numbered, equal ones alike: a run's number stands for the pair of its halves.
+        """
+        inside = np.zeros(len(self.ids), dtype=np.int64)
+        run, size = self.ids, 1
+        while size < window and len(run) > size:
+            pair = run[: len(run) - size] * (int(run.max()) + 1) + run[size:]
+            _, run = np.unique(pair, return_inverse=True)
+            size *= 2
+        if size == window:
+            starts = np.flatnonzero(self.owner[: len(run)] == self.owner[window - 1 :])
+            if len(starts):
+                own = self.owner[starts] * (int(run.max()) + 1) + run[starts]
+                _, kind, times = np.unique(own, return_inverse=True, return_counts=True)
+                again = starts[times[kind] > 1]
+                edge = np.zeros(len(self.ids) + 1, dtype=np.int64)
+                edge[again] += 1
+                edge[again + window] -= 1
+                inside = (np.cumsum(edge)[:-1] > 0).astype(np.int64)
+        return self.per_text(inside)
+
+
+def line_counts(text: str) -> tuple[int, int]:
+    """n_symbols and n_dup_lines of a whole text."""
     lines = [line for line in text.split("\n") if line.strip(_BLANKS)]
-    return (
-        len(words),
-        sum(map(len, words)),
-        sum(map(text.count, SYMBOLS)),
-        len(lines) - len(set(lines)),
-        repeated_words(words),
-    )
+    return sum(map(text.count, SYMBOLS)), len(lines) - len(set(lines))
 
 
 @lru_cache(maxsize=1 << 16)
@@ -121,29 +138,51 @@ def load_vocabulary(name: str, content: bytes) -> tuple[Encoder, np.ndarray]:
         encoding = tiktoken.Encoding("own", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={})
         partial = np.zeros(max(ranks.values()) + 1, dtype=bool)
         partial[[rank for piece, rank in ranks.items() if not _whole_characters(piece)]] = True
-        return encoding.encode_ordinary, partial
+        return lambda words: [encoding.encode_ordinary(" " + w) for w in words], partial
     if name.endswith(".model"):
         import sentencepiece
 
         pieces = sentencepiece.SentencePieceProcessor(model_proto=content)
         partial = np.array([pieces.IsByte(k) or pieces.IsUnknown(k) for k in range(len(pieces))])
-        return lambda text: pieces.encode(text, num_threads=1), partial
+        return lambda words: pieces.encode(words, num_threads=1), partial
     raise ValueError(f"not a known kind of vocabulary: {name}")
 
 
-def fertility(text: str, encoder: Encoder, partial: np.ndarray) -> tuple[int, float, float, float]:
-    """Tokens of the whole text and its three measures; a text without tokens has 0, 0, 0, 1."""
-    counts = np.zeros(len(partial), dtype=np.int64)
-    for at in range(0, len(text), STRETCH):
-        counts += np.bincount(encoder(text[at : at + STRETCH]), minlength=len(partial))
-    total = int(counts.sum())
-    if not total:
-        return 0, 0.0, 0.0, 1.0
-    times = counts[counts > 0]
-    p = times / total
-    entropy = float(-(p * np.log2(p)).sum())
-    most = np.log2(min(total, len(partial)))
-    return total, float(np.log2(len(text) / total)), float(counts[partial].sum() / total), entropy / most if most else 1.0
+def _tokens_of(words: Sequence[str], encoder: Encoder) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of all words, one after the other, and how many each has; very long words go in stretches."""
+    found = encoder([w.encode("utf-8", "replace").decode("utf-8") if len(w) <= STRETCH else "" for w in words])
+    for k, word in enumerate(words):
+        if len(word) > STRETCH:
+            clean = word.encode("utf-8", "replace").decode("utf-8")
+            parts = encoder([clean[at : at + STRETCH] for at in range(0, len(clean), STRETCH)])
+            found[k] = [token for part in parts for token in part]
+    sizes = np.fromiter(map(len, found), np.int64, len(found))
+    return np.fromiter((t for tokens in found for t in tokens), np.int64, int(sizes.sum())), sizes
+
+
+def fertility(words: Words, encoder: Encoder, partial: np.ndarray) -> list[np.ndarray]:
+    """Tokens of each text and its three measures; a text without tokens has 0, 0, 0, 1.
+
+    A word that occurs often in these texts is encoded once, with the blank before it.
+    """
+    flat, sizes = _tokens_of(words.distinct, encoder)
+    firsts = np.cumsum(sizes) - sizes
+    length = sizes[words.ids]
+    at = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length - firsts[words.ids], length)
+    key, times = np.unique(np.repeat(words.owner, length) * len(partial) + flat[at], return_counts=True)
+    owner, token = key // len(partial), key % len(partial)
+    total = words.per_text(length)
+    some = np.maximum(total, 1)
+    p = times / some[owner]
+    entropy = -np.bincount(owner, p * np.log2(p), minlength=words.texts)
+    most = np.log2(np.minimum(some, len(partial)))
+    chars = words.per_text(words.lengths[words.ids])
+    return [
+        total,
+        np.where(total > 0, np.log2(np.maximum(chars, 1) / some), 0.0),
+        np.bincount(owner, times * partial[token], minlength=words.texts) / some,
+        np.where(total > 1, entropy / np.where(most > 0, most, 1.0), 1.0),
+    ]
 
 
 _BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -153,6 +192,28 @@ def _measure_names(count: int) -> list[str]:
     return [f"{measure}_{k}" for k in range(count) for measure in MEASURES]
 
 
+def _groups(texts: Iterator[str]) -> Iterator[list[str]]:
+    group, size = [], 0
+    for text in texts:
+        if group and size + len(text) > TOGETHER:
+            yield group
+            group, size = [], 0
+        group.append(text)
+        size += len(text)
+    if group:
+        yield group
+
+
+def measure_texts(texts: Sequence[str], vocabularies: Sequence[tuple[Encoder, np.ndarray]]) -> list:
+    """Columns script, the base counts, tokens of the first vocabulary and the measures of each."""
+    words = Words(texts)
+    lines = [line_counts(t) for t in texts]
+    base = [words.per_text(), words.per_text(words.lengths[words.ids]), *zip(*lines), words.repeated()]
+    found = [fertility(words, *v) for v in vocabularies]
+    tokens = found[0][0] if found else np.zeros(len(texts), dtype=np.int64)
+    return [[script(t) for t in texts], *base, tokens, *(m for one in found for m in one[1:])]
+
+
 def measured(docs: DataFrame, vocabularies: Sequence[str] = VOCABULARIES) -> DataFrame:
     """One row per document: doc_id, lang, script, text_hash, the base counts, tokens and measures of each vocabulary.
 
@@ -178,20 +239,14 @@ def measured(docs: DataFrame, vocabularies: Sequence[str] = VOCABULARIES) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         loaded = [load_vocabulary(*file) for file in sent.value]
+        kinds = [pa.string(), *[pa.int64()] * (len(_BASE) + 1), *[pa.float64()] * len(names)]
         for batch in batches:
-            rows = []
-            for text in batch.column("text"):
-                text = text.as_py()
-                clean = text.encode("utf-8", "replace").decode("utf-8")  # lone surrogates cannot be encoded
-                tokens, values = 0, []
-                for vocabulary in loaded:
-                    n, *three = fertility(clean, *vocabulary)
-                    tokens = tokens or n
-                    values += three
-                rows.append((script(text), *base_counts(text), tokens, *values))
-            kinds = [pa.string(), *[pa.int64()] * (len(_BASE) + 1), *[pa.float64()] * len(names)]
-            columns = [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * len(kinds), kinds)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(3)), *columns], names=schema.names)
+            at = 0
+            for group in _groups(text.as_py() for text in batch.column("text")):
+                columns = [pa.array(c, t) for c, t in zip(measure_texts(group, loaded), kinds)]
+                own = batch.slice(at, len(group))
+                yield pa.RecordBatch.from_arrays([*(own.column(k) for k in range(3)), *columns], names=schema.names)
+                at += len(group)
 
     text = text_or_empty()
     return docs.select(

@@ -9,12 +9,12 @@ from llm_helpers import awkward, documents, found, prose
 
 from duelmetrics.llm.quality import (
     VOCABULARIES,
-    base_counts,
+    Words,
     fertility,
     load_vocabulary,
+    measure_texts,
     measured,
     quality,
-    repeated_words,
     script,
 )
 
@@ -52,29 +52,31 @@ def texts():
 
 
 def test_base_counts_equal_plain_ones():
-    for text in texts():
-        assert base_counts(text) == plain_counts(text)
+    given = texts()
+    columns = measure_texts(given, [])[1:6]
+    assert list(zip(*(map(int, c) for c in columns))) == [plain_counts(t) for t in given]
+    for text in given:
+        assert tuple(int(c[0]) for c in measure_texts([text], [])[1:6]) == plain_counts(text)
 
 
-def test_windows_that_overlap():
-    assert repeated_words(list("abcdefgh")) == 0
-    assert repeated_words(list("aaaaaaaaa")) == 9
-    assert repeated_words(list("abcdefgh") * 2) == 16
-    assert repeated_words(list("abcdefgh") + ["x"] + list("abcdefgh")) == 16
+def test_windows_that_overlap_stay_within_their_text():
+    once, twice = "a b c d e f g h", "a b c d e f g h x a b c d e f g h"
+    assert Words([once, once, twice, "a " * 9, once, "", "b a"]).repeated().tolist() == [0, 0, 16, 9, 0, 0, 0]
+    assert Words([]).repeated().tolist() == []
 
 
 @pytest.mark.parametrize("name", VOCABULARIES)
 def test_measures_of_a_vocabulary(name):
     with open(name, "rb") as file:
         encoder, partial = load_vocabulary(name, file.read())
-    text = "The first of them was there. " * 3
-    ids = encoder(text)
-    n, length, share, entropy = fertility(text, encoder, partial)
-    times = Counter(ids).values()
-    assert n == len(ids) and length == pytest.approx(math.log2(len(text) / n)) and share == 0
-    assert entropy == pytest.approx(-sum(t / n * math.log2(t / n) for t in times) / math.log2(n))
-    assert fertility("", encoder, partial) == (0, 0.0, 0.0, 1.0)
-    assert fertility("\U00013080\U00013081" * 20, encoder, partial)[2] > 0.8  # no vocabulary has these
+    text, rare = "The first of them was there. " * 3, "\U00013080\U00013081" * 20  # no vocabulary has these
+    total, length, share, entropy = fertility(Words([text, "", rare, "y" * 2_500]), encoder, partial)
+    ids = [t for w in text.split() for t in encoder([w])[0]]
+    n, times = len(ids), Counter(ids).values()
+    assert total[0] == n and length[0] == pytest.approx(math.log2(sum(map(len, text.split())) / n)) and share[0] == 0
+    assert entropy[0] == pytest.approx(-sum(t / n * math.log2(t / n) for t in times) / math.log2(n))
+    assert [x[1] for x in (total, length, share, entropy)] == [0, 0, 0, 1]
+    assert share[2] > 0.8 and total[3] >= 3
     with pytest.raises(ValueError):
         load_vocabulary("x.bin", b"")
 
