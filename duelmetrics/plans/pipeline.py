@@ -44,7 +44,7 @@ MARTS = ["mart_player_stats", "mart_opening_analysis", "mart_elo_progression"]
 
 
 def table_path(root: str, name: str) -> str:
-    zone = "raw" if name in RAW_TABLES or name == "rejects" else "marts" if name in MARTS else "staging"
+    zone = "raw" if name in (*RAW_TABLES, "rejects", "loaded_files") else "marts" if name in MARTS else "staging"
     return f"{root}/{zone}/{name}"
 
 
@@ -112,9 +112,11 @@ def run_ingestion(
     """Landed payloads to raw tables, with an account of what was not readable.
 
     ``players`` and ``months`` (like 2025-01) select folders of the landing zone.
-    Lines that cannot be read in full are written to ``raw/rejects``. They end
-    the load before it writes a table, unless ``allow_rejects`` is set and each
-    source has something readable. Games are checked for volume before they
+    Neither the account nor the load reads others. Lines that cannot be read in
+    full are written to ``raw/rejects``. They end the load before it writes a
+    table, unless ``allow_rejects`` is set and some archive is readable: then it
+    goes on with the rest, and players of whose profiles or stats nothing is
+    readable stay as they were. Games are checked for volume before they
     replace the table, so the check judges this load, and a load of too few
     games, or of none, leaves the games as they were. A landing zone without
     profiles keeps the players.
@@ -125,25 +127,21 @@ def run_ingestion(
     """
     for name, schema in RAW_TABLES.items():
         ensure_table(spark, table_path(root, name), schema)
-    lines, rejected = account_for(spark, landed, root)
-    broken = {s: n for s, n in rejected.items() if n}
-    if broken and (not allow_rejects or any(n == lines[s] for s, n in broken.items())):
-        counts = ", ".join(f"{n} of {lines[s]} {s}" for s, n in broken.items())
-        raise DataCheckFailed(f"not readable: {counts} lines; see {table_path(root, 'rejects')}")
+    lines, rejected = account_for(spark, landed, root, players, months)
+    raise_on_rejects(lines, rejected, root, allow_rejects)
 
     def read(source: str, reader: Callable) -> DataFrame:
         rows = _landed(spark, landed, source, reader)
-        if players is not None:
-            rows = rows.filter(F.col("username").isin(*players))
-        if months is not None and source == "archives":
-            rows = rows.filter(F.concat_ws("-", "year", "month").isin(*months))
-        return rows
+        return rows.filter(payloads.selected(players, months, rows.columns))
 
     roster = payloads.flatten_players(
         read("profiles", payloads.read_profiles), read("stats", payloads.read_stats), ingested_at
     )
     games = payloads.flatten_archives(read("archives", payloads.read_archives), ingested_at)
-    players_loaded = replace_table(roster, table_path(root, "raw_players"), keep_if_empty=True)
+    unreadable = {s for s, n in rejected.items() if n and n == lines[s]}
+    players_loaded = not unreadable & {"profiles", "stats"} and replace_table(
+        roster, table_path(root, "raw_players"), keep_if_empty=True
+    )
     replace_table(
         games,
         table_path(root, "raw_games"),
@@ -158,30 +156,53 @@ def run_ingestion(
     return Ingested(lines, rejected, players_loaded, missing)
 
 
-def account_for(spark: SparkSession, landed: str, root: str) -> tuple[dict, dict]:
+def raise_on_rejects(lines: dict, rejected: dict, root: str, allow_rejects: bool) -> None:
+    broken = {s: n for s, n in rejected.items() if n}
+    if broken and (not allow_rejects or broken.get("archives") == lines["archives"]):
+        counts = ", ".join(f"{n} of {lines[s]} {s}" for s, n in broken.items())
+        raise DataCheckFailed(f"not readable: {counts} lines; see {table_path(root, 'rejects')}")
+
+
+def account_for(
+    spark: SparkSession,
+    landed: str,
+    root: str,
+    players: Sequence[str] | None = None,
+    months: Sequence[str] | None = None,
+) -> tuple[dict, dict]:
     """Landed and rejected lines by source; the rejected ones are in ``raw/rejects``.
 
-    The landing zone is read once for the counts; only a source with rejected
-    lines is read again to list them. The table always tells of the last load.
+    The selected folders are read once for the counts; only a source with
+    rejected lines is read again to list them. The table always tells of the
+    last load.
     """
+    keep = {
+        s: payloads.selected(players, months, schema.names) if (players, months) != (None, None) else None
+        for s, schema in LANDING.items()
+    }
     lines, rejected = {}, {}
     for source, schema in LANDING.items():
         path = f"{landed}/{source}"
         there = path_exists(spark, path)
         lines[source], rejected[source] = (
-            payloads.count_lines(spark, path, schema) if there else (0, 0)
+            payloads.count_lines(spark, path, schema, keep[source]) if there else (0, 0)
         )
     found = [
-        payloads.rejected_lines(spark, f"{landed}/{s}", LANDING[s]).select(
+        payloads.rejected_lines(spark, f"{landed}/{s}", LANDING[s], keep[s]).select(
             F.lit(s).alias("source"), "path", "line"
         )
         for s, n in rejected.items()
         if n
     ]
+    write_rejects(spark, root, found)
+    return lines, rejected
+
+
+def write_rejects(spark: SparkSession, root: str, found: Sequence[DataFrame]) -> None:
+    """``raw/rejects`` tells of the last load; a root that never had rejects has no such table."""
     rejects = table_path(root, "rejects")
     if found or table_exists(spark, rejects):
         replace_table(one_load(spark.createDataFrame([], REJECTS), *found), rejects)
-    return lines, rejected
 
 
 def run_repair(spark: SparkSession, root: str) -> None:

@@ -44,6 +44,7 @@ def stage_games(
     key: Sequence[str] = ("game_url",),
     result_map: Mapping[str, str] | None = None,
     text_ties: bool = False,
+    unique: bool = False,
 ) -> DataFrame:
     """Latest row per game, seen from the tracked player.
 
@@ -58,6 +59,9 @@ def stage_games(
 
     Two rows may agree in all but the text. To readers of the other columns they
     are the same; ``text_ties`` lets the text decide too, which reads it.
+
+    ``unique`` says that ``raw`` has one row per key already, as a table kept by
+    ``parts.upsert`` with this key has: then nothing is shuffled or sorted.
     """
     lowered = raw.withColumns(
         {
@@ -103,6 +107,8 @@ def stage_games(
         "ingested_at",
         *[c for c in OPENING_TAGS if c in raw.columns],
     )
+    if unique:
+        return staged.drop("_rest")
     ties = [*_GAME_TIES, *[c for c in OPENING_TAGS if c in raw.columns], "_rest"]
     return latest_per_key(staged, key, ["ingested_at"], ties).drop("_rest")
 

@@ -963,3 +963,52 @@ FROM raw_games, (VALUES ('lines listed'), ('lines counted')) AS kinds(what) GROU
     LOADED_GAMES,
 )
 ORACLES["pipeline_result_map"] = sql("SELECT * FROM performance", *LOADED)
+
+# --- incremental loads and marts -----------------------------------------------
+
+_BATCHES = """
+first AS (SELECT * FROM raw_games WHERE end_time % 2 = 0),
+second AS (
+    SELECT * FROM raw_games WHERE end_time % 2 = 1
+    UNION ALL
+    SELECT * REPLACE (white_rating + 50 AS white_rating, end_time - 3456000 AS end_time)
+    FROM raw_games WHERE end_time % 10 = 0
+)"""
+_NULLS_FIRST_TIES = ", ".join(f"{c.strip()} NULLS FIRST" for c in _ALL_TIES.split(","))
+
+
+def _kept(first: str, second: str) -> str:
+    return f"""
+kept_games AS (
+    SELECT * FROM (SELECT * FROM {first} UNION ALL SELECT * FROM {second})
+    QUALIFY row_number() OVER (PARTITION BY game_url ORDER BY ingested_at DESC, {_NULLS_FIRST_TIES}) = 1
+)"""
+
+
+def _loaded(batch: str, at: str) -> str:
+    shaped = LOADED_GAMES.replace("loaded_games", f"loaded_{batch}").replace("FROM raw_games", f"FROM {batch}")
+    return shaped.replace("2024-01-31T06:00:00", at)
+
+
+UPDATED = (
+    RAW_GAMES,
+    _BATCHES,
+    _loaded("first", "2024-01-31T06:00:00"),
+    _loaded("second", "2024-02-01T06:00:00"),
+    _kept("loaded_first", "loaded_second"),
+    staged(source="kept_games"),
+)
+ORACLES["upsert_raw_games"] = sql(
+    "SELECT * FROM kept_games",
+    RAW_GAMES,
+    _BATCHES,
+    "first_load AS (SELECT * REPLACE ('2024-01-31T06:00:00' AS ingested_at) FROM first)",
+    "second_load AS (SELECT * REPLACE ('2024-02-01T06:00:00' AS ingested_at) FROM second)",
+    _kept("first_load", "second_load"),
+)
+ORACLES["incremental_player_stats"] = sql(
+    "SELECT * FROM stats",
+    *UPDATED, PERFORMANCE, RAW_PLAYERS, LOADED_PLAYERS, staged_players("loaded_players"), STATS,
+)
+ORACLES["incremental_openings"] = sql("SELECT * FROM openings", *UPDATED, OPENINGS)
+ORACLES["incremental_progression"] = sql("SELECT * FROM progression", *UPDATED, DAILY, PROGRESSION)

@@ -36,7 +36,7 @@ from duelmetrics.operators.ranking import (
     top_rows,
 )
 from duelmetrics.operators.reshape import long_form, pivot_metrics, share_of_total
-from duelmetrics.plans import frames, marts, pipeline
+from duelmetrics.plans import frames, incremental, marts, pipeline
 from duelmetrics.plans.performance import player_performance
 from duelmetrics.plans.staging import game_facts, stage_games, stage_players
 from duelmetrics.quality import checks as dq
@@ -44,8 +44,8 @@ from duelmetrics.quality import monitors
 from duelmetrics.quality.declared import expectations, schema_tests
 from duelmetrics.registry import shapes
 from duelmetrics.registry.shapes import read
-from duelmetrics.schemas import ARCHIVE
-from duelmetrics.sources import payloads, tables
+from duelmetrics.schemas import ARCHIVE, RAW_GAMES
+from duelmetrics.sources import parts, payloads, tables
 from duelmetrics.sources.raw_tables import one_load, read_raw_games, read_raw_players
 from duelmetrics.sources.scratch import scratch_dir
 
@@ -914,3 +914,55 @@ def pipeline_result_map(spark, sf):
     pipeline.run_ingestion(spark, landed, root, BATCH, more_than=100)
     pipeline.run_models(spark, root, result_map={"lose": "loss", "timeout": "loss"})
     return pipeline.table(spark, root, "int_player_performance")
+
+
+# --- incremental loads and marts -----------------------------------------------
+
+BATCH_AFTER = "2024-02-01T06:00:00"
+LATE = 40 * 86400
+
+
+def _two_batches(games: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Half of the games; the others, with corrections of some of the first that move them to another month."""
+    corrected = games.filter(F.col("end_time") % 10 == 0).withColumns(
+        {"white_rating": F.col("white_rating") + 50, "end_time": F.col("end_time") - LATE}
+    )
+    odd = F.col("end_time") % 2 == 1
+    return games.filter(~odd), one_load(games.filter(odd), corrected)
+
+
+def _updated_root(spark: SparkSession, sf: str) -> str:
+    """Two batches landed one after the other, each followed by an update."""
+    first, second = _two_batches(_raw_games(spark, sf))
+    landed, root = _landed_folder(spark, sf, first), scratch_dir(spark, "root")
+    incremental.run_update(spark, landed, root, BATCH, buckets=16)
+    _land(shapes.archives(second), f"{landed}/archives", "username", "year", "month")
+    incremental.run_update(spark, landed, root, BATCH_AFTER, buckets=16)
+    return root
+
+
+@query
+def upsert_raw_games(spark, sf):
+    """Rows by key after two batches; the second rewrites the buckets of its games only."""
+    path = scratch_dir(spark, "keyed")
+    first, second = _two_batches(_raw_games(spark, sf))
+    ties = [c for c in RAW_GAMES.names if c not in ("game_url", "ingested_at")]
+    for rows, loaded_at in ((first, BATCH), (second, BATCH_AFTER)):
+        load = rows.withColumn("ingested_at", F.lit(loaded_at))
+        parts.upsert(load, path, ["game_url"], ["ingested_at"], ties, buckets=16)
+    return tables.read_table(spark, path, RAW_GAMES)
+
+
+@query
+def incremental_player_stats(spark, sf):
+    return pipeline.table(spark, _updated_root(spark, sf), "mart_player_stats")
+
+
+@query
+def incremental_openings(spark, sf):
+    return pipeline.table(spark, _updated_root(spark, sf), "mart_opening_analysis")
+
+
+@query
+def incremental_progression(spark, sf):
+    return pipeline.table(spark, _updated_root(spark, sf), "mart_elo_progression")

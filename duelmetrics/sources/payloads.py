@@ -7,7 +7,7 @@ and stats). A fetch that failed leaves no file and so contributes no row.
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,24 +58,47 @@ def read_archives(spark: SparkSession, paths: Paths, root: str | None = None) ->
     return read_payloads(spark, paths, ARCHIVE, root)
 
 
+def with_content(profiles: DataFrame) -> DataFrame:
+    """Profiles with any content; a player whose profile is empty is left out."""
+    return profiles.na.drop("all", subset=[name for name in PROFILE.names if name != "username"])
+
+
 def read_profiles(spark: SparkSession, paths: Paths, root: str | None = None) -> DataFrame:
     """Profiles with any content; a player whose profile is empty is left out."""
-    content = [name for name in PROFILE.names if name != "username"]
-    return read_payloads(spark, paths, PROFILE, root, timed=True).na.drop("all", subset=content)
+    return with_content(read_payloads(spark, paths, PROFILE, root, timed=True))
 
 
 def read_stats(spark: SparkSession, paths: Paths, root: str | None = None) -> DataFrame:
     return read_payloads(spark, paths, STATS, root, timed=True)
 
 
-def _lines(spark: SparkSession, paths: Paths, schema: T.StructType) -> DataFrame:
+PARTITIONS = ("username", "year", "month")
+
+
+def selected(players: Sequence[str] | None, months: Sequence[str] | None, columns: Sequence[str]) -> Column:
+    """Rows of the named players and months (like 2025-01), as far as the folders tell; None names all."""
+    keep = F.lit(True)
+    if players is not None:
+        keep &= F.col("username").isin(*players)
+    if months is not None and "month" in columns:
+        keep &= F.concat_ws("-", "year", "month").isin(*months)
+    return keep
+
+
+def _lines(spark: SparkSession, paths: Paths, schema: T.StructType, keep: Column | None = None) -> DataFrame:
     """Lines that are not blank, ``rejected`` if ``schema`` cannot read them in full.
 
     The lines are parsed one by one: the JSON reader itself would take a line
-    that starts an array for rows and not count it.
+    that starts an array for rows and not count it. ``keep`` is a condition on
+    the partition columns, so folders it rules out are not read.
     """
     parsed = F.from_json("value", _with_corrupt(schema), {"columnNameOfCorruptRecord": CORRUPT})
-    lines = spark.read.format("text").load(_listed(paths))
+    reader = spark.read.format("text")
+    if keep is not None:
+        folders = [f for f in schema.fields if f.name in PARTITIONS]
+        reader = reader.schema(T.StructType([T.StructField("value", T.StringType()), *folders]))
+    lines = reader.load(_listed(paths))
+    lines = lines if keep is None else lines.filter(keep)
     return lines.filter(F.trim("value") != "").select(
         F.col("_metadata.file_path").alias("path"),
         F.col("value").alias("line"),
@@ -83,18 +106,71 @@ def _lines(spark: SparkSession, paths: Paths, schema: T.StructType) -> DataFrame
     )
 
 
-def count_lines(spark: SparkSession, paths: Paths, schema: T.StructType) -> tuple[int, int]:
+def parsed_files(spark: SparkSession, files: Sequence[str], schema: T.StructType, root: str) -> DataFrame:
+    """The lines of some files below ``root``, each parsed once: content, partition columns, line, rejected, landed.
+
+    ``line`` is there where it is ``rejected``. A value of another type than
+    declared reads as NULL, a line that is not JSON as NULLs. ``landed`` is as
+    in ``read_payloads``.
+    """
+    folders = [f for f in schema.fields if f.name in PARTITIONS]
+    content = [f for f in schema.fields if f.name not in PARTITIONS]
+    if not files:
+        landed = T.StructType([T.StructField("at", T.TimestampType()), T.StructField("path", T.StringType())])
+        more = [("path", T.StringType()), ("line", T.StringType()), ("rejected", T.BooleanType()), ("landed", landed)]
+        every = [*content, *folders, *[T.StructField(*f) for f in more]]
+        return spark.createDataFrame([], T.StructType(every))
+    lines = (
+        spark.read.schema(T.StructType([T.StructField("value", T.StringType()), *folders]))
+        .option("basePath", root)
+        .format("text")
+        .load(list(files))
+    )
+    wanted = _with_corrupt(T.StructType(content))
+    parsed = F.from_json("value", wanted, {"columnNameOfCorruptRecord": CORRUPT})
+    rejected = F.col(f"parsed.{CORRUPT}").isNotNull()
+    return (
+        lines.filter(F.trim("value") != "")
+        .withColumns({"parsed": parsed, "path": F.col("_metadata.file_path"), "at": F.col("_metadata.file_modification_time")})
+        .select(
+            *[F.col(f"parsed.{f.name}") for f in content],
+            *[f.name for f in folders],
+            "path",
+            F.when(rejected, F.col("value")).alias("line"),
+            rejected.alias("rejected"),
+            F.struct("at", "path").alias("landed"),
+        )
+    )
+
+
+def landed_files(spark: SparkSession, root: str) -> DataFrame:
+    """(path, length, modified, username, year, month) of every landed file, from its folder's listing alone."""
+    listed = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*")
+        .option("recursiveFileLookup", "true")
+        .load(root)
+    )
+    named = {c: F.nullif(F.regexp_extract("path", f"/{c}=([^/]+)", 1), F.lit("")) for c in PARTITIONS}
+    return listed.select("path", "length", F.col("modificationTime").alias("modified")).withColumns(named)
+
+
+def count_lines(
+    spark: SparkSession, paths: Paths, schema: T.StructType, keep: Column | None = None
+) -> tuple[int, int]:
     """How many lines there are, and how many of them are rejected."""
-    counts = _lines(spark, paths, schema).agg(
+    counts = _lines(spark, paths, schema, keep).agg(
         F.count(F.lit(1)).alias("lines"), F.count_if("rejected").alias("rejected")
     )
     row = counts.first()
     return row["lines"], row["rejected"]
 
 
-def rejected_lines(spark: SparkSession, paths: Paths, schema: T.StructType) -> DataFrame:
+def rejected_lines(
+    spark: SparkSession, paths: Paths, schema: T.StructType, keep: Column | None = None
+) -> DataFrame:
     """(path, line) for every line that ``schema`` cannot read in full."""
-    return _lines(spark, paths, schema).filter("rejected").select("path", "line")
+    return _lines(spark, paths, schema, keep).filter("rejected").select("path", "line")
 
 
 def flatten_archives(archives: DataFrame, ingested_at: str) -> DataFrame:
