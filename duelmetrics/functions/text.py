@@ -1,5 +1,7 @@
 """Text expressions."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,6 +29,15 @@ def leader_arrow(first: Column, second: Column) -> Column:
     return F.when(first > second, "←").when(second > first, "→").otherwise("=")
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used.
+
+    A column expression that names another one twice holds two copies of it, and
+    copies of copies multiply; the variable of a higher-order function does not.
+    """
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _tenths(size: Column) -> Column:
     """Tenths of a number >= 0, rounded to the nearest and at a tie to the even one.
 
@@ -35,28 +46,40 @@ def _tenths(size: Column) -> Column:
     fraction is the sum of 16 and 4 times it, both exact, and the error of that
     sum follows from its parts.
     """
-    whole = F.floor(size)
-    fraction = size - whole
-    larger, smaller = fraction * 16, fraction * 4
-    total = larger + smaller
-    taken = total - larger
-    error = (larger - (total - taken)) + (smaller - taken)
-    down = F.floor(total / 2)
-    past_middle = (total - (down * 2 + 1)) + error
-    up = (past_middle > 0) | ((past_middle == 0) & (down % 2 == 1))
-    return whole * 10 + down + up.cast("bigint")
+
+    def rounded(fraction: Column, total: Column, taken: Column, down: Column) -> Column:
+        error = (fraction * 16 - (total - taken)) + (fraction * 4 - taken)
+        past_middle = (total - (down * 2 + 1)) + error
+        return _bound(
+            past_middle, lambda past: down + ((past > 0) | ((past == 0) & (down % 2 == 1))).cast("bigint")
+        )
+
+    def of_fraction(fraction: Column) -> Column:
+        larger, smaller = fraction * 16, fraction * 4
+        return _bound(
+            larger + smaller,
+            lambda total: rounded(fraction, total, total - larger, F.floor(total / 2)),
+        )
+
+    return F.floor(size) * 10 + _bound(size - F.floor(size), of_fraction)
 
 
 def _one_decimal(value: Column) -> Column:
     """``3.5``, ``-2.0``; numbers too large for a tenth, NaN and infinity as they print."""
-    tenths = _tenths(F.abs(value))
-    text = F.concat(
-        F.when((value < 0) | (value.cast("string") == "-0.0"), "-").otherwise(""),
-        F.floor(tenths / 10).cast("string"),
-        F.lit("."),
-        (tenths % 10).cast("string"),
-    )
-    return F.when(F.abs(value) < 1e15, text).otherwise(F.format_string("%.1f", value))
+
+    def text(v: Column) -> Column:
+        minus = (v < 0) | ((v == 0) & (v.cast("string") == "-0.0"))
+        return _bound(
+            _tenths(F.abs(v)),
+            lambda t: F.concat(
+                F.when(minus, "-").otherwise(""),
+                F.floor(t / 10).cast("string"),
+                F.lit("."),
+                (t % 10).cast("string"),
+            ),
+        )
+
+    return F.when(F.abs(value) < 1e15, _bound(value, text)).otherwise(F.format_string("%.1f", value))
 
 
 def signed_delta(delta: Column, unit: Column) -> Column:

@@ -34,12 +34,14 @@ TIE_BITS = 20
 def packed_order(seconds: Column, tie: Column) -> Column:
     """One whole number that sorts by epoch seconds, then by a small number.
 
-    ``tie`` counts from 0 and up to 2**20 - 1, NULL as 0; beyond that it is cut
-    off. With the value itself as ``tie`` the order leaves nothing open: rows
-    that agree in it have the same value.
+    ``tie`` counts from 0 to 2**20 - 1, NULL as 0; another value would lose the
+    order, so it ends the job (order by a struct of both then). With the value
+    itself as ``tie`` the order leaves nothing open: rows that agree in it have
+    the same value.
     """
-    bounded = F.least(F.greatest(F.coalesce(tie, F.lit(0)), F.lit(0)), F.lit((1 << TIE_BITS) - 1))
-    return F.shiftleft(seconds.cast("bigint"), TIE_BITS) + bounded.cast("bigint")
+    beyond = F.raise_error(F.concat(F.lit("a tie outside 0 to 2**20 - 1: "), tie.cast("string")))
+    fits = F.when(tie.isNull(), 0).when(tie.between(0, (1 << TIE_BITS) - 1), tie).otherwise(beyond.cast("bigint"))
+    return F.shiftleft(seconds.cast("bigint"), TIE_BITS) + fits.cast("bigint")
 
 
 def change_vs_previous(

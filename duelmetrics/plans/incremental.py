@@ -35,13 +35,14 @@ from duelmetrics.plans.pipeline import (
     write_rejects,
 )
 from duelmetrics.plans.staging import game_facts, stage_players
+from duelmetrics.quality.history import profile_drift, record_profile
 from duelmetrics.schemas import RAW_GAMES, RAW_PLAYERS
 from duelmetrics.sources import parts, payloads
 from duelmetrics.sources.parts import PART, append_parts, change_parts, read_parts, write_parts
 from duelmetrics.sources.scratch import scratch_dir
 from duelmetrics.sources.tables import Version, current_version, path_exists, replace_table
 
-LEDGER = "loaded_files"
+LEDGER, PROFILES = "loaded_files", "load_profiles"
 LEDGER_SCHEMA = "source string, path string, length bigint, modified timestamp, loaded_at string"
 SERIES = ["username", "time_class"]
 OPENING = ["username", "time_class", "player_color", "opening_slug", "eco_code"]
@@ -94,7 +95,8 @@ def load_new(
     read in full are listed in ``raw/rejects`` and end the load, unless
     ``allow_rejects`` is set and some archive is readable. Of a player with a new
     profile or new stats all profiles and stats are read again, so the newest of
-    both meet.
+    both meet. A profile of the games that came is kept under ``ingested_at``, for
+    ``drift_since``.
     """
     found, staged = {}, {}
     for source, schema in LANDING.items():
@@ -120,9 +122,12 @@ def load_new(
 
     games = payloads.flatten_archives(staged["archives"].select("username", "games"), ingested_at)
     ties = [c for c in RAW_GAMES.names if c not in ("game_url", "ingested_at")]
-    parts.upsert(
+    loaded = parts.upsert(
         games, table_path(root, "raw_games"), ["game_url"], ["ingested_at"], ties, buckets, GAME_CLUSTERING
     )
+    if loaded:
+        came, _ = parts.changes(spark, table_path(root, "raw_games"), loaded, RAW_GAMES)
+        record_profile(came.drop("ingested_at"), table_path(root, PROFILES), ingested_at)
     if found["profiles"] or found["stats"]:
         _load_players(spark, landed, root, ingested_at, staged, buckets)
     noted = [row for rows in found.values() for row in rows]
@@ -132,6 +137,11 @@ def load_new(
     return Loaded({s: len(f) for s, f in found.items()}, lines, rejected)
 
 
+def drift_since(spark: SparkSession, root: str, before: str, after: str, **limits: float) -> DataFrame:
+    """What changed in the games from the load of one time to that of another, by their kept profiles."""
+    return profile_drift(spark, table_path(root, PROFILES), before, after, **limits)
+
+
 def _load_players(
     spark: SparkSession, landed: str, root: str, ingested_at: str, staged: dict[str, DataFrame], buckets: int
 ) -> None:

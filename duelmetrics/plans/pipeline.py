@@ -44,7 +44,7 @@ MARTS = ["mart_player_stats", "mart_opening_analysis", "mart_elo_progression"]
 
 
 def table_path(root: str, name: str) -> str:
-    zone = "raw" if name in (*RAW_TABLES, "rejects", "loaded_files") else "marts" if name in MARTS else "staging"
+    zone = "raw" if name in (*RAW_TABLES, "rejects", "loaded_files", "load_profiles") else "marts" if name in MARTS else "staging"
     return f"{root}/{zone}/{name}"
 
 

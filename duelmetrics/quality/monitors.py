@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from duelmetrics import fixed_values as fixed
@@ -121,6 +121,54 @@ def volume_anomaly(
     )
 
 
+def seasonal_anomaly(
+    df: DataFrame,
+    keys: Sequence[str],
+    at: str,
+    weeks: int = 4,
+    deviations: float = 4.0,
+) -> DataFrame:
+    """Days whose volume is far from what the same weekday had in the ``weeks`` before.
+
+    Usual is the median of those weeks, far is more than ``deviations`` times the
+    median deviation from it (scaled to a standard deviation), or the square root
+    of the median where that is larger, as counts vary by chance. Medians don't
+    follow a single spike, and a weekly pattern is usual. Days without rows count
+    as zero; of a gap the first day is judged, once ``weeks`` weeks are there. The
+    window runs over daily counts and holds at most ``weeks`` of them a row.
+    """
+    number = F.datediff("day", F.lit("1970-01-01").cast("date"))
+    own = Window.partitionBy(*keys)
+    before = Window.partitionBy(*keys, F.col("_number") % 7).orderBy("_number").rangeBetween(-7 * weeks, -1)
+    seen = daily_volume(df, keys, at).withColumn("_number", number).withColumns(
+        {"_seen": F.collect_list("n_rows").over(before), "_age": F.col("_number") - F.min("_number").over(own)}
+    )
+    missing = F.array_repeat(F.lit(0).cast("bigint"), F.lit(weeks) - F.size("_seen"))
+    middle, parity = (weeks - 1) // 2, 1 - weeks % 2
+
+    def median(values: Column) -> Column:
+        ordered = F.array_sort(values)
+        return (ordered[middle] + ordered[middle + parity]) / 2
+
+    judged = (
+        seen.withColumn("_all", F.concat("_seen", missing))
+        .withColumn("usual", median(F.col("_all")))
+        .withColumn("_off", median(F.transform("_all", lambda n: F.abs(n - F.col("usual")))))
+        .withColumn("scale", F.greatest(F.col("_off") * 1.4826, F.sqrt("usual")))
+    )
+    far = F.abs(F.col("n_rows") - F.col("usual")) > F.col("scale") * deviations
+    known = F.col("_age") >= 7 * weeks
+    return judged.select(
+        *keys,
+        "day",
+        "n_rows",
+        "days",
+        F.when(known, F.col("usual")).alias("usual"),
+        F.when(known, F.round("scale", 4)).alias("scale"),
+        (known & far).alias("is_anomaly"),
+    )
+
+
 def _column_profile(df: DataFrame, label: str) -> DataFrame:
     """(column_name, type, null share, distinct count) from one aggregation."""
     fields = df.schema.fields

@@ -1012,3 +1012,103 @@ ORACLES["incremental_player_stats"] = sql(
 )
 ORACLES["incremental_openings"] = sql("SELECT * FROM openings", *UPDATED, OPENINGS)
 ORACLES["incremental_progression"] = sql("SELECT * FROM progression", *UPDATED, DAILY, PROGRESSION)
+
+# --- what changes from load to load ---------------------------------------------
+
+_PROFILED_LOADS = """
+loads AS (
+    SELECT 'first' AS load, game_url, rated, white_rating, black_rating, black_result, end_time
+    FROM raw_games WHERE end_time % 2 = 0
+    UNION ALL
+    SELECT 'second', game_url, rated, white_rating + 400, black_rating,
+        CASE WHEN end_time % 3 <> 0 THEN black_result END, end_time
+    FROM raw_games WHERE end_time % 2 = 1
+)"""
+_PROFILED = {
+    "game_url": ("string", "length(game_url)"), "rated": ("boolean", "rated::INTEGER"),
+    "white_rating": ("bigint", "white_rating"), "black_rating": ("bigint", "black_rating"),
+    "black_result": ("string", "length(black_result)"), "end_time": ("bigint", "end_time"),
+}
+ORACLES["profile_drift"] = sql(
+    """
+SELECT column_name, type AS type_before, type AS type_after,
+    round(nulls_before / rows_before, 4) AS null_share_before,
+    round(nulls_after / rows_after, 4) AS null_share_after, distance,
+    CASE WHEN coalesce(distance, 0) > 0.1
+        OR abs(round(nulls_after / rows_after, 4) - round(nulls_before / rows_before, 4)) > 0.1
+    THEN 'drifted' END AS change
+FROM (
+    SELECT column_name, any_value(type) AS type, count(*) FILTER (load = 'first') AS rows_before,
+        count(*) FILTER (load = 'second') AS rows_after,
+        count(*) FILTER (load = 'first' AND missing) AS nulls_before,
+        count(*) FILTER (load = 'second' AND missing) AS nulls_after
+    FROM named GROUP BY column_name
+) LEFT JOIN (
+    SELECT column_name, round(max(abs(before - after)), 6) AS distance FROM (
+        SELECT column_name,
+            sum(b) OVER (PARTITION BY column_name ORDER BY bin) / sum(b) OVER (PARTITION BY column_name) AS before,
+            sum(a) OVER (PARTITION BY column_name ORDER BY bin) / sum(a) OVER (PARTITION BY column_name) AS after
+        FROM (
+            SELECT column_name, sign(number) * (floor(ln(greatest(abs(number), 1)) / ln(1.02)) + 1) AS bin,
+                count(*) FILTER (load = 'first') AS b, count(*) FILTER (load = 'second') AS a
+            FROM named WHERE number IS NOT NULL GROUP BY 1, 2
+        )
+    ) GROUP BY column_name
+) USING (column_name)
+""",
+    RAW_GAMES,
+    _PROFILED_LOADS,
+    "named AS ("
+    + " UNION ALL ".join(
+        f"SELECT load, '{c}' AS column_name, '{kind}' AS type, {c} IS NULL AS missing, ({number})::DOUBLE AS number FROM loads"
+        for c, (kind, number) in _PROFILED.items()
+    )
+    + ")",
+)
+ORACLES["distinct_over_loads"] = sql(
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_nulls, "
+        f"count(DISTINCT {c}) AS distinct_values, true AS sketch_is_near FROM loads"
+        for c in _PROFILED
+    ),
+    RAW_GAMES,
+    _PROFILED_LOADS,
+)
+ORACLES["seasonal_volume"] = """
+WITH repeated AS (
+    SELECT event_type, CAST(ts AS DATE) AS day FROM events,
+        range(1 + CASE WHEN (CAST(ts AS DATE) - DATE '1970-01-01') % 7 = 3 THEN 3 ELSE 0 END
+            + CASE WHEN CAST(ts AS DATE) = DATE '2024-01-25' AND event_type = 'view' THEN 9 ELSE 0 END)
+),
+counted AS (
+    SELECT event_type, day, count(*) AS n_rows,
+        lead(day) OVER (PARTITION BY event_type ORDER BY day) AS following
+    FROM repeated GROUP BY event_type, day
+),
+daily AS (
+    SELECT event_type, day, n_rows, 1 AS days FROM counted
+    UNION ALL
+    SELECT event_type, day + 1, 0, following - day - 1 FROM counted WHERE following - day > 1
+),
+seen AS (
+    SELECT d.event_type, d.day, d.n_rows, d.days,
+        d.day - min(d.day) OVER (PARTITION BY d.event_type) AS age,
+        list_resize(coalesce(h.past, []), 3, 0) AS past
+    FROM daily d LEFT JOIN (
+        SELECT a.event_type, a.day, list(b.n_rows) AS past FROM daily a JOIN daily b
+            ON a.event_type = b.event_type AND (a.day - b.day) IN (7, 14, 21) GROUP BY a.event_type, a.day
+    ) h USING (event_type, day)
+),
+middles AS (
+    SELECT *, list_aggregate(past, 'median')::DOUBLE AS middle FROM seen
+),
+scaled AS (
+    SELECT *, greatest(
+        list_aggregate(list_transform(past, lambda n: abs(n - middle)), 'median') * 1.4826, sqrt(middle)) AS spread
+    FROM middles
+)
+SELECT event_type, day, n_rows, CAST(days AS INTEGER) AS days, CASE WHEN age >= 21 THEN middle END AS usual,
+    CASE WHEN age >= 21 THEN round(spread, 4) END AS scale,
+    age >= 21 AND abs(n_rows - middle) > spread * 4 AS is_anomaly
+FROM scaled
+"""

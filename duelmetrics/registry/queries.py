@@ -40,7 +40,7 @@ from duelmetrics.plans import frames, incremental, marts, pipeline
 from duelmetrics.plans.performance import player_performance
 from duelmetrics.plans.staging import game_facts, stage_games, stage_players
 from duelmetrics.quality import checks as dq
-from duelmetrics.quality import monitors
+from duelmetrics.quality import history, monitors
 from duelmetrics.quality.declared import expectations, schema_tests
 from duelmetrics.registry import shapes
 from duelmetrics.registry.shapes import read
@@ -966,3 +966,57 @@ def incremental_openings(spark, sf):
 @query
 def incremental_progression(spark, sf):
     return pipeline.table(spark, _updated_root(spark, sf), "mart_elo_progression")
+
+
+# --- what changes from load to load ---------------------------------------------
+
+PROFILED = ["game_url", "rated", "white_rating", "black_rating", "black_result", "end_time"]
+
+
+def _profiled_loads(spark: SparkSession, sf: str) -> tuple[str, DataFrame, DataFrame]:
+    """Two profiles; in the second load white's ratings have risen and some results are missing."""
+    games = _raw_games(spark, sf).select(*PROFILED)
+    odd = F.col("end_time") % 2 == 1
+    first = games.filter(~odd)
+    second = games.filter(odd).withColumns(
+        {
+            "white_rating": F.col("white_rating") + 400,
+            "black_result": F.when(F.col("end_time") % 3 != 0, F.col("black_result")),
+        }
+    )
+    folder = scratch_dir(spark, "profiles")
+    history.record_profile(first, folder, "first")
+    history.record_profile(second, folder, "second")
+    return folder, first, second
+
+
+@query
+def profile_drift(spark, sf):
+    folder, *_ = _profiled_loads(spark, sf)
+    return history.profile_drift(spark, folder, "first", "second")
+
+
+@query
+def distinct_over_loads(spark, sf):
+    """Exact distinct counts over two loads, and whether the kept sketches together are within 5 % of them."""
+    folder, first, second = _profiled_loads(spark, sf)
+    exact = one_load(first, second).agg(*[F.count_distinct(c).alias(c) for c in PROFILED])
+    counted = exact.select(
+        F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("distinct_values")) for c in PROFILED]))
+    )
+    near = F.abs(F.col("distinct_estimate") - F.col("distinct_values")) <= F.col("distinct_values") * 0.05
+    return history.merged_columns(spark, folder).join(counted, "column_name").select(
+        "column_name", "n_rows", "n_nulls", "distinct_values", near.alias("sketch_is_near")
+    )
+
+
+@query
+def seasonal_volume(spark, sf):
+    """Events per type and day with a weekly pattern and one planted spike."""
+    events = read(spark, sf, "events").select("event_type", "ts")
+    day = F.to_date("ts")
+    busy = F.datediff(day, F.lit("1970-01-01").cast("date")) % 7 == 3
+    spike = (day == F.lit("2024-01-25").cast("date")) & (F.col("event_type") == "view")
+    copies = F.lit(1) + F.when(busy, 3).otherwise(0) + F.when(spike, 9).otherwise(0)
+    repeated = events.withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).drop("copy")
+    return monitors.seasonal_anomaly(repeated, ["event_type"], "ts", weeks=3)

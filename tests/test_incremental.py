@@ -86,6 +86,8 @@ def test_two_loads_equal_one_full_run(spark, tmp_path):
     two = incremental.load_new(spark, landed, root, "2025-02-02T00:00:00", buckets=4)
     assert two.files == {"archives": 1, "profiles": 0, "stats": 1} and two.lines["archives"] == 1  # the second day's files only
     assert incremental.refresh_marts(spark, root) == ["2025-01", "2025-03", "2025-04"]
+    drift = incremental.drift_since(spark, root, "2025-02-01T00:00:00", "2025-02-02T00:00:00")
+    assert {"end_time", "pgn"} <= {r["column_name"] for r in drift.collect()}
 
     days = f"{tmp_path}/first", f"{tmp_path}/second"
     first_day(days[0])

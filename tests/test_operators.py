@@ -1,14 +1,16 @@
 from datetime import date
 
+import pytest
 from helpers import plan_of, rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from duelmetrics.functions.clock import epoch_from_utc, utc_from_epoch, utc_from_iso
-from duelmetrics.functions.text import last_segment, one_decimal, tag_value, whole_number
+from duelmetrics.functions.text import last_segment, one_decimal, signed_delta, tag_value, whole_number
 from duelmetrics.operators.coverage import coverage_gaps
 from duelmetrics.operators.latest import latest_per_key
+from duelmetrics.operators.progression import packed_order
 from duelmetrics.operators.ranking import (
     argmax_row,
     argmax_value,
@@ -138,3 +140,19 @@ def test_numbers_print_as_their_binary_value_rounds(spark, some):
     )
     for r in shown.collect():
         assert r.a == f"{r.v:.1f}" and float(r.w) == float(f"{r.v:.0f}"), r
+
+
+def test_text_expressions_do_not_copy_their_input(spark):
+    for text in (one_decimal(F.col("some_value"), ""), signed_delta(F.col("some_value"), F.lit("%"))):
+        assert str(text).count("some_value") <= 12
+    signs = spark.createDataFrame([(-0.0,), (0.0,), (-0.04,), (float("nan"),), (None,)], "v double")
+    assert [r[0] for r in signs.select(one_decimal(F.col("v"), "")).collect()] == ["-0.0", "0.0", "-0.0", "NaN", None]
+
+
+def test_ties_that_do_not_fit_end_the_job(spark):
+    times = spark.createDataFrame([(5, 3), (5, (1 << 20) - 1), (6, 0), (4, None)], "t bigint, v bigint")
+    ordered = times.orderBy(packed_order(F.col("t"), F.col("v"))).collect()
+    assert [r.t for r in ordered] == [4, 5, 5, 6] and ordered[1].v == 3
+    for tie in (1 << 20, -1):
+        with pytest.raises(Exception, match="a tie outside"):
+            spark.createDataFrame([(1, tie)], "t bigint, v bigint").select(packed_order(F.col("t"), F.col("v"))).collect()

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from duelmetrics.functions.clock import utc_from_iso
 from duelmetrics.plans.staging import stage_games
 from duelmetrics.quality import checks as dq
-from duelmetrics.quality import monitors
+from duelmetrics.quality import history, monitors
 from duelmetrics.quality.declared import expectations, schema_tests
 
 RESULT = ["check_name", "column_name", "failures", "success"]
@@ -166,3 +166,76 @@ def test_a_stray_year_costs_one_row(spark):
         (0, 2556696, False),
         (1, 1, True),
     ]
+
+
+def weekly(spark, spikes=(), days=70, extra=0):
+    """Rows per day: 80 on Sundays, 30 on others, some chance, and planted days."""
+    counts = [(d, (80 if d % 7 == 0 else 30) + d * 7919 % 3 + (extra if d in spikes else 0)) for d in range(days)]
+    rows = [("k", d) for d, n in counts for _ in range(n)]
+    start = F.lit("2024-01-07 12:00:00").cast("timestamp_ntz")
+    return spark.createDataFrame(rows, "k string, d int").select("k", F.timestamp_add("DAY", F.col("d"), start).alias("at"))
+
+
+def test_a_weekly_pattern_is_usual_and_a_spike_is_not(spark):
+    quiet = monitors.seasonal_anomaly(weekly(spark), ["k"], "at").collect()
+    assert len(quiet) == 70 and not any(r["is_anomaly"] for r in quiet)
+    found = monitors.seasonal_anomaly(weekly(spark, (45, 52), extra=60), ["k"], "at").filter("is_anomaly").collect()
+    assert [str(r["day"]) for r in found] == ["2024-02-21", "2024-02-28"]  # the first hides neither the second nor a usual day
+
+
+def test_days_without_rows_are_seasonal_zeros(spark):
+    gap = weekly(spark).filter("at < '2024-02-20' or at > '2024-02-25'")
+    found = monitors.seasonal_anomaly(gap, ["k"], "at").filter("is_anomaly").collect()
+    assert [(str(r["day"]), r["n_rows"], r["days"], r["usual"]) for r in found if r["n_rows"] == 0] == [("2024-02-20", 0, 5, found[0]["usual"])]
+    assert monitors.seasonal_anomaly(gap.filter("false"), ["k"], "at").count() == 0
+
+
+def load_of(spark, seed, shift=0, nulls=0):
+    return spark.range(4_000).select(
+        (F.col("id") * 7919 % 1_009 + 1_000 + shift).alias("rating"),
+        F.when(F.col("id") % 10 >= nulls, F.concat(F.lit("n"), F.col("id") * seed % 3_001)).alias("name"),
+        (F.col("id") % 2 == 0).alias("rated"),
+        F.array(F.col("id")).alias("list"),
+    )
+
+
+def test_a_shifted_column_drifts_and_others_do_not(spark, tmp_path):
+    folder = f"{tmp_path}/profiles"
+    history.record_profile(load_of(spark, 7), folder, "one")
+    history.record_profile(load_of(spark, 11), folder, "two")
+    history.record_profile(load_of(spark, 13, shift=300, nulls=3), folder, "three")
+    history.record_profile(load_of(spark, 7).withColumn("rating", F.col("rating").cast("string")).drop("rated").withColumn("more", F.lit(-1.5)), folder, "four")
+    same = history.profile_drift(spark, folder, "one", "two")
+    assert same.filter("change is not null").count() == 0 and same.count() == 4
+    shifted = rows(history.profile_drift(spark, folder, "two", "three").filter("change is not null"), "column_name", "change")
+    assert shifted == [("name", "drifted"), ("rating", "drifted")]
+    other = rows(history.profile_drift(spark, folder, "one", "four").filter("change is not null"), "column_name", "change")
+    assert other == [("more", "added"), ("rated", "removed"), ("rating", "retyped")]
+
+
+def test_the_distance_is_that_of_the_distributions(spark, tmp_path):
+    folder = f"{tmp_path}/profiles"
+    history.record_profile(spark.range(100).select((F.col("id") % 10).cast("double").alias("x")), folder, "a")
+    history.record_profile(spark.range(100).select((F.col("id") % 10 + F.when(F.col("id") < 50, 100).otherwise(0)).cast("double").alias("x")), folder, "b")
+    history.record_profile(spark.createDataFrame([(float("nan"),), (None,), (float("inf"),)], "x double"), folder, "c")
+    assert rows(history.profile_drift(spark, folder, "a", "b"), "distance", "change") == [(0.5, "drifted")]
+    assert rows(history.profile_drift(spark, folder, "a", "c"), "distance", "null_share_after") == [(None, 0.3333)]
+
+
+def test_sketches_of_loads_merge(spark, tmp_path):
+    folder, exact = f"{tmp_path}/profiles", set()
+    for k in range(5):
+        ids = range(k * 3_000, k * 3_000 + 6_000)
+        history.record_profile(spark.range(ids[0], ids[-1] + 1), folder, f"l{k}")
+        exact |= set(ids)
+    (merged,) = history.merged_columns(spark, folder).collect()
+    assert merged["n_rows"] == 30_000 and abs(merged["distinct_estimate"] - len(exact)) < 0.05 * len(exact)
+    (one,) = history.merged_columns(spark, folder, ["l0"]).collect()
+    assert abs(one["distinct_estimate"] - 6_000) < 300
+
+
+def test_a_profile_is_one_pass_and_bins_have_borders(spark):
+    bins = spark.createDataFrame([(x,) for x in (0.0, -0.0, 0.5, 1.0, -1.0, -0.5, 1.03, 1e300, None)], "x double").select(history.bin_of(F.col("x")))
+    found = [r[0] for r in bins.collect()]
+    assert found[:7] == [0, 0, 1, 1, -1, -1, 2] and found[7] > 30_000 and found[8] is None
+    assert plan_of(history.profile_bins(load_of(spark, 7), "x")).count("Range") == 1
