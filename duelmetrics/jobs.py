@@ -2,12 +2,18 @@
 
     spark-submit run_job.py ingest    --landed DIR --root DIR [--ingested-at ISO] [--players a,b]
                                       [--months 2025-01,2025-02] [--gather] [--allow-rejects]
+    spark-submit run_job.py update    --landed DIR --root DIR [--ingested-at ISO] [--players a,b]
+                                      [--months 2025-01,2025-02] [--allow-rejects]
+                                      [--grain as_written] [--result-map lose=loss,won=win]
     spark-submit run_job.py transform --root DIR [--as-of ISO] [--players a,b,c] [--grain as_written]
                                       [--key game_url,username] [--result-map lose=loss,won=win]
                                       [--with-text]
     spark-submit run_job.py validate  --root DIR [--fail]
     spark-submit run_job.py repair    --root DIR
 
+``ingest`` replaces the raw tables by what has landed, ``update`` adds what has landed since the last
+update and brings the marts up to it; a root is kept by one of the two.
+
 Each command raises, and so ends with an error, when a check it must hold fails.
 """
 
@@ -17,7 +23,7 @@ from datetime import UTC, datetime
 from pyspark.sql import SparkSession
 
 from duelmetrics import fixed_values as fixed
-from duelmetrics.plans import pipeline
+from duelmetrics.plans import incremental, pipeline
 from duelmetrics.quality.checks import DataCheckFailed, summarize
 
 
@@ -54,7 +60,15 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     validate = commands.add_parser("validate", help="expectation suites")
     validate.add_argument("--fail", action="store_true", help="end with an error on a failure")
     repair = commands.add_parser("repair", help="one row per game and player in the raw tables")
-    for command in (ingest, transform, validate, repair):
+    update = commands.add_parser("update", help="what landed since the last update, up to the marts")
+    update.add_argument("--landed", required=True)
+    update.add_argument("--ingested-at", default=_now())
+    update.add_argument("--players", type=_listed, help="load these players only")
+    update.add_argument("--months", type=_listed, help="load these months only")
+    update.add_argument("--allow-rejects", action="store_true", help="load what is readable")
+    update.add_argument("--grain", choices=["day", "as_written"], default="day")
+    update.add_argument("--result-map", type=_pairs, help="other result codes")
+    for command in (ingest, update, transform, validate, repair):
         command.add_argument("--root", required=True)
     return parser.parse_args(argv)
 
@@ -77,6 +91,20 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         for source, lines in done.lines.items():
             print(f"{source}: {lines} lines, {done.rejected[source]} rejected")
         done.missing.show(truncate=False)
+    elif args.command == "update":
+        loaded = incremental.run_update(
+            spark,
+            args.landed,
+            args.root,
+            args.ingested_at,
+            args.grain,
+            args.result_map,
+            players=args.players,
+            months=args.months,
+            allow_rejects=args.allow_rejects,
+        )
+        for source, files in loaded.files.items():
+            print(f"{source}: {files} new files, {loaded.lines[source]} lines, {loaded.rejected[source]} rejected")
     elif args.command == "transform":
         fresh = pipeline.run_transformation(
             spark,

@@ -636,6 +636,10 @@ SELECT * REPLACE ('A' || name AS name) FROM raw_players WHERE ingested_at = '202
 """,
     RAW_PLAYERS,
 )
+ORACLES["interleaved_slice"] = sql(
+    "SELECT game_url, white_rating, end_time FROM raw_games WHERE end_time BETWEEN 1704931200 AND 1705017599",
+    RAW_GAMES,
+)
 ORACLES["clustered_slice"] = sql(
     """
 SELECT game_url, white_rating, end_time FROM raw_games

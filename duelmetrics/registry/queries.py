@@ -22,6 +22,7 @@ from duelmetrics.functions.text import (
     whole_number,
 )
 from duelmetrics.operators.coverage import coverage_gaps
+from duelmetrics.operators.interleave import spread_evenly
 from duelmetrics.operators.latest import latest_per_key
 from duelmetrics.operators.perspective import perspective
 from duelmetrics.operators.progression import (
@@ -674,6 +675,16 @@ def clustered_slice(spark, sf):
     return games.filter(chosen).select("game_url", "white_rating", "end_time")
 
 
+@query
+def interleaved_slice(spark, sf):
+    """A slice by time alone of a table whose files narrow down player, format and time."""
+    path = scratch_dir(spark, "interleaved")
+    games = _raw_games(spark, sf)
+    tables.replace_table(spread_evenly(games, ["username", "time_class", "end_time"]), path)
+    slice_ = F.col("end_time").between(1704931200, 1705017599)
+    return tables.read_table(spark, path).filter(slice_).select("game_url", "white_rating", "end_time")
+
+
 # --- data quality ------------------------------------------------------------
 
 

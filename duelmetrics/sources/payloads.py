@@ -26,6 +26,17 @@ def _with_corrupt(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
 
 
+def landing_order(path: Column, modified: Column) -> Column:
+    """What tells which of two payloads landed later.
+
+    First the date that a folder ``landed=<date>`` names, which a copy of the
+    landing zone keeps; then when the file was written, which it may not; then
+    its path.
+    """
+    day = F.regexp_extract(path, r"/landed=([^/]+)/", 1)
+    return F.struct(day.alias("day"), modified.alias("at"), path.alias("path"))
+
+
 def read_payloads(
     spark: SparkSession,
     paths: Paths,
@@ -41,8 +52,7 @@ def read_payloads(
     folder they lie in. A value of another type than declared reads as NULL and
     a line that is not JSON as NULLs; ``count_lines`` counts and
     ``rejected_lines`` lists both. With ``strict`` the first one ends the job.
-    ``timed`` adds ``landed``: when the payload's file was written, then its
-    path.
+    ``timed`` adds ``landed``, see ``landing_order``.
     """
     reader = spark.read.schema(schema).option("mode", "FAILFAST" if strict else "PERMISSIVE")
     if root is not None:
@@ -50,8 +60,8 @@ def read_payloads(
     rows = reader.json(_listed(paths))
     if not timed:
         return rows
-    at = F.struct(F.col("_metadata.file_modification_time"), F.col("_metadata.file_path"))
-    return rows.withColumn("landed", at)
+    order = landing_order(F.col("_metadata.file_path"), F.col("_metadata.file_modification_time"))
+    return rows.withColumn("landed", order)
 
 
 def read_archives(spark: SparkSession, paths: Paths, root: str | None = None) -> DataFrame:
@@ -116,7 +126,8 @@ def parsed_files(spark: SparkSession, files: Sequence[str], schema: T.StructType
     folders = [f for f in schema.fields if f.name in PARTITIONS]
     content = [f for f in schema.fields if f.name not in PARTITIONS]
     if not files:
-        landed = T.StructType([T.StructField("at", T.TimestampType()), T.StructField("path", T.StringType())])
+        order = [("day", T.StringType()), ("at", T.TimestampType()), ("path", T.StringType())]
+        landed = T.StructType([T.StructField(*f) for f in order])
         more = [("path", T.StringType()), ("line", T.StringType()), ("rejected", T.BooleanType()), ("landed", landed)]
         every = [*content, *folders, *[T.StructField(*f) for f in more]]
         return spark.createDataFrame([], T.StructType(every))
@@ -138,7 +149,7 @@ def parsed_files(spark: SparkSession, files: Sequence[str], schema: T.StructType
             "path",
             F.when(rejected, F.col("value")).alias("line"),
             rejected.alias("rejected"),
-            F.struct("at", "path").alias("landed"),
+            landing_order(F.col("path"), F.col("at")).alias("landed"),
         )
     )
 

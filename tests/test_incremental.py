@@ -7,6 +7,7 @@ import pytest
 from helpers import plan_of, raw_games, rows
 from pyspark.sql import functions as F
 
+from duelmetrics import jobs
 from duelmetrics.plans import incremental, pipeline
 from duelmetrics.plans.staging import game_facts, stage_games
 from duelmetrics.quality.checks import DataCheckFailed
@@ -242,6 +243,17 @@ def test_two_upserts_at_once(spark, tmp_path, monkeypatch):
     assert rows(tables.read_table(spark, path, RAW_GAMES), "game_url") == [("g1",), ("g2",)]
 
 
+def test_the_update_command(spark, tmp_path, capsys):
+    landed, root = f"{tmp_path}/landed", f"{tmp_path}/root"
+    first_day(landed)
+    arguments = ["update", "--landed", landed, "--root", root, "--players", "Ann", "--ingested-at"]
+    jobs.main([*arguments, "2025-02-01T00:00:00"], spark)
+    jobs.main([*arguments, "2025-02-02T00:00:00"], spark)
+    out = capsys.readouterr().out
+    assert "archives: 1 new files, 1 lines, 0 rejected" in out and "archives: 0 new files" in out
+    assert rows(pipeline.table(spark, root, "int_player_performance"), "username", "total_games") == [("ann", 20), ("ann", 20)]
+
+
 def test_nothing_landed(spark, tmp_path):
     root = f"{tmp_path}/root"
     done = incremental.run_update(spark, f"{tmp_path}/none", root, "2025-02-01T00:00:00")

@@ -8,6 +8,7 @@ from helpers import GAME, plan_of, raw_games, rows
 from pyspark.sql import functions as F
 
 from duelmetrics import jobs
+from duelmetrics.operators.interleave import spread_evenly
 from duelmetrics.plans import pipeline
 from duelmetrics.quality.checks import DataCheckFailed
 from duelmetrics.schemas import ARCHIVE, RAW_GAMES
@@ -340,6 +341,60 @@ def test_newest_payload_wins_though_ratings_fall(spark, tmp_path):
     assert rows(flat, "username", "title", "blitz_rating") == [("ann", "T2", 2800)]
 
 
+def test_a_copied_landing_zone_keeps_its_order(spark, tmp_path):
+    for day, written in (("2025-01-02", 100), ("2025-01-01", 900)):  # copied in another order than landed
+        for kind, line in (("profiles", {"title": day}), ("stats", {"chess_blitz": {"last": {"rating": int(day[-2:])}}})):
+            folder = f"{tmp_path}/{kind}/username=ann/landed={day}"
+            land(folder, line)
+            os.utime(f"{folder}/part.json", (written, written))
+    flat = payloads.flatten_players(
+        payloads.read_profiles(spark, f"{tmp_path}/profiles"), payloads.read_stats(spark, f"{tmp_path}/stats"), "now"
+    )
+    assert rows(flat, "username", "title", "blitz_rating") == [("ann", "2025-01-02", 2)]
+
+
+def row_groups_read(folder, column, low, high):
+    """Row groups whose statistics leave them in for a range of the column, and all of them."""
+    import pyarrow.parquet as pq
+
+    kept = total = 0
+    for name in os.listdir(folder):
+        if name.endswith(".parquet"):
+            meta = pq.read_metadata(f"{folder}/{name}")
+            at = meta.schema.names.index(column)
+            for k in range(meta.num_row_groups):
+                found = meta.row_group(k).column(at).statistics
+                kept += found.min <= high and found.max >= low
+                total += 1
+    return kept, total
+
+
+def test_interleaved_files_narrow_down_each_column(spark, tmp_path):
+    df = spark.range(40_000).select(
+        F.concat(F.lit("p"), (F.col("id") * 7919 % 100 + 100).cast("string")).alias("player"),
+        (F.col("id") * 104_729 % 86_400).alias("at"),
+        F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("f"), F.col("id") % 9)).alias("format"),
+        F.lit(None).cast("date").alias("never"),
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        spread_evenly(df, ["player", "at", "never"]).write.parquet(f"{tmp_path}/z")
+        tables.clustered(df, ["player", "at"]).write.parquet(f"{tmp_path}/sorted")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert spark.read.parquet(f"{tmp_path}/z").count() == 40_000
+    for column, low, high in (("at", 43_200, 45_000), ("player", "p150", "p152")):
+        kept, total = row_groups_read(f"{tmp_path}/z", column, low, high)
+        assert total >= 48 and kept <= 0.3 * total, (column, kept, total)
+    kept, total = row_groups_read(f"{tmp_path}/sorted", "at", 43_200, 45_000)
+    assert kept > 0.9 * total  # sorted by player first, time alone rules nothing out
+    assert spread_evenly(df.filter("false"), ["player", "at"]).count() == 0
+    assert spread_evenly(df, ["format"]).count() == 40_000
+
+
 def test_repair(spark, tmp_path):
     path = f"{tmp_path}/t"
     twice = raw_games(
