@@ -44,9 +44,13 @@ FINDING = f"(?:{HEADER}|{IN_URL}|{ASSIGNED}(?:{VALUE})|{LONG})"
 ALPHABET = string.ascii_letters + string.digits + string.punctuation
 #: Characters kept on each side.
 NEAR = 48
-#: A dictionary word has 3 to 8 letters and occurs in at least so many documents.
-WORD = r"(?<![a-z])[a-z]{3,8}+(?![a-z])"
-WORD_DOCS = 20
+#: A dictionary word has 4 to 8 letters (shorter ones cover much of any random run by chance) and occurs,
+#: outside of findings, in at least this share of the documents.
+SHORTEST, LONGEST = 4, 8
+WORD = rf"(?<![a-z])[a-z]{{{SHORTEST},{LONGEST}}}+(?![a-z])"
+WORD_SHARE = 0.0004
+#: A finding that has more than this share of all findings is joined with its features in slices.
+HOT_SHARE = 0.001
 #: Bound of the training sample: about so many findings of each label.
 ROWS_PER_LABEL = 20_000
 TREES, DEPTH, SEED = 24, 6, 17
@@ -101,14 +105,19 @@ def findings(df: DataFrame, id_column: str = "doc_id", path_column: str | None =
     )
 
 
-def dictionary(df: DataFrame, least_docs: int = WORD_DOCS) -> DataFrame:
-    """word and docs (documents that have it), over whole texts."""
-    words = F.array_distinct(F.regexp_extract_all(F.lower(text_or_empty()), F.lit(WORD), F.lit(0)))
+def dictionary(df: DataFrame, least_share: float = WORD_SHARE) -> DataFrame:
+    """word and docs (documents that have it), over whole texts without their findings.
+
+    Findings are left out, so that neither the copies of a secret nor many random tokens make their own
+    pieces into words. The least number of documents is a share of all, so a word is one at every size.
+    """
+    text = F.lower(F.regexp_replace(text_or_empty(), FINDING, " "))
+    words = F.array_distinct(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)))
     return (
         df.select(F.explode(words).alias("word"))
         .groupBy("word")
         .agg(F.count("*").alias("docs"))
-        .filter(F.col("docs") >= least_docs)
+        .filter(F.col("docs") >= least_share * df.count())
     )
 
 
@@ -138,12 +147,29 @@ def _share(pattern: str) -> Column:
     return F.regexp_count("finding", F.lit(pattern)) / F.char_length("finding")
 
 
+def _joined_in_slices(named: DataFrame, known: DataFrame, share: float = HOT_SHARE) -> DataFrame:
+    """``named`` with what is known of each distinct finding; copies of a frequent one meet it in many tasks.
+
+    At most 1 / share findings are frequent, so their list is bounded and broadcast. Each has a slice for
+    every ``share`` of all rows it has, and its features go to each of its slices.
+    """
+    least = max(1.0, named.count() * share)
+    counts = named.groupBy("of").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > least)
+    hot = cut(counts.select("of", F.ceil(F.col("n") / least).cast("int").alias("slices")))
+    sliced = named.join(F.broadcast(hot), "of", "left").withColumn(
+        "slice", F.coalesce(F.pmod(F.xxhash64("id", "start", "before"), F.col("slices")).cast("int"), F.lit(0))
+    )
+    every = F.sequence(F.lit(0), F.coalesce("slices", F.lit(1)) - 1)
+    repeated = known.join(F.broadcast(hot), "of", "left").withColumn("slice", F.explode(every))
+    return sliced.drop("slices").join(repeated.drop("slices"), ["of", "slice"], "left").drop("slice")
+
+
 def with_features(found: DataFrame, words: DataFrame, pairs: DataFrame) -> DataFrame:
     """Adds the FEATURES; findings that are equal share the lookups of letters and words."""
     n = F.char_length("finding")
     named = found.withColumn("of", F.sha2(F.col("finding").cast("binary"), 256))
     # long findings in pieces, each with the letters that a word beginning in it may still have
-    piece = F.lower(F.substring("finding", F.col("from"), F.lit(PIECE + 7)))
+    piece = F.lower(F.substring("finding", F.col("from"), F.lit(PIECE + LONGEST - 1)))
     pieces = (
         named.dropDuplicates(["of"])
         .select("of", "finding", F.explode(F.sequence(F.lit(1), n, F.lit(PIECE))).alias("from"))
@@ -169,16 +195,16 @@ def with_features(found: DataFrame, words: DataFrame, pairs: DataFrame) -> DataF
         F.filter(
             F.flatten(
                 F.transform(
-                    F.sequence(F.lit(1), F.least(size - 2, F.lit(PIECE))),
+                    F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(size - SHORTEST + 1, F.lit(PIECE)))),
                     lambda k: F.transform(
-                        F.sequence(F.lit(3), F.lit(8)),
+                        F.sequence(F.lit(SHORTEST), F.lit(LONGEST)),
                         lambda m: F.struct(
                             (F.col("from") + k - 1).alias("at"), F.substring("piece", k, m).alias("part")
                         ),
                     ),
                 )
             ),
-            lambda s: s["part"].rlike("^[a-z]{3,8}$"),
+            lambda s: s["part"].rlike(f"^[a-z]{{{SHORTEST},{LONGEST}}}$"),
         )
     ).alias("s")
     covered = (
@@ -231,7 +257,7 @@ def with_features(found: DataFrame, words: DataFrame, pairs: DataFrame) -> DataF
         "safe_path": F.lower("path").rlike(SAFE_PATHS) | last.rlike(rf"(?:{SAFE_PATHS})[\w./-]*$"),
         "alone": last.rlike(r"^\s*$") & after.rlike(r"^\s*(?:\n|$)"),
     }
-    return named.join(known, "of", "left").select(
+    return _joined_in_slices(named, known).select(
         "id", "path", "start", "finding", "before", "after",
         *[made[name].cast("double").alias(name) for name in FEATURES],
     )
@@ -242,11 +268,13 @@ def label_by_rules(featured: DataFrame) -> DataFrame:
     varied = F.col("entropy") >= F.least(F.lit(3.0), 0.8 * F.log2("length"))
     yes = (F.col("keyword") == 1) & (F.col("assigned") == 1) & varied & (F.col("safe_path") == 0)
     header = F.col("finding").rlike(f"^{HEADER}$") & (F.col("safe_path") == 0)
+    # a value with digits that is assigned to a secret word is no phrase, whatever words it happens to hold
+    named = (F.col("keyword") == 1) & (F.col("assigned") == 1) & (F.col("digits") > 0)
     no = (
         (F.col("digits") == 1)
         | (F.col("in_url") == 1)
         | (F.col("other_word") == 1)
-        | (F.col("coverage") >= 0.6)
+        | ((F.col("coverage") >= 0.6) & ~named)
         | ((F.col("slashes") >= 2) & (F.col("keyword") == 0))
     )
     return featured.withColumn("label", F.when(header, 1.0).when(no, 0.0).when(yes, 1.0))

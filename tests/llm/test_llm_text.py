@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 
@@ -321,6 +322,72 @@ def test_copies_of_a_finding_leave_its_label_a_sample(spark):
     assert right == len(rows)
 
 
+def test_copies_of_a_secret_stay_secrets(spark):
+    draw = random.Random(12)
+    token = lambda: "".join(draw.choices("abcdefghijkmnopqrstuvwxyz0123456789", k=32))
+    hot, others = token(), [token() for _ in range(60)]
+    rows = [(k, f'{prose(1, 30)} api_key = "{hot}" {prose(2, 30)}', "en", "src") for k in range(40)]
+    rows += [(100 + k, f"{prose(k, 40)} secret: {t} {prose(k + 300, 20)}", "en", "src") for k, t in enumerate(others)]
+    rows += [(200 + k, f"{prose(k, 40)} commit {token()} {prose(k + 300, 20)}", "en", "src") for k in range(60)]
+    rows += [(300 + k, f"{prose(k, 60)}", "en", "src") for k in range(200)]
+    got = found(secrets.scan(documents(spark, rows)))
+    assert sum(r["finding"] == hot for r in got) == 40
+    assert all(r["is_secret"] == (r["id"] < 200) for r in got) and len(got) == 160
+
+
+def test_many_random_tokens_make_no_words(spark):
+    """1 M tokens in documents of which some have a secret, as labels see them."""
+    letters = "abcdefghijklmnopqrstuvwxyz0123456789"
+    token = "concat_ws('', transform(sequence(1, 24), k -> substr('{0}', 1 + cast(pmod(xxhash64(id, t, k), 36) as int), 1)))"
+    text = "concat_ws(' ', transform(sequence(1, 250), t -> " + token.format(letters) + "), 'plain words between them')"
+    noise = spark.range(0, 4_000, 1, 8).selectExpr("id as doc_id", f"{text} as text", "'src' as source")
+    words = secrets.dictionary(noise).cache()
+    assert {r["word"] for r in words.select("word").collect()} == {"plain", "words", "between", "them"}
+    fresh = noise.limit(500).selectExpr("doc_id + 10000 as doc_id", "concat('api_key = \"', left(text, 24), 'x9\"') as text", "source")
+    featured = secrets.with_features(secrets.findings(fresh), words, secrets.transitions(words))
+    labels = [r["label"] for r in found(secrets.label_by_rules(featured))]
+    assert len(labels) == 500 and sum(x == 1.0 for x in labels) >= 475
+    words.unpersist()
+
+
+def test_transition_and_coverage_equal_plain_ones(spark):
+    draw = random.Random(13)
+    rows = [(k, prose(k % 30, 30) + " lost", "en", "src") for k in range(60)]
+    pieces = ["kanast", "lopo", "x9", "Mivem", "tonar", "-", "q", "sedi", "Q7", "zz"]
+    tokens = ["".join(draw.choices(pieces, k=draw.randint(4, 9))) for _ in range(60)] + ["a9" * 3_000 + "kanast" * 400]
+    tokens = [t for t in tokens if len(t) >= 16]
+    rows += [(100 + k, f"key {t} end", "en", "src") for k, t in enumerate(tokens)]
+    df = documents(spark, rows)
+    words = secrets.dictionary(df)
+    times = {}
+    for _, text, *_ in rows:
+        clean = re.sub(r"(?<=key )\S+", " ", text.lower())
+        for w in set(re.findall(r"(?<![a-z])[a-z]{4,8}(?![a-z])", clean)):
+            times[w] = times.get(w, 0) + 1
+    assert {r["word"]: r["docs"] for r in words.collect()} == times
+    pairs, first = {}, {}
+    for w, n in times.items():
+        for a, b in zip(w, w[1:]):
+            pairs[a + b] = pairs.get(a + b, 0) + n
+            first[a] = first.get(a, 0) + n
+    got = found(secrets.with_features(secrets.findings(df), words, secrets.transitions(words)))
+    assert {r["finding"] for r in got} == set(tokens)
+    for r in got:
+        low = r["finding"].lower()
+        logs = [math.log(pairs[low[k : k + 2]] / (first[low[k]] + 26)) if low[k : k + 2] in pairs else -7.0 for k in range(len(low) - 1)]
+        inside = {k + d for m in range(4, 9) for k in range(len(low) - m + 1) if low[k : k + m] in times for d in range(m)}
+        assert abs(r["transition"] - sum(logs) / len(logs)) < 1e-9
+        assert abs(r["coverage"] - len(inside) / len(low)) < 1e-12
+
+
+def test_a_hot_finding_meets_its_features_in_many_tasks(spark):
+    named = spark.range(30_000).selectExpr("id", "id as start", "'b' as before", "if(id % 3 = 0, 'hot', cast(id as string)) as of")
+    known = named.select("of").distinct().selectExpr("of", "length(of) as n")
+    joined = secrets._joined_in_slices(named, known, share=0.01)
+    assert joined.count() == 30_000 and joined.filter("n is null or n <> length(of)").count() == 0
+    assert joined.columns == ["of", "id", "start", "before", "n"]
+
+
 def test_secrets_awkward_rows(spark):
     df = documents(spark, [*awkward(), (60, "a1" * 100_000), (61, "a" * 100_000)], clash=True)
     got = found(secrets.secrets(df))
