@@ -15,6 +15,14 @@ from duelmetrics.llm.licence_texts import known
 
 #: Lines left out: a copyright mark behind comment marks at most.
 COPYRIGHT = r"^[^\p{L}\p{N}©]*(?:copyright\b|\(c\) ?[0-9]{4}|©|all rights reserved)"
+#: No copyright mark but a sentence of the terms, as line breaks place it: these words follow. Marks of a text's
+#: own publisher belong to the text too.
+TERMS = (
+    r"^[^\p{L}\p{N}©]*copyright(?:\s*[.,;/\"”]|\s+(?:notices?|holders?|owners?|owned|laws?|licen[cs]es?|licen[cs]ing|interests?|statements?"
+    r"|disclaimers?|permissions?|ownership|treat(?:y|ies)|protection|doctrines?|terms?|rights?|status|resulting|to|and|or|in|on|is|of|for|as"
+    r"|by (?:applicable|the following)|infringement|works?|material|permission|year|years|line|lines|under|that|which|may|can|applies|does|the software"
+    r"|law|act|legislation|related|if|the library)\b|\s*(?:\(c\)|©)?[\s0-9,-]*(?:<?year>?)?\s*(?:free software|<?name of author)|\s*(?:\(c\))?\s*$)"
+)
 #: Runs of anything but letters and digits.
 SEPARATORS = r"[^\p{L}\p{N}]+"
 # Spellings and what they are taken for, applied in this order to words between blanks.
@@ -30,18 +38,22 @@ SPELLINGS = [
     ("(?:version|v) ?([0-9]+)", "\\1"),
     ("https", "http"),
 ]
+#: Those of several words, which a line break may part, once more when lines are joined.
+PARTED = [s for s in SPELLINGS if " " in s[0]]
 SCOPES = ("text", "paragraph", "line")
 
 
+def _spelt(plain: Column, spellings: list[tuple[str, str]]) -> Column:
+    for spelling, taken_for in spellings:
+        plain = F.regexp_replace(plain, f" {spelling} ", f" {taken_for} ".replace("\\1", "$1"))
+    return plain
+
+
 def normal_line(line: Column) -> Column:
     """A line in canonical form; a copyright line is empty."""
     low = F.lower(line)
-    plain = F.concat(F.lit(" "), F.regexp_replace(low, SEPARATORS, " "), F.lit(" "))
-    for spelling, taken_for in SPELLINGS:
-        plain = F.regexp_replace(
-            plain, f" {spelling} ", f" {taken_for} ".replace("\\1", "$1")
-        )
-    return F.when(low.rlike(COPYRIGHT), F.lit("")).otherwise(
+    plain = _spelt(F.concat(F.lit(" "), F.regexp_replace(low, SEPARATORS, " "), F.lit(" ")), SPELLINGS)
+    return F.when(low.rlike(COPYRIGHT) & ~low.rlike(TERMS), F.lit("")).otherwise(
         F.regexp_replace(F.trim(plain), " +", " ")
     )
 
@@ -67,7 +79,8 @@ def licence_digests(spark: SparkSession, texts: list[tuple[str, str]] | None = N
 
 
 def _squeeze(joined: Column) -> Column:
-    return F.trim(F.regexp_replace(joined, r"[ \n]+", " "))
+    plain = F.concat(F.lit(" "), F.regexp_replace(joined, r"[ \n]+", " "), F.lit(" "))
+    return F.trim(F.regexp_replace(_spelt(plain, PARTED), " +", " "))
 
 
 def whole(text: Column) -> Column:
@@ -129,10 +142,13 @@ def oracle_sql() -> str:
     for spelling, taken_for in SPELLINGS:
         line = f"regexp_replace({line}, {_quoted(f' {spelling} ')}, {_quoted(f' {taken_for} ')}, 'g')"
     normal = (
-        f"CASE WHEN regexp_matches(lower(x), {_quoted(COPYRIGHT)}) THEN '' "
+        f"CASE WHEN regexp_matches(lower(x), {_quoted(COPYRIGHT)}) AND NOT regexp_matches(lower(x), {_quoted(TERMS)}) THEN '' "
         f"ELSE regexp_replace(trim({line}), ' +', ' ', 'g') END"
     )
-    squeeze = "trim(regexp_replace({}, '[ \\n]+', ' ', 'g'))".format
+    joined = "' ' || regexp_replace({}, '[ \\n]+', ' ', 'g') || ' '"
+    for spelling, taken_for in PARTED:
+        joined = f"regexp_replace({joined}, {_quoted(f' {spelling} ')}, {_quoted(f' {taken_for} ')}, 'g')"
+    squeeze = f"trim(regexp_replace({joined}, ' +', ' ', 'g'))".format
     lines = "regexp_split_to_array({}, '\\r?\\n|\\r')".format
     texts = ", ".join(f"({_quoted(a)}, {_quoted(b)})" for a, b in known())
     return f"""

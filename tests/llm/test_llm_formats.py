@@ -1,3 +1,4 @@
+import textwrap
 import base64
 import hashlib
 import os
@@ -12,6 +13,7 @@ import pytest
 from llm_helpers import awkward, documents, found, prose
 from pyspark.sql import functions as F
 
+from duelmetrics.llm.licence_texts import known
 from duelmetrics.llm import chat, licence_texts, license_scan, mixing, warc
 from duelmetrics.llm.registry import ORACLES
 
@@ -292,3 +294,20 @@ def test_conversations_read_back(spark):
     }
     assert [r["conv_id"] for r in found(chat.formatted_digests(df.filter("false")))] == [-7]
     assert parts.filter(F.size("token_ids") != F.size("loss_mask")).count() == 0
+
+
+def rewrapped(text, width):
+    paragraphs = [p for p in re.split(r"\n\s*\n", text) if p.strip()]
+    return "\n\n".join(textwrap.fill(" ".join(p.split()), width, break_long_words=False, break_on_hyphens=False) for p in paragraphs)
+
+
+def test_line_breaks_do_not_decide_on_a_licence(spark):
+    """Known texts at widths 40 to 120 and with a line a paragraph; one appendix is too wide for 40."""
+    widths = (40, 50, 60, 64, 68, 72, 80, 120, 1_000_000)
+    rows = [(n, rewrapped(t, w), name, w) for name, t in known() if len(t) >= 200 for n, w in enumerate(widths)]
+    docs = spark.createDataFrame([(k, r[1]) for k, r in enumerate(rows)], "doc_id bigint, text string").repartition(16)
+    got = {r["doc_id"] for r in license_scan.licences(docs).filter("scope = 'text'").collect()}
+    missed = {(rows[k][2], rows[k][3]) for k in range(len(rows)) if k not in got}
+    assert missed <= {("Apache-2.0", 40)}
+    kept = spark.createDataFrame([("copyright notice and this",), ("Copyright (c) 2020 Ann",), ("Copyright Ann Lee",), ("COPYRIGHT HOLDERS BE",)], "x string")
+    assert [r[0] for r in kept.select(license_scan.normal_line(F.col("x"))).collect()] == ["copyright notice and this", "", "", "copyright holders be"]
