@@ -14,6 +14,7 @@ was made from, and where that is not the one before the current, it is rebuilt.
 """
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,6 +33,7 @@ from duelmetrics.plans.pipeline import (
     raise_on_rejects,
     table,
     table_path,
+    write_all,
     write_rejects,
 )
 from duelmetrics.plans.staging import game_facts, stage_players
@@ -98,20 +100,25 @@ def load_new(
     both meet. A profile of the games that came is kept under ``ingested_at``, for
     ``drift_since``.
     """
-    found, staged = {}, {}
-    for source, schema in LANDING.items():
-        keep = payloads.selected(players, months, schema.names)
+
+    def parse(source: str) -> tuple[list, DataFrame, int, int]:
+        keep = payloads.selected(players, months, LANDING[source].names)
         there = path_exists(spark, f"{landed}/{source}")
-        new = _new_files(spark, landed, root, source, keep) if there else None
-        rows = new.collect() if new is not None else []
-        found[source] = [(source, r["path"], r["length"], r["modified"], ingested_at) for r in rows]
+        new = _new_files(spark, landed, root, source, keep).collect() if there else []
         path = scratch_dir(spark, source)
-        files = [r["path"] for r in rows]
-        payloads.parsed_files(spark, files, schema, f"{landed}/{source}").write.parquet(path)
-        staged[source] = spark.read.parquet(path)
-    counted = {s: df.agg(row_count(), F.count_if("rejected")).first() for s, df in staged.items()}
-    lines = {s: c[0] for s, c in counted.items()}
-    rejected = {s: c[1] for s, c in counted.items()}
+        files = [r["path"] for r in new]
+        payloads.parsed_files(spark, files, LANDING[source], f"{landed}/{source}").write.parquet(path)
+        rows = spark.read.parquet(path)
+        counted = rows.agg(row_count(), F.count_if("rejected")).first()
+        noted = [(source, r["path"], r["length"], r["modified"], ingested_at) for r in new]
+        return noted, rows, counted[0], counted[1]
+
+    with ThreadPoolExecutor(len(LANDING)) as pool:  # sources are independent and mostly small
+        parsed = dict(zip(LANDING, pool.map(parse, LANDING)))
+    found = {s: p[0] for s, p in parsed.items()}
+    staged = {s: p[1] for s, p in parsed.items()}
+    lines = {s: p[2] for s, p in parsed.items()}
+    rejected = {s: p[3] for s, p in parsed.items()}
     listed = [
         df.filter("rejected").select(F.lit(s).alias("source"), "path", "line")
         for s, df in staged.items()
@@ -362,8 +369,7 @@ def refresh_marts(
         "mart_opening_analysis": (openings_of(states[OPENING_STATES]), SERIES),
         "mart_elo_progression": (progression_of(states[DAY_STATES], grain), [*SERIES, "game_date"]),
     }
-    for name, (rows, order) in written.items():
-        replace_table(rows, table_path(root, name), order, gather=False)
+    write_all(root, written)
     stats = marts.player_stats(table(spark, root, "stg_players"), table(spark, root, "int_player_performance"))
     replace_table(stats, table_path(root, "mart_player_stats"), ["username"], gather=False)
     return months

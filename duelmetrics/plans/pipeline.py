@@ -215,7 +215,7 @@ def run_repair(spark: SparkSession, root: str) -> None:
     repair_table(spark, table_path(root, "raw_players"), ["username"], ["ingested_at"], ties)
 
 
-def _write_all(root: str, built: dict[str, tuple[DataFrame, Sequence[str]]]) -> None:
+def write_all(root: str, built: dict[str, tuple[DataFrame, Sequence[str]]]) -> None:
     """Write tables that do not depend on each other at the same time.
 
     One job alone rarely fills a cluster up to its last task.
@@ -256,10 +256,10 @@ def run_models(
     }
     if with_text:
         staged["stg_games"] = (stage_games(raw_games, **how, text_ties=True), [])
-    _write_all(root, staged)
+    write_all(root, staged)
     games, players = table(spark, root, "game_facts"), table(spark, root, "stg_players")
     series = ["username", "time_class"]
-    _write_all(
+    write_all(
         root,
         {
             "int_player_performance": (player_performance(games), series),
@@ -271,7 +271,7 @@ def run_models(
         },
     )
     performance = table(spark, root, "int_player_performance")
-    _write_all(
+    write_all(
         root, {"mart_player_stats": (marts.player_stats(players, performance), ["username"])}
     )
 
