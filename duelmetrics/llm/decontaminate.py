@@ -12,6 +12,10 @@ k = n (1 - s) / (1 + s) shingles are missing, and a changed word inside the item
 the longest unchanged run of its words has a known least length, and the window size is chosen such that
 every unchanged run of that length holds a whole window of the document, at distance 0. Words inserted or
 deleted before it move the start by k at most, so all starts within k are compared.
+
+Items of two to four words are one shingle of all their words, as in `near_dedup`. Within prose such a
+run is no evidence, so they are found where they are all the words of a line; items of one word where
+they are all the words of a document.
 """
 
 from __future__ import annotations
@@ -29,6 +33,7 @@ from pyspark.sql import types as T
 from duelmetrics.llm.common import (
     normal_bytes,
     shingle_hashes,
+    span_hashes,
     text_or_empty,
     word_hashes,
     word_spans,
@@ -115,16 +120,28 @@ def shifted_jaccard(have: np.ndarray, wanted: np.ndarray, first: int, last: int)
     return shared / (held + size - shared)
 
 
+def run_hashes(words: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """The one shingle of `size` words, fewer than five, from each start."""
+    if not len(starts):
+        return np.empty(0, dtype=np.uint64)
+    return shingle_hashes(words, size)[starts]
+
+
 class ItemIndex:
-    """Fingerprints of the windows of items, found by block."""
+    """Fingerprints of the windows of items, found by block, and the shingles of short items."""
 
     def __init__(self, items, radius: int, words: int, similarity: float):
         self.words, self.similarity, self.radius = words, similarity, radius
         self.items = []
+        self.short: dict = {}  # number of words -> shingle -> items
         prints: dict = defaultdict(list)
         for item_id, text in items:
             hashes = word_hashes(normal_bytes(text))
             if len(hashes) < words:
+                if len(hashes):
+                    one = shingle_hashes(hashes, words)
+                    self.short.setdefault(len(hashes), {}).setdefault(int(one[0]), []).append(len(self.items))
+                    self.items.append((item_id, one))
                 continue
             shingles = shingle_hashes(hashes, words)
             size, step = window_size(len(hashes), words, similarity)
@@ -149,6 +166,21 @@ class ItemIndex:
                 tables.append((order, first))
             self.classes.append((size, step, fingers, owner, offset, tables))
 
+    def short_matches(self, codes, starts, hashes) -> dict[int, list[tuple[int, int, float]]]:
+        """Short item -> places, given a text's bytes as numbers and the starts and hashes of its words."""
+        found: dict = defaultdict(list)
+        if not len(hashes):
+            return found
+        line = np.searchsorted(np.flatnonzero(codes == 10), starts)
+        firsts = np.flatnonzero(np.diff(line, prepend=-1))
+        counts = np.diff(firsts, append=len(line))
+        for size, known in self.short.items():
+            whole = firsts[counts == size] if size > 1 else np.zeros(int(len(hashes) == 1), dtype=np.int64)
+            for at, one in zip(whole.tolist(), run_hashes(hashes, whole, size).tolist()):
+                for item in known.get(one, ()):
+                    found[item].append((at, size - self.words + 1, 1.0))
+        return found
+
     def aligned(self, texts: list[np.ndarray]) -> dict[int, set[tuple[int, int]]]:
         """text -> (item, start) for each window of a text within the radius of an item's window."""
         found: dict = defaultdict(set)
@@ -224,16 +256,21 @@ def _search(known: ItemIndex, texts) -> Iterator[tuple[int, int, list]]:
     """(row, item, places) for each text of a batch and item that it holds."""
     at = 0
     while at < len(texts):
-        begin, some, total = at, [], 0
+        begin, some, total, short = at, [], 0, {}
         while at < len(texts) and total < 8 * STRETCH:
-            hashes = word_hashes(normal_bytes(texts[at].as_py()))
+            codes, starts, ends = word_spans(normal_bytes(texts[at].as_py()))
+            hashes = span_hashes(codes, starts, ends)
+            if known.short:
+                short[len(some)] = known.short_matches(codes, starts, hashes)
             enough = len(hashes) >= known.words
             some.append(shingle_hashes(hashes, known.words) if enough else hashes[:0])
             total += len(some[-1])
             at += 1
-        for k, aligned in sorted(known.aligned(some).items()):
-            for item, places in sorted(known.matches(some[k], aligned).items()):
-                yield begin + k, item, places
+        aligned = known.aligned(some) if known.classes else {}
+        for k in sorted(aligned.keys() | short.keys()):
+            places = known.matches(some[k], aligned[k]) if k in aligned else {}
+            for item, found in sorted({**places, **short.get(k, {})}.items()):
+                yield begin + k, item, found
 
 
 def _find(index, names: list[str]):
@@ -275,9 +312,13 @@ def _clean(index):
 
 
 def _slices(benchmark: DataFrame, slice_words: int) -> list[DataFrame]:
-    """The items in slices of a bounded number of words (one longer item is a slice of its own size)."""
+    """The items in slices of a bounded number of words (one longer item is a slice of its own size).
+
+    A word is put at four characters, and a character of three bytes, as scripts without blanks have, at one.
+    """
     items = benchmark.select("item_id", text_or_empty().alias("text"))
-    total = items.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
+    length = F.length("text")
+    total = items.agg(F.sum(length + 2 * (F.octet_length("text") - length)).alias("n")).first()["n"] or 0
     count = max(1, -(-int(total) // (slice_words * 4)))
     if count == 1:
         return [items]
@@ -307,8 +348,10 @@ def find_leaks(
     Returns the struct `row` (the key columns of docs, default doc_id), item_id, similarity and first
     and last word (exclusive) of its best place, and starts, the first words of all its places.
     Similarity is the weighted Jaccard of five-word shingles (lower case, punctuation apart) between
-    the item and as many words of the document. Items and documents of fewer than five words have no
-    shingle and match nothing; null is empty, items without item_id are left out. Repeated rows and
+    the item and as many words of the document; in scripts without blanks each character counts as a word.
+    Items of two to four words match lines of just these words, items of one word documents of just this
+    word, with similarity 1; items and documents without words match nothing. Null is empty, items without
+    item_id are left out. Repeated rows and
     repeated items give repeated results; of equal places the first is the best. The whole text of every document is searched.
     """
     key = key or ["doc_id"]

@@ -1,6 +1,6 @@
 """Near-duplicate detection with ProbMinHash.
 
-Shingles of five words, weighted by 1 + ln of how often a text has them, arrive in a Poisson process whose
+Shingles of five words (of five characters in scripts that set no blanks), weighted by 1 + ln of how often a text has them, arrive in a Poisson process whose
 rate is the weight; each arrival falls into one of `registers` registers, and the first one there stays. An
 element is followed only until its next arrival comes later than every register's. Two texts agree in
 a register with a probability equal to the probability Jaccard similarity of their weighted shingles.

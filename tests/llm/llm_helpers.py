@@ -1,6 +1,7 @@
 """Small documents with every awkward case, and brute-force versions."""
 
 import random
+import unicodedata
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 # names that operators use inside, as further columns of the input
@@ -24,6 +25,37 @@ def changed(text, places):
     return " ".join(words)
 
 
+#: Scripts without blanks: letters to draw from, by name.
+LETTERS = {
+    "Chinese": [chr(0x4E00 + 37 * k) for k in range(400)],
+    "Japanese": [chr(0x3042 + k) for k in range(80)] + [chr(0x5000 + 53 * k) for k in range(200)],
+    "Thai": [chr(0x0E01 + k) for k in range(46)] + [chr(0x0E48), chr(0x0E34)],
+}
+
+
+def unspaced(script, seed, count, stop="。"):
+    """So many letters of a script, with a stop after every 17."""
+    draw = random.Random(f"{script}{seed}")
+    return "".join(draw.choice(LETTERS[script]) + (stop if k % 17 == 16 else "") for k in range(count))
+
+
+def plain_words(text):
+    """The words of a text, character by character: an independent version of the operators' words."""
+    words, held = [], ""
+    for c in text.lower():
+        name = unicodedata.name(c, "")
+        alone = name.startswith(("CJK UNIFIED", "IDEOGRAPHIC", "HIRAGANA", "KATAKANA LETTER", "THAI CHARACTER", "KATAKANA-HIRAGANA"))
+        part = c.isalnum() if c < "\x80" else unicodedata.category(c)[0] not in "PZ" and c not in "\ufeff\u200b"
+        if held and (alone or not part):
+            words.append(held)
+            held = ""
+        if part and alone:
+            words.append(c)
+        elif part:
+            held += c
+    return [*words, held] if held else words
+
+
 def documents(spark, rows, clash=False):
     """rows: (doc_id, text[, lang[, source]])"""
     full = [(*r, *(None,) * (4 - len(r)))[:4] for r in rows]

@@ -4,11 +4,13 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pytest
-from llm_helpers import awkward, changed, documents, found, prose
+from hypothesis import given
+from hypothesis import strategies as st
+from llm_helpers import LETTERS, awkward, changed, documents, found, plain_words, prose, unspaced
 from pyspark.sql import functions as F
 
 from duelmetrics.llm import exact_dedup, near_dedup
-from duelmetrics.llm.common import normal_bytes, shingle_hashes, word_hashes
+from duelmetrics.llm.common import normal_bytes, shingle_hashes, word_hashes, word_spans
 
 
 @pytest.mark.parametrize("keep", ["largest", "smallest"])
@@ -195,8 +197,39 @@ def test_registers_estimate_probability_jaccard():
     assert (signs[0] == signs[3]).all() and (signs[2] == a[0]).all()
 
 
+#: Letters, blanks and marks of one to four bytes, with and without blanks between words.
+MIXED = "aZ9 .'\n\t\x00é\u00a0«»ßГд،שλ́…—“’\u200b\ufeff語のカー々。、！Ａกิ่한😀𠀀"
+
+
+@given(st.text(MIXED, max_size=60))
+def test_words_equal_those_found_character_by_character(text):
+    data = normal_bytes(text)
+    _, starts, ends = word_spans(data)
+    assert [data[a:b].decode() for a, b in zip(starts, ends)] == plain_words(text)
+
+
+@pytest.mark.parametrize("script", LETTERS)
+def test_near_copies_in_scripts_without_blanks(spark, script):
+    rows, n = [], 0
+    for group in range(10):
+        base = unspaced(script, group, 150)
+        for k in range(5):  # one letter more, others changed, other stops
+            text = base[: 20 * k] + "".join(LETTERS[script][j] for j in range(k)) + base[20 * k :]
+            rows += [(n, text), (n + 1, text.replace("。", "、"))]
+            n += 2
+    rows += [(n + k, unspaced(script, 500 + k, 90)) for k in range(30)]
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, w in ((i, plain_words(t)) for i, t in rows)}
+    linked = {
+        (a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    }
+    got = {r["doc_id"]: r["class_id"] for r in found(near_dedup.near_classes(documents(spark, rows)))}
+    assert got == brute_classes(rows)
+    assert len(linked) > 100 and all(got[a] == got[b] for a, b in linked)
+    assert all(got[n + k] == n + k for k in range(30))
+
+
 def test_words_and_shingles():
-    assert len(word_hashes(normal_bytes("Don't, stop! naïve 日本"))) == 5
+    assert len(word_hashes(normal_bytes("Don't, stop! naïve 日本"))) == 6
     assert (word_hashes(b"abc abc")[0]) == word_hashes(b"xx abc")[1]
     assert len(shingle_hashes(word_hashes(b"a b c"))) == 1
     assert len(shingle_hashes(word_hashes(b"a b c d e f"))) == 2

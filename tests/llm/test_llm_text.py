@@ -5,7 +5,7 @@ import re
 
 import numpy as np
 import pytest
-from llm_helpers import awkward, changed, documents, found, prose
+from llm_helpers import LETTERS, awkward, changed, documents, found, plain_words, prose, unspaced
 
 from duelmetrics.llm import decontaminate, language_id, pii, secrets
 from duelmetrics.llm.common import normal_bytes, shingle_hashes, word_hashes
@@ -124,6 +124,62 @@ def test_leaks_equal_brute_force(spark):
         assert r["first_word"] in r["starts"]
 
 
+@pytest.mark.parametrize("script", LETTERS)
+def test_leaks_in_scripts_without_blanks(spark, script):
+    items = [(k, unspaced(script, 100 + k, 12 + 9 * k)) for k in range(12)]
+    docs = []
+    for k, item in items:
+        other = item[: len(item) // 2] + LETTERS[script][0] + item[len(item) // 2 + 1 :]
+        for j, text in enumerate([item, item.replace("。", "，"), other]):
+            docs.append((3 * k + j, unspaced(script, 900 + 3 * k + j, 40) + text + unspaced(script, 300 + k, 25)))
+    docs += [(100 + k, unspaced(script, 700 + k, 80)) for k in range(20)]
+    got = found(
+        decontaminate.leaks(documents(spark, docs), spark.createDataFrame(items, "item_id bigint, text string"))
+    )
+    want = brute_leaks(docs, items)
+    assert {(r["doc_id"], r["item_id"]) for r in got} == want
+    assert {(3 * k + j, k) for k in range(12) for j in (0, 1)} <= want and max(d for d, _ in want) < 100
+    assert all(plain_words(dict(docs)[r["doc_id"]])[r["first_word"]] for r in got)
+
+
+def brute_short_leaks(docs, items):
+    """Items of one to four words: all words of a line, or with one word of the document."""
+    pairs = set()
+    for doc_id, text in docs:
+        lines = [plain_words(line) for line in (text or "").split("\n")]
+        for item_id, item in items:
+            want = plain_words(item)
+            if (len(want) == 1 and plain_words(text or "") == want) or (1 < len(want) < 5 and want in lines):
+                pairs.add((doc_id, item_id))
+    return pairs
+
+
+@pytest.mark.parametrize("slice_words", [1_000_000, 2])
+def test_short_items(spark, slice_words):
+    items = [(1, "What is 2+2?"), (2, "Paris"), (3, "法国首都"), (4, "法国"), (5, "..."), (6, "two words"), (7, "two words")]
+    docs = [
+        (1, "Quiz\n  what is 2 + 2\nFour"),
+        (2, "We asked what is 2+2 and more"),
+        (3, "Paris!"),
+        (4, "Paris is large\nParis\n"),
+        (5, f"{prose(1, 50)}\n法国首都？\r\n{prose(2, 50)}"),
+        (6, "法国"),
+        (7, "在法国首都"),
+        (8, "Two words\n\ntwo words"),
+        (9, ""),
+        (10, None),
+        (11, "..."),
+    ]
+    frame = spark.createDataFrame(items, "item_id bigint, text string")
+    df = documents(spark, docs)
+    got = found(decontaminate.find_leaks(df, frame, slice_words=slice_words).select("row.doc_id", "*"))
+    assert {(r["doc_id"], r["item_id"]) for r in got} == brute_short_leaks(docs, items)
+    places = {(r["doc_id"], r["item_id"]): (r["first_word"], r["end_word"], r["starts"], r["similarity"]) for r in got}
+    assert places[1, 1] == (1, 5, [1], 1.0) and places[8, 6] == places[8, 7] == (0, 2, [0, 2], 1.0)
+    kept = {r["doc_id"] for r in found(decontaminate.drop_leaks(df, frame, slice_words=slice_words))}
+    assert kept == {2, 4, 7, 9, 10, 11}
+
+
 def test_leaks_with_insertions_and_deletions(spark):
     items = [(k, prose(8000 + k, 200)) for k in range(12)]
     docs = []
