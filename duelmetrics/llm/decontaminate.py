@@ -69,18 +69,25 @@ def window_size(length: int, words: int = WORDS, similarity: float = SIMILARITY)
     return best
 
 
-def bit_sums(shingles: np.ndarray) -> np.ndarray:
-    """Running sums of each of the 64 hash bits."""
+def bit_sums(shingles: np.ndarray, most: int) -> np.ndarray:
+    """Running sums of each of the 64 hash bits, for windows of at most `most` shingles.
+
+    Sums of eight bits share a number, a byte each. They overflow into each other, but the difference of
+    two numbers is that of the sums, byte by byte, if no window counts more than a byte holds.
+    """
     bits = np.unpackbits(shingles.view(np.uint8).reshape(-1, 8), axis=1)
-    sums = np.zeros((len(shingles) + 1, 64), dtype=np.int32)
-    np.cumsum(bits, axis=0, dtype=np.int32, out=sums[1:])
+    bits = bits.view(np.uint64) if most < 256 else bits.astype(np.int32)
+    sums = np.zeros((len(bits) + 1, bits.shape[1]), dtype=bits.dtype)
+    np.cumsum(bits, axis=0, out=sums[1:])
     return sums
 
 
 def simhashes(sums: np.ndarray, size: int, starts: np.ndarray) -> np.ndarray:
     """SimHash of `size` neighbouring shingles from each start; a shingle weighs as often as it occurs."""
     votes = sums[starts + size] - sums[starts]
-    return np.packbits(2 * votes >= size, axis=1).view(np.uint64).ravel()
+    if votes.dtype == np.uint64:
+        votes = votes.view(np.uint8)
+    return np.packbits(votes >= (size + 1) // 2, axis=1).view(np.uint64).ravel()
 
 
 def weighted_jaccard(a: np.ndarray, b: np.ndarray) -> float:
@@ -147,7 +154,7 @@ class ItemIndex:
             size, step = window_size(len(hashes), words, similarity)
             span = size - words + 1
             offsets = np.arange(len(shingles) - span + 1)
-            prints[size, step].append((len(self.items), offsets, simhashes(bit_sums(shingles), span, offsets)))
+            prints[size, step].append((len(self.items), offsets, simhashes(bit_sums(shingles, span), span, offsets)))
             self.items.append((item_id, shingles))
         edges = np.linspace(0, 64, radius + 2).astype(int)
         self.blocks = [
@@ -205,7 +212,8 @@ class ItemIndex:
         begins = np.array([b for _, b, _ in group])
         lengths = np.array([len(s) for _, _, s in group])
         firsts = np.cumsum(lengths) - lengths
-        sums = bit_sums(np.concatenate([s for _, _, s in group]))
+        most = max(size - self.words + 1 for size, *_ in self.classes)
+        sums = bit_sums(np.concatenate([s for _, _, s in group]), most)
         for size, step, fingers, owner, offset, tables in self.classes:
             span = size - self.words + 1
             windows = np.maximum(0, (lengths - span) // step + 1)

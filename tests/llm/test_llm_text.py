@@ -201,6 +201,19 @@ def test_shifted_similarity_equals_each_comparison():
             assert score == decontaminate.weighted_jaccard(piece, wanted)
 
 
+@pytest.mark.parametrize("size", [1, 2, 29, 254, 255, 256, 300])
+def test_fingerprints_equal_counted_bits(size):
+    draw = np.random.default_rng(size)
+    shingles = draw.integers(0, 2**64, 900, dtype=np.uint64)
+    shingles[100:700] = shingles[0]  # counts as high as the window
+    starts = np.arange(len(shingles) - size + 1)
+    got = decontaminate.simhashes(decontaminate.bit_sums(shingles, size), size, starts)
+    for at in range(0, len(starts), 37):
+        window = [int(x) for x in shingles[at : at + size]]
+        want = [2 * sum(x >> bit & 1 for x in window) >= size for bit in range(64)]
+        assert [int(got[at]) >> bit & 1 for bit in range(64)] == want
+
+
 def test_slices_of_the_benchmark_give_the_same(spark):
     items = spark.createDataFrame([(k, prose(k, 25)) for k in range(30)], "item_id bigint, text string")
     docs = documents(spark, [(k, f"{prose(k + 99, 20)} {prose(k, 25)}") for k in range(40)])
