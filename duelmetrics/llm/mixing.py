@@ -2,13 +2,15 @@
 
 Every document queues behind the documents of its source in a shuffled order; a source's queue is
 served twice at most. A document's virtual finish time is the number of words its source has sent by
-then, divided by the source's weight. The mix is everything in order of virtual time up to the moment
-at which the total budget is spent; the document in service at that moment is taken in part. That
-moment follows from the sources' totals alone, so no global running sum is needed.
+then, divided by the source's weight. All sends of all sources are range-sorted by finish time and the
+queue is cut at the moment at which the total budget is spent: totals per range tell the range in which
+that is, a running sum within it tells where. What has finished by then is taken whole, the document of
+each source that is in service at that moment in part.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -21,8 +23,12 @@ SHARE = 1.5
 REPEATS = 2
 #: Documents per slice of a source's queue; slices are summed side by side.
 SLICE_ROWS = 20_000
-#: Bits of the first order column; its leading bits name the slice.
+#: Bits of the order columns; the leading bits of the first name the slice.
 ORDER_BITS = 60
+#: The first order column of all rows without doc_id; the second column cuts their slice.
+UNNAMED_ORDER = int(hashlib.md5(b"mix:null").hexdigest()[: ORDER_BITS // 4], 16)
+#: Share of the budget by which sums of floats may be off.
+ROUNDING = 1e-9
 
 
 def word_count(column: str = "text") -> Column:
@@ -85,7 +91,7 @@ def source_targets(
 
 
 #: A slice of a queue, in keys without null.
-_QUEUE = ["queue_name", "queue_unnamed", "slice"]
+_QUEUE = ["queue_name", "queue_unnamed", "slice", "cell"]
 
 
 def _with_queue(df: DataFrame, source: str) -> DataFrame:
@@ -97,6 +103,99 @@ def _with_queue(df: DataFrame, source: str) -> DataFrame:
     )
 
 
+def _with_slice(df: DataFrame, bits: int) -> DataFrame:
+    """Adds slice and cell, which follow the queue's order; rows without doc_id spread over 2^bits cells."""
+    shift, order = ORDER_BITS - bits, F.col("order0")
+    cell = F.lit(-1)
+    if "order1" in df.columns:
+        cell = (
+            F.when(order < UNNAMED_ORDER, F.lit(-1))
+            .when(order > UNNAMED_ORDER, F.lit(1 << bits))
+            .otherwise(F.shiftright("order1", shift))
+        )
+    return df.withColumns({"slice": F.shiftright("order0", shift), "cell": cell.cast("long")})
+
+
+def _with_sent(df: DataFrame, starts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Adds total, weight and target of the source, and sent: its words up to and with this row.
+
+    The running sums and the join with the slices' starts share one shuffle of the rows.
+    """
+    within = (
+        Window.partitionBy(*_QUEUE)
+        .orderBy(*keys)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    return (
+        _with_queue(df, "source")
+        .withColumn("sent", F.sum("size").over(within))
+        .join(starts, _QUEUE)
+        .withColumn("sent", F.col("start") + F.col("sent"))
+    )
+
+
+def sends(queued: DataFrame, repeats: int) -> DataFrame:
+    """The global queue, range-sorted: finish and part (number of the range) of each send of a document.
+
+    The last send of a source also carries the source's weight and all the words it can send, which are
+    0 elsewhere. Documents without words are never sent.
+    """
+    last = (F.col("sent") == F.col("total")) & (F.col("copy") == repeats - 1)
+    return (
+        queued.filter("size > 0")
+        .withColumn("copy", F.explode(F.array(*[F.lit(k).cast("long") for k in range(repeats)])))
+        .select(
+            ((F.col("sent") + F.col("copy") * F.col("total")) / F.col("weight")).alias("finish"),
+            "order0",
+            F.when(last, F.col("weight")).otherwise(0.0).alias("closes"),
+            F.when(last, F.col("total") * repeats).otherwise(0).cast("long").alias("closed_words"),
+        )
+        .repartitionByRange("finish", "order0")
+        .sortWithinPartitions("finish", "order0")
+        .withColumn("part", F.spark_partition_id())
+    )
+
+
+def spent_at(queue: DataFrame, budget: float, weight: float) -> float:
+    """The virtual time at which the sources have sent `budget` words, from the sorted queue.
+
+    weight: of all sources. Until a source's last send the sources together send as many words per unit
+    of time as their weights add up to; the words of a source that has closed are known. So the words sent
+    by the end of a range follow from running sums over the ranges (a row each), and within the range in
+    which the budget is spent from running sums over its rows. The driver sees two ranges and the time. A
+    budget above all that can be sent is spent at the last finish; an empty queue gives 0.
+    """
+    so_far = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranges = (
+        queue.groupBy("part")
+        .agg(F.max("finish").alias("finish"), F.sum("closes").alias("w"), F.sum("closed_words").alias("n"))
+        .withColumns({"closes": F.sum("w").over(so_far), "words": F.sum("n").over(so_far)})
+        .withColumn("spent", F.col("words") + F.col("finish") * (F.lit(weight) - F.col("closes")))
+    )
+    # floats may place a budget that ends with a range on either side of its end
+    near = ranges.filter(F.col("spent") >= budget * (1 - ROUNDING)).orderBy("part").limit(2).collect()
+    if near:
+        before = Window.partitionBy("part").orderBy("finish", "order0").rowsBetween(
+            Window.unboundedPreceding, -1
+        )
+        first = {r["part"]: (r["closes"] - r["w"], r["words"] - r["n"]) for r in near}
+        closes, words = (
+            F.coalesce(*[F.when(F.col("part") == p, F.lit(v[k])) for p, v in first.items()])
+            + F.coalesce(F.sum(c).over(before), F.lit(0))
+            for k, c in enumerate(("closes", "closed_words"))
+        )
+        found = (
+            queue.filter(F.col("part").isin(list(first)))
+            .withColumn("moment", (F.lit(float(budget)) - words) / (F.lit(weight) - closes))
+            .filter("moment <= finish")
+            .agg(F.min(F.struct("finish", "order0", "moment")).alias("first"))
+            .first()["first"]
+        )
+        if found is not None:
+            return found["moment"]
+    return queue.agg(F.max("finish")).first()[0] or 0.0
+
+
 def mix(
     df: DataFrame,
     source_column: str = "source",
@@ -114,7 +213,8 @@ def mix(
     target, finish (virtual time at which the first copy has been sent) and taken (words of all copies).
     Rows are range-sorted by finish. Null sources form one source of their own; sizes of 0 are never
     taken; an empty table gives an empty mix. Rows equal in every order column may change places, which
-    changes no count of theirs in total.
+    changes no count of theirs in total; only such rows (without doc_id and of one text, or repeating
+    both) can't be spread over slices.
     """
     order_by = order_by or shuffled_order()
     rows = df.select(
@@ -124,60 +224,54 @@ def mix(
         *[c.alias(f"order{k}") for k, c in enumerate(order_by)],
     )
     keys = [f"order{k}" for k in range(len(order_by))]
+    narrow = cut(rows.drop("row"))
     counted = cut(
-        rows.groupBy("source", F.shiftright("order0", ORDER_BITS - 8).alias("top"))
+        _with_slice(narrow, 8).groupBy("source", "slice", "cell")
         .agg(F.count("*").alias("rows"), F.sum("size").alias("words"))
     )
-    totals = counted.groupBy("source").agg(
-        F.sum("words").alias("total"), F.sum("rows").alias("rows")
-    )
-    targets = source_targets(totals.select("source", "total"), weights, share, repeats)
+    totals = counted.groupBy("source").agg(F.sum("words").alias("total"))
+    targets = cut(source_targets(totals, weights, share, repeats))
     # slices of a queue: more of them for larger sources, each a range of the shuffled order
     largest = counted.agg(F.max("rows")).first()[0] or 0
     bits = min(24, 8 + max(0, (int(largest) // slice_rows).bit_length()))
-    sliced = rows.withColumn("slice", F.shiftright("order0", ORDER_BITS - bits))
     sums = (
-        counted.select("source", F.col("top").alias("slice"), "words")
+        counted
         if bits == 8
-        else sliced.groupBy("source", "slice").agg(F.sum("size").alias("words"))
+        else _with_slice(narrow, bits).groupBy("source", "slice", "cell").agg(F.sum("size").alias("words"))
     )
     earlier = (
-        Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("source")
+        .orderBy("slice", "cell")
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
     starts = sums.withColumn("start", F.coalesce(F.sum("words").over(earlier), F.lit(0))).join(
         targets.withColumnRenamed("source", "named"), F.col("source").eqNullSafe(F.col("named"))
     )
     starts = cut(_with_queue(starts, "source").select(*_QUEUE, "start", "total", "weight", "target"))
-    # the sums and the join share one shuffle of the rows
-    within = (
-        Window.partitionBy(*_QUEUE)
-        .orderBy(*keys)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    queued = (
-        _with_queue(sliced, "source")
-        .withColumn("sent", F.sum("size").over(within))
-        .join(starts, _QUEUE)
-    )
-    sent = F.col("start") + F.col("sent")
-    words = F.round("target").cast("long")
+    queue = cut(sends(_with_sent(_with_slice(narrow, bits), starts, keys), repeats))
+    whole = targets.agg(F.sum("total").alias("words"), F.sum("weight").alias("weight")).first()
+    moment = spent_at(queue, (whole["words"] or 0) * float(share), whole["weight"] or 0.0)
+    # words of the source that are sent by then; a send is taken as far as it lies before
+    words = F.round(F.least(F.col("weight") * moment, (F.col("total") * repeats).cast("double"))).cast("long")
     taken = sum(
         (
             F.greatest(
                 F.lit(0),
-                F.least(F.col("size"), words - (sent - F.col("size")) - F.col("total") * copy),
+                F.least(
+                    F.col("size"), words - (F.col("sent") - F.col("size")) - F.col("total") * copy
+                ),
             )
             for copy in range(repeats)
         ),
         F.lit(0),
     )
-    served = queued.select(
+    served = _with_sent(_with_slice(rows, bits), starts, keys).select(
         "row",
         "size",
         F.col("total").alias("source_size"),
         "target",
         taken.cast("long").alias("taken"),
-        (sent / F.col("weight")).alias("finish"),
+        (F.col("sent") / F.col("weight")).alias("finish"),
         *keys,
     )
     return (
@@ -202,10 +296,20 @@ def mix_counts(df: DataFrame) -> DataFrame:
 
 
 def take_mix(df: DataFrame) -> DataFrame:
-    """The documents that the mix takes, with their columns and size, source_size, target, taken, finish."""
+    """The documents that the mix takes, with all their columns and size, source_size, target, taken, finish.
+
+    An added column whose name a document's column has (in any case) gets as many `mix_` before it as needed.
+    """
     mixed = mix(df).filter("taken > 0")
-    added = ("size", "source_size", "target", "taken", "finish")
+    used = {c.lower() for c in df.columns}
+    names = {}
+    for c in ("size", "source_size", "target", "taken", "finish"):
+        name = c
+        while name in used:
+            name = f"mix_{name}"
+        used.add(name)
+        names[c] = name
     return mixed.select(
-        *[F.col("row")[c].alias(c) for c in df.columns if c not in added],
-        *added,
+        *[F.col("row")[c].alias(c) for c in df.columns],
+        *[F.col(c).alias(name) for c, name in names.items()],
     )

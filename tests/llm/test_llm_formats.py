@@ -77,6 +77,78 @@ def test_slices_of_a_queue_give_the_same_mix(spark):
     assert one == many
 
 
+def test_mix_equals_its_sql(spark):
+    draw = random.Random(11)
+    names = ["a", "b", "c", "d", None]
+    rows = [
+        (None if k % 4 == 0 else k, prose(k, draw.choice([0, 1, 9, 70])), "en", "hot" if k % 3 else draw.choice(names))
+        for k in range(900)
+    ]
+    got = found(mixing.mix_counts(documents(spark, rows)))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, lang VARCHAR, source VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?, ?)", rows)
+    cursor = con.execute(ORACLES["op7_mixing"])
+    names = [d[0] for d in cursor.description]
+    want = [dict(zip(names, row)) for row in cursor.fetchall()]
+    key = lambda r: (str(r["doc_id"]), r["finish"], r["size"], r["taken"])
+    assert sorted(map(key, got)) == sorted(map(key, want))
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_the_sorted_queue_tells_when_the_budget_is_spent(spark, seed):
+    """Against serving the sources step by step, from one send to the next."""
+    draw = random.Random(seed)
+    sources = [
+        (float(draw.choice([1, 2, 5])), [draw.randint(1, 40) for _ in range(draw.choice([1, 5, 60]))]) for _ in range(7)
+    ]
+    rows = []
+    for s, (weight, sizes) in enumerate(sources):
+        for k in range(len(sizes)):
+            rows.append((s, s * 1000 + k, sizes[k], sum(sizes[: k + 1]), sum(sizes), weight))
+    df = spark.createDataFrame(rows, "source int, order0 long, size long, sent long, total long, weight double")
+    queue = mixing.cut(mixing.sends(df.repartition(5), 2))
+    events = sorted({(r[3] + c * r[4]) / r[5] for r in rows for c in (0, 1)})
+    full = sum(2 * sum(sizes) for _, sizes in sources)
+    for budget in (0.0, 1.0, full * 0.3, full * 0.75, full - 1.0, float(full), full + 9.0):
+        served, at = 0.0, 0.0
+        for event in events:
+            rate = sum(w for w, sizes in sources if 2 * sum(sizes) / w > at)
+            if served + rate * (event - at) >= budget - 1e-9:
+                at += (budget - served) / rate
+                break
+            served, at = served + rate * (event - at), event
+        weight = sum(w for w, _ in sources)
+        assert mixing.spent_at(queue, budget, weight) == pytest.approx(at, abs=1e-9)
+    assert mixing.spent_at(queue.filter("false"), 5.0, 1.0) == 0.0
+
+
+def test_the_sort_feeds_the_cut(spark):
+    df = documents(spark, [(k, "a b", "en", f"s{k % 3}") for k in range(50)])
+    narrow = df.selectExpr(
+        "source", "2L as size", "doc_id as order0", "2L as sent", "50L as total", "1.0D as weight"
+    )
+    plan = mixing.sends(narrow, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning(finish" in plan and "Sort [finish" in plan
+
+
+def test_rows_without_id_spread_over_slices(spark):
+    df = spark.range(100_000).selectExpr("cast(null as bigint) as doc_id", "concat('w', id, ' v') as text", "'x' as source")
+    placed = mixing._with_slice(df.select(*[c.alias(f"order{k}") for k, c in enumerate(mixing.shuffled_order())]), 8)
+    sizes = [r["count"] for r in placed.groupBy("slice", "cell").count().collect()]
+    assert len(sizes) == 256 and max(sizes) < 600
+    got = mixing.mix_counts(df).agg(F.sum("taken").alias("taken"), F.max("taken").alias("most"), F.count("*").alias("n"))
+    assert got.first().asDict() == {"taken": 300_000, "most": 4, "n": 100_000}
+
+
+def test_mix_keeps_columns_with_names_of_its_own(spark):
+    df = documents(spark, [(k, "a b c") for k in range(20)]).selectExpr("*", "'mine' as Taken", "7 as mix_taken", "1 as finish")
+    left = mixing.take_mix(df)
+    assert left.columns == [*df.columns, "size", "source_size", "target", "mix_mix_taken", "mix_finish"]
+    assert {(r["Taken"], r["mix_taken"], r["finish"]) for r in found(left)} == {("mine", 7, 1)}
+    assert sum(r["mix_mix_taken"] for r in found(left)) == 90
+
+
 def test_mix_plan_has_no_python_and_no_cross_join(spark):
     plan = mixing.mix_counts(documents(spark, awkward()))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
