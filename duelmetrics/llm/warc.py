@@ -1,31 +1,42 @@
 """WARC archives with revisit records.
 
 Headers are shuffled by payload digest, records whose payload another record holds are joined to that
-original response, and the deduplicated archives are written with fresh headers. Spark's own text writer
-makes the files (a record ends with two line breaks, which is the writer's line separator), so they go to
-any file system Spark can write, and a task that is run again leaves no part of a file.
+original response, and the deduplicated archives are written with fresh headers. Reading back joins
+revisits to responses by record id.
+
+Each record is a gzip member of its own, so tools can seek in an archive. Spark's own text writer makes
+the files, so they go to any file system Spark can write, and a task that is run again leaves no part of a
+file. The writer ends each value with a separator that can't be empty: a member ends with its length, whose
+last byte is 0 below 16 MB, so that byte is the separator; a longer record is followed by an empty member.
 """
 
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from duelmetrics.llm.common import cut, text_or_empty
 from duelmetrics.sources.scratch import scratch_dir
 
 VERSION = "WARC/1.1"
+#: A gzip member without content.
+EMPTY_MEMBER = gzip.compress(b"", mtime=0)
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END = "\r\n\r\n"
-#: Payload bytes of one archive file, about; a reader holds one file at a time.
-FILE_BYTES = 16 << 20
+#: Bytes of one archive file, or one record if that is longer; a reader holds one file at a time.
+FILE_BYTES = 64 << 20
+#: Parts over which the records of one payload are spread in joins.
+SPREAD = 64
+#: Rows of one batch of read or written records.
+BATCH_ROWS = 500
 
 
 def record_id(page_id, digest: str, copy: int) -> str:
@@ -37,6 +48,17 @@ def base32(hexadecimal: str) -> str:
     return base64.b32encode(bytes.fromhex(hexadecimal)).decode()
 
 
+def spread_join(rows: DataFrame, lookup: DataFrame, keys: list[str], by: str) -> DataFrame:
+    """Left join of rows with lookup (one row per key), where one key may hold most of the rows.
+
+    Rows of a key are spread by a hash of column `by`; lookup rows are repeated for the parts that occur.
+    """
+    part = F.pmod(F.xxhash64(by), F.lit(SPREAD)).alias("part")
+    rows = rows.select("*", part)
+    parts = rows.select(*keys, "part").distinct().join(lookup, keys)
+    return rows.join(parts, [*keys, "part"], "left").drop("part")
+
+
 def page_headers(rows: DataFrame) -> DataFrame:
     """page_id, url, and SHA-1, length and a second digest of the payload; key names page and payload."""
     payload = F.col("html").cast("binary")
@@ -60,48 +82,64 @@ def resolve(headers: DataFrame, least_bytes: int = 0) -> DataFrame:
     originals = pages.filter(F.col("bytes") >= least_bytes).groupBy(*payload).agg(
         F.max(named).alias("original"), F.sum("copies").alias("records")
     )
-    small = F.col("o.original").isNull()
-    return pages.alias("p").join(
-        originals.alias("o"), [F.col(f"p.{c}") == F.col(f"o.{c}") for c in payload], "left"
-    ).select(
-        F.col("p.key").alias("of_key"),
-        F.when(small, F.lit(1)).otherwise(F.col("o.records")).alias("records"),
-        (small | (F.col("p.key") == F.col("o.original.key"))).alias("is_original"),
-        "o.original.page_id",
-        "o.original.url",
-    ).withColumnsRenamed({"page_id": "original_id", "url": "original_url"})
-
-
-def _records(date: str):
+    small = F.col("original").isNull()
+    return spread_join(pages, originals, payload, by="key").select(
+        F.col("key").alias("of_key"),
+        F.when(small, F.lit(1)).otherwise(F.col("records")).alias("records"),
+        (small | (F.col("key") == F.col("original.key"))).alias("is_original"),
+        F.col("original.page_id").alias("original_id"),
+        F.col("original.url").alias("original_url"),
+    )
+
+
+def _member(record: bytes) -> bytes:
+    """The record as a gzip member, less the last byte, which is 0."""
+    member = gzip.compress(record, 6, mtime=0)
+    return (member if member[-1] == 0 else member + EMPTY_MEMBER)[:-1]
+
+
+def _record(r: dict) -> bytes:
+    payload = r["html"].encode()
+    digest = base32(r["sha1"])
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}{END}".encode()
+    head = [
+        VERSION,
+        f"WARC-Type: {'revisit' if r['revisit'] else 'response'}",
+        f"WARC-Record-ID: {record_id(r['page_id'], digest, r['copy'])}",
+        f"WARC-Date: {_line(r['date'])}",
+        f"WARC-Target-URI: {_line(r['url'])}",
+        f"WARC-Payload-Digest: sha1:{digest}",
+        f"X-Page-ID: {'' if r['page_id'] is None else r['page_id']}",
+    ]
+    if r["revisit"]:
+        head += [
+            f"WARC-Profile: {PROFILE}",
+            f"WARC-Refers-To: {record_id(r['original_id'], digest, 0)}",
+            f"WARC-Refers-To-Target-URI: {_line(r['original_url'])}",
+        ]
+    block = http if r["revisit"] else http + payload
+    head += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
+    return "\r\n".join(head).encode() + END.encode() + block + END.encode()
+
+
+def _members(file_bytes: int):
+    """Records as gzip members, and the number of the task's file that each goes to."""
+
     def render(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, file = 0, 0
         for batch in batches:
-            out = []
-            for r in batch.to_pylist():
-                payload = r["html"].encode()
-                http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}{END}"
-                revisit, digest = r["revisit"], base32(r["sha1"])
-                block = http if revisit else http + r["html"]
-                size = len(http) + (0 if revisit else len(payload))
-                head = [
-                    VERSION,
-                    f"WARC-Type: {'revisit' if revisit else 'response'}",
-                    f"WARC-Record-ID: {record_id(r['page_id'], digest, r['copy'])}",
-                    f"WARC-Date: {date}",
-                    f"WARC-Target-URI: {_line(r['url'])}",
-                    f"WARC-Payload-Digest: sha1:{digest}",
-                    f"X-Page-ID: {'' if r['page_id'] is None else r['page_id']}",
-                    f"X-Payload-Length: {len(payload)}",
-                ]
-                if revisit:
-                    head += [
-                        f"WARC-Profile: {PROFILE}",
-                        f"WARC-Refers-To: {record_id(r['original_id'], digest, 0)}",
-                        f"WARC-Refers-To-Target-URI: {_line(r['original_url'])}",
-                        f"X-Refers-To-Page-ID: {'' if r['original_id'] is None else r['original_id']}",
-                    ]
-                head += ["Content-Type: application/http; msgtype=response", f"Content-Length: {size}"]
-                out.append("\r\n".join(head) + END + block)
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
+            for begin in range(0, batch.num_rows, BATCH_ROWS):
+                members, files = [], []
+                for r in batch.slice(begin, BATCH_ROWS).to_pylist():
+                    members.append(_member(_record(r)))
+                    size = len(members[-1]) + 1
+                    if held and held + size > file_bytes:
+                        held, file = 0, file + 1
+                    held += size
+                    files.append(file)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(members, pa.binary()), pa.array(files, pa.int32())], names=["member", "file"]
+                )
 
     return render
 
@@ -115,56 +153,96 @@ def write_archives(
     pages: DataFrame,
     path: str,
     least_bytes: int = 0,
-    date: str = "2025-01-01T00:00:00Z",
+    date: str | Column = "2025-01-01T00:00:00Z",
     file_bytes: int = FILE_BYTES,
 ) -> None:
     """Write a record per row of pages (page_id, url, html) to gzip archives in the folder `path`.
 
     Null html is an empty payload, a null url an empty target. Payloads are UTF-8. Rows that repeat a
-    page_id with the same payload are copies of it, of which one can be the response. An empty table
-    writes archives without records.
+    page_id with the same payload are copies of it, of which one can be the response. date: of the records,
+    a text or a column of pages. The payloads are shuffled once, over as many partitions as the session
+    sets; a task starts another file when one holds `file_bytes`. An empty table writes no archive.
     """
-    rows = pages.select("page_id", F.col("url").cast("string").alias("url"), text_or_empty("html").alias("html"))
-    headers = cut(page_headers(rows))
-    decided = resolve(headers, least_bytes)
-    total = headers.agg(F.sum("bytes").alias("n")).first()["n"] or 0
-    files = max(1, -(-int(total) // file_bytes))
+    rows = pages.select(
+        "page_id",
+        F.col("url").cast("string").alias("url"),
+        text_or_empty("html").alias("html"),
+        (F.lit(date) if isinstance(date, str) else date).cast("string").alias("date"),
+    )
+    decided = resolve(cut(page_headers(rows)), least_bytes)
     payload = F.col("html").cast("binary")
     keyed = rows.withColumn("sha1", F.sha1(payload)).withColumn(
         "key", F.concat_ws(":", "sha1", F.xxhash64("html"), F.col("page_id").cast("string"))
     )
     copies = Window.partitionBy("key").orderBy(F.col("url").asc_nulls_last())
     revisit = (F.col("records") > 1) & ~(F.col("is_original") & (F.col("copy") == 0))
-    # one shuffle of the payloads: the join, the numbering of copies and the files share it
+    # one shuffle of the payloads: the join and the numbering of copies share it
     joined = (
-        keyed.repartition(files, "key")
-        .join(decided.repartition(files, "of_key"), F.col("key") == F.col("of_key"))
+        keyed.repartition("key")
+        .join(decided.repartition("of_key"), F.col("key") == F.col("of_key"))
         .withColumn("copy", F.row_number().over(copies) - 1)
         .select(
-            "page_id", "url", "html", "sha1", "copy", "original_id", "original_url",
+            "page_id", "url", "html", "date", "sha1", "copy", "original_id", "original_url",
             revisit.alias("revisit"),
         )
     )
     (
-        joined.mapInArrow(_records(date), "value string")
-        .write.option("lineSep", END)
-        .option("compression", "gzip")
+        joined.mapInArrow(_members(file_bytes), "member binary, file int")
+        .select(F.col("member").cast("string").alias("value"), "file")
+        .write.option("lineSep", "\0")
+        .partitionBy("file")
         .text(path)
     )
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record: page_id, url, record_type, payload_digest, payload_bytes, refers_to, payload.
+    """One row per record: record_id, page_id, url, date, record_type, payload_digest, payload_bytes,
+    refers_to (the record id that a revisit names), payload (null for a revisit).
 
-    The payload of a response is checked against its digest. Each file is read in one piece, which
-    FILE_BYTES bounds, and unpacked in pieces.
+    The payload of a response is checked against its length and digest. Each file is read in one piece,
+    which FILE_BYTES bounds, and unpacked in pieces. A folder without archives gives no rows.
     """
-    files = spark.read.format("binaryFile").load(path).filter("length > 0").select("content")
+    files = spark.read.format("binaryFile").schema(
+        "path string, modificationTime timestamp, length long, content binary"
+    ).option("recursiveFileLookup", True).load(path).filter("length > 0").select("content")
     return files.mapInArrow(
         _parse,
-        "page_id string, url string, record_type string, payload_digest string, payload_bytes long, "
-        "refers_to string, payload string",
+        "record_id string, page_id string, url string, date string, record_type string, "
+        "payload_digest string, payload_bytes long, refers_to string, payload string",
+    )
+
+
+def resolve_revisits(records: DataFrame) -> DataFrame:
+    """Each record with original_id and original_url: page_id and url of the response it refers to.
+
+    records: as read_archives gives them. Null for responses. A revisit whose response is missing, or has
+    another digest or length, ends the job. Payloads don't take part, nor do they come back.
+    """
+    narrow = records.drop("payload")
+    responses = narrow.filter("record_type = 'response'").select(
+        F.col("record_id").alias("refers_to"),
+        F.struct("page_id", "url", "payload_digest", "payload_bytes").alias("original"),
+    )
+    revisits = spread_join(
+        narrow.filter("record_type = 'revisit'"), responses, ["refers_to"], by="record_id"
+    )
+    fits = F.coalesce(
+        (F.col("original.payload_digest") == F.col("payload_digest"))
+        & (F.col("original.payload_bytes") == F.col("payload_bytes")),
+        F.lit(False),
+    )
+    broken = F.raise_error(
+        F.concat(F.lit("no response with the payload of revisit "), F.coalesce("record_id", F.lit("without id")))
+    )
+    found = revisits.select(
+        *narrow.columns,
+        F.when(fits, F.col("original.page_id")).otherwise(broken.cast("string")).alias("original_id"),
+        F.when(fits, F.col("original.url")).alias("original_url"),
     )
+    none = F.lit(None).cast("string")
+    return narrow.filter("record_type <> 'revisit'").select(
+        "*", none.alias("original_id"), none.alias("original_url")
+    ).unionByName(found)
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,7 +251,7 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows = []
             for head, block in _split(content.as_py()):
                 rows.append(_row(head, block))
-                if len(rows) == 500:
+                if len(rows) == BATCH_ROWS:
                     yield pa.RecordBatch.from_pylist(rows, _ROW)
                     rows = []
             if rows:
@@ -182,8 +260,10 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 _ROW = pa.schema(
     [
+        ("record_id", pa.string()),
         ("page_id", pa.string()),
         ("url", pa.string()),
+        ("date", pa.string()),
         ("record_type", pa.string()),
         ("payload_digest", pa.string()),
         ("payload_bytes", pa.int64()),
@@ -243,18 +323,23 @@ def _split(content: bytes) -> Iterator[tuple[dict, bytes]]:
 
 
 def _row(head: dict, block: bytes) -> dict:
-    payload = block.split(END.encode(), 1)[1]
+    http, payload = block.split(END.encode(), 1)
+    length = int(http.rpartition(b"Content-Length: ")[2])
     digest = head["WARC-Payload-Digest"].removeprefix("sha1:")
     revisit = head["WARC-Type"] == "revisit"
-    if not revisit and base32(hashlib.sha1(payload).hexdigest()) != digest:
+    if not revisit and (
+        length != len(payload) or base32(hashlib.sha1(payload).hexdigest()) != digest
+    ):
         raise ValueError(f"record {head['WARC-Record-ID']} doesn't match its digest")
     return {
+        "record_id": head["WARC-Record-ID"],
         "page_id": head.get("X-Page-ID") or None,
         "url": head.get("WARC-Target-URI", ""),
+        "date": head.get("WARC-Date"),
         "record_type": head["WARC-Type"],
         "payload_digest": digest,
-        "payload_bytes": int(head["X-Payload-Length"]) if revisit else len(payload),
-        "refers_to": head.get("X-Refers-To-Page-ID") or None,
+        "payload_bytes": length,
+        "refers_to": head.get("WARC-Refers-To"),
         "payload": None if revisit else payload.decode("utf-8"),
     }
 
@@ -274,13 +359,15 @@ def archive_round_trip(pages: DataFrame) -> DataFrame:
     path = scratch_dir(spark, "warc")
     try:
         write_archives(pages, path)
-        read = read_archives(spark, path).select(
-            F.col("page_id").cast(id_type).alias("page_id"),
-            "payload_bytes",
-            "payload_digest",
-            "record_type",
-            F.col("refers_to").cast(id_type).alias("refers_to"),
+        records = cut(read_archives(spark, path).drop("payload"))
+        return cut(
+            resolve_revisits(records).select(
+                F.col("page_id").cast(id_type).alias("page_id"),
+                "payload_bytes",
+                "payload_digest",
+                "record_type",
+                F.col("original_id").cast(id_type).alias("refers_to"),
+            )
         )
-        return cut(read)
     finally:
         remove(spark, path)

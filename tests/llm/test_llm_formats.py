@@ -5,6 +5,7 @@ import os
 import pathlib
 import random
 import re
+import zlib
 from collections import defaultdict
 
 import duckdb
@@ -238,6 +239,10 @@ def pages(spark):
     return rows, spark.createDataFrame(rows, PAGES)
 
 
+def archives(path):
+    return [f for f in pathlib.Path(path).rglob("part-*") if f.stat().st_size]
+
+
 def test_archives_read_back(spark):
     rows, df = pages(spark)
     df = df.selectExpr("*", "1 as key", "2 as sha1", "3 as copy", "4 as records")
@@ -265,7 +270,18 @@ def test_archives_keep_payloads_and_least_size(spark, tmp_path):
     path = f"{tmp_path}/archives"
     warc.write_archives(df, path, least_bytes=7, file_bytes=5000)
     got = found(warc.read_archives(spark, path))
-    assert len([f for f in os.listdir(path) if f.endswith(".gz")]) > 1
+    files = archives(path)
+    assert len(files) > 1
+    for file in files:
+        data = file.read_bytes()
+        members = 0
+        while data:  # each record is a member of its own
+            member = zlib.decompressobj(wbits=31)
+            record = member.decompress(data)
+            assert record.startswith(b"WARC/1.1\r\n") and record.endswith(b"\r\n\r\n")
+            used, data = len(data) - len(member.unused_data), member.unused_data
+            members += 1
+        assert file.stat().st_size <= 5000 or members == 1
     assert sum(r["record_type"] == "revisit" for r in got) == sum(
         max(0, sum((r[2] or "") == h for r in rows) - 1) for h in {r[2] or "" for r in rows} if len(h.encode()) >= 7
     )
@@ -279,15 +295,62 @@ def test_a_damaged_archive_is_refused(spark, tmp_path):
     _, df = pages(spark)
     path = f"{tmp_path}/archives"
     warc.write_archives(df.filter("page_id < 9"), path)
-    archives = [f for f in os.listdir(path) if f.endswith(".gz")]
-    name = max(archives, key=lambda f: os.path.getsize(f"{path}/{f}"))
-    with open(f"{path}/{name}", "r+b") as file:
-        file.truncate(os.path.getsize(f"{path}/{name}") - 30)
-    os.remove(f"{path}/.{name}.crc") if os.path.exists(f"{path}/.{name}.crc") else None
+    largest = max(archives(path), key=lambda f: f.stat().st_size)
+    os.truncate(largest, largest.stat().st_size - 30)
+    crc = largest.with_name(f".{largest.name}.crc")
+    os.remove(crc) if crc.exists() else None
     with pytest.raises(Exception, match="ends within"):
         warc.read_archives(spark, path).collect()
 
 
+def test_a_record_of_16_mb_ends_with_an_empty_member(spark, tmp_path):
+    draw = random.Random(3)
+    html = draw.randbytes(6 << 20).hex() + "x" * (6 << 20)
+    df = spark.createDataFrame([(1, "u", html), (2, "v", "short"), (3, "w", html)], PAGES)
+    warc.write_archives(df, f"{tmp_path}/archives")
+    got = {r["page_id"]: r for r in found(warc.read_archives(spark, f"{tmp_path}/archives"))}
+    assert got["3"]["payload"] == html and got["2"]["payload"] == "short"
+    assert got["1"]["record_type"] == "revisit" and got["1"]["payload_bytes"] == len(html)
+
+
+def test_revisits_resolve_by_record_id(spark, tmp_path):
+    rows, df = pages(spark)
+    path = f"{tmp_path}/archives"
+    warc.write_archives(df, path, date=F.concat(F.lit("2025-02-0"), F.coalesce("page_id", F.lit(0)) % 9 + 1))
+    records = warc.read_archives(spark, path)
+    got = found(warc.resolve_revisits(records))
+    by_id = {r["record_id"]: r for r in found(records)}
+    assert len(got) == len(rows) == len(by_id)
+    for r in got:
+        original = by_id.get(r["refers_to"], {})
+        assert (r["record_type"] == "revisit") == bool(original)
+        assert r["original_id"] == original.get("page_id") and r["original_url"] == original.get("url")
+        assert r["date"] == f"2025-02-0{int(r['page_id'] or 0) % 9 + 1}"
+    hot = next(r for r in got if r["page_id"] == "0")["refers_to"]
+    for broken in (
+        records.filter(F.col("record_id") != hot),
+        records.withColumn("payload_digest", F.when(F.col("record_id") == hot, "A").otherwise(F.col("payload_digest"))),
+        records.withColumn("payload_bytes", F.col("payload_bytes") + (F.col("record_id") == hot).cast("long")),
+    ):
+        with pytest.raises(Exception, match="no response with the payload"):
+            found(warc.resolve_revisits(broken))
+
+
+def test_archives_need_no_more_partitions_than_the_session_sets(spark):
+    rows, df = pages(spark)
+    keyed = df.selectExpr("*", "cast(page_id as string) as key")
+    joined = warc.spread_join(keyed, keyed.groupBy("html").agg(F.min("url").alias("least")), ["html"], by="key")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    sizes = {int(n) for n in re.findall(r"hashpartitioning\(.*?, (\d+)\)", plan)}
+    assert sizes <= {int(spark.conf.get("spark.sql.shuffle.partitions"))}
+    least = {}
+    for _, url, html in rows:
+        least[html] = min(filter(None, (least.get(html), url)), default=None)
+    got = found(joined)
+    assert len(got) == df.count()
+    assert all(r["least"] == (least[r["html"]] if r["html"] is not None else None) for r in got)
+
+
 # --- chat ---------------------------------------------------------------------------
 
 TURNS = "conv_id bigint, turn bigint, role string, text string"
