@@ -37,6 +37,8 @@ FILE_BYTES = 64 << 20
 SPREAD = 64
 #: Rows of one batch of read or written records.
 BATCH_ROWS = 500
+#: Bytes that unpacking takes in and gives out at a time.
+IN_BYTES, OUT_BYTES = 8 << 10, 1 << 20
 
 
 def record_id(page_id, digest: str, copy: int) -> str:
@@ -274,17 +276,29 @@ _ROW = pa.schema(
 
 
 def _unpacked(content: bytes) -> Iterator[bytes]:
-    """The unpacked bytes of all gzip members, piece by piece."""
-    rest = content
-    while rest:
-        member = zlib.decompressobj(wbits=31)
-        while not member.eof:
-            piece = member.decompress(rest, 1 << 20)
-            rest = member.unconsumed_tail or (member.unused_data if member.eof else b"")
-            if not piece and not member.eof and not rest:
+    """The unpacked bytes of all gzip members, piece by piece.
+
+    Input goes in by small pieces, because what follows a member's end is copied each time.
+    """
+    data, at, rest, member = memoryview(content), 0, b"", None
+    while True:
+        if not rest:
+            rest = data[at : at + IN_BYTES]
+            at += len(rest)
+        if member is None:
+            if not rest:
+                return
+            member = zlib.decompressobj(wbits=31)
+        ended = not rest
+        piece = member.decompress(rest, OUT_BYTES)
+        if member.eof:
+            rest, member = member.unused_data, None
+        else:
+            rest = member.unconsumed_tail
+            if ended and not piece:
                 raise ValueError("an archive ends within a gzip member")
-            if piece:
-                yield piece
+        if piece:
+            yield piece
 
 
 def _split(content: bytes) -> Iterator[tuple[dict, bytes]]:
