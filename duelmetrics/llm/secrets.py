@@ -155,7 +155,7 @@ def _joined_in_slices(named: DataFrame, known: DataFrame, share: float = HOT_SHA
     """
     least = max(1.0, named.count() * share)
     counts = named.groupBy("of").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > least)
-    hot = cut(counts.select("of", F.ceil(F.col("n") / least).cast("int").alias("slices")))
+    hot = counts.select("of", F.ceil(F.col("n") / least).cast("int").alias("slices"))
     sliced = named.join(F.broadcast(hot), "of", "left").withColumn(
         "slice", F.coalesce(F.pmod(F.xxhash64("id", "start", "before"), F.col("slices")).cast("int"), F.lit(0))
     )
@@ -164,10 +164,28 @@ def _joined_in_slices(named: DataFrame, known: DataFrame, share: float = HOT_SHA
     return sliced.drop("slices").join(repeated.drop("slices"), ["of", "slice"], "left").drop("slice")
 
 
+def _parts(pieces: DataFrame) -> DataFrame:
+    """of, at and word of every run of 4 to 8 letters of the pieces, shorter ones inside of longer ones too.
+
+    A place lies in one piece and has one run of each length, so no two rows are equal and none is looked
+    for again: a place without a run makes no row, and nothing is gathered before the join with the words.
+    """
+    run = lambda k: F.regexp_extract(F.substring("piece", k, F.lit(LONGEST)), "^[a-z]*", 0)
+    places = F.transform(
+        F.sequence(F.lit(1), F.least(F.char_length("piece"), F.lit(PIECE))),
+        lambda k: F.struct((F.col("from") + k - 1).alias("at"), run(k).alias("run")),
+    )
+    runs = pieces.select("of", F.explode(F.filter(places, lambda s: F.char_length(s["run"]) >= SHORTEST)).alias("s"))
+    lengths = F.sequence(F.lit(SHORTEST), F.char_length("s.run"))
+    return runs.select("of", "s", F.explode(lengths).alias("m")).select(
+        "of", F.col("s.at").alias("at"), F.substring("s.run", F.lit(1), F.col("m")).alias("word")
+    )
+
+
 def with_features(found: DataFrame, words: DataFrame, pairs: DataFrame) -> DataFrame:
     """Adds the FEATURES; findings that are equal share the lookups of letters and words."""
     n = F.char_length("finding")
-    named = found.withColumn("of", F.sha2(F.col("finding").cast("binary"), 256))
+    named = found.withColumn("of", F.unhex(F.sha2(F.col("finding").cast("binary"), 256)))
     # long findings in pieces, each with the letters that a word beginning in it may still have
     piece = F.lower(F.substring("finding", F.col("from"), F.lit(PIECE + LONGEST - 1)))
     pieces = (
@@ -191,26 +209,8 @@ def with_features(found: DataFrame, words: DataFrame, pairs: DataFrame) -> DataF
         .groupBy("of")
         .agg(F.avg(F.coalesce("log_p", F.lit(UNSEEN))).alias("transition"))
     )
-    place = F.explode(
-        F.filter(
-            F.flatten(
-                F.transform(
-                    F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(size - SHORTEST + 1, F.lit(PIECE)))),
-                    lambda k: F.transform(
-                        F.sequence(F.lit(SHORTEST), F.lit(LONGEST)),
-                        lambda m: F.struct(
-                            (F.col("from") + k - 1).alias("at"), F.substring("piece", k, m).alias("part")
-                        ),
-                    ),
-                )
-            ),
-            lambda s: s["part"].rlike(f"^[a-z]{{{SHORTEST},{LONGEST}}}$"),
-        )
-    ).alias("s")
     covered = (
-        pieces.select("of", place)
-        .select("of", "s.at", F.col("s.part").alias("word"))
-        .distinct()
+        _parts(pieces)
         .join(words.select("word"), "word")
         .select(
             "of",

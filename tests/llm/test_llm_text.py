@@ -449,6 +449,31 @@ def test_transition_and_coverage_equal_plain_ones(spark):
         assert abs(r["coverage"] - len(inside) / len(low)) < 1e-12
 
 
+def test_parts_of_findings_are_unique_without_being_gathered(spark):
+    """No aggregate or shuffle holds every part of every finding, though lengths, ends and pieces overlap."""
+    draw = random.Random(14)
+    tokens = ["".join(draw.choices(["kanast", "lopo", "x9", "Mi", "q", "-", "\n"], k=draw.randint(1, 9))) for _ in range(80)]
+    tokens += ["kanast" * 1_500, "ab1" * 2_000, "abcd", "abc"]
+    df = documents(spark, [(k, f"key {'kanast ' * 3}", "en", "src") for k in range(3)])
+    found_rows = [(k, "", 0, t, "", "") for k, t in enumerate(tokens)]
+    frame = spark.createDataFrame(found_rows, "id int, path string, start long, finding string, before string, after string")
+    words = secrets.dictionary(df)
+    plan = secrets.with_features(frame, words, secrets.transitions(words))._jdf.queryExecution().toString()
+    physical = plan[plan.index("== Physical Plan =="):]
+    assert not re.search(r"(?:keys=|hashpartitioning)[\[(][^\])]*\bat#", physical)
+    cut_up = [(k, i + 1, t[i : i + secrets.PIECE + secrets.LONGEST - 1].lower()) for k, t in enumerate(tokens) for i in range(0, len(t), secrets.PIECE)]
+    pieces = spark.createDataFrame(cut_up, "of int, `from` int, piece string")
+    got = [(r["of"], r["at"], r["word"]) for r in secrets._parts(pieces).collect()]
+    want = {
+        (k, i + 1, t.lower()[i : i + m])
+        for k, t in enumerate(tokens)
+        for i in range(len(t))
+        for m in range(secrets.SHORTEST, secrets.LONGEST + 1)
+        if re.fullmatch(f"[a-z]{{{m}}}", t.lower()[i : i + m])
+    }
+    assert len(got) == len(want) and set(got) == want
+
+
 def test_a_hot_finding_meets_its_features_in_many_tasks(spark):
     named = spark.range(30_000).selectExpr("id", "id as start", "'b' as before", "if(id % 3 = 0, 'hot', cast(id as string)) as of")
     known = named.select("of").distinct().selectExpr("of", "length(of) as n")
